@@ -25,11 +25,11 @@ def field(fields: Column, index: int) -> Column:
 
 def strict_int(text: Column) -> Column:
     """int32 parse: optional sign and ASCII digits only; NULL otherwise (incl. overflow)."""
-    return F.when(text.rlike(INT_PATTERN), F.try_cast(text, "int"))
+    return F.when(text.rlike(INT_PATTERN), text.try_cast("int"))
 
 
 def is_strict_int(text: Column) -> Column:
-    return F.coalesce(text.rlike(INT_PATTERN) & F.try_cast(text, "int").isNotNull(), F.lit(False))
+    return F.coalesce(text.rlike(INT_PATTERN) & text.try_cast("int").isNotNull(), F.lit(False))
 
 
 def strict_offset_datetime(text: Column) -> Column:
@@ -39,7 +39,7 @@ def strict_offset_datetime(text: Column) -> Column:
     Local date-times without an offset and bare dates give NULL.
     """
     with_seconds = F.regexp_replace(text, MISSING_SECONDS_PATTERN, MISSING_SECONDS_REPLACEMENT)
-    return F.when(text.rlike(OFFSET_DATETIME_PATTERN), F.try_cast(with_seconds, "timestamp"))
+    return F.when(text.rlike(OFFSET_DATETIME_PATTERN), with_seconds.try_cast("timestamp"))
 
 
 def split_fields(line: Column) -> Column:

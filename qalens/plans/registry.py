@@ -49,7 +49,7 @@ def _with(view_sql: str, body: str) -> str:
     return f"WITH {view_sql},{PAIRS_SQL}\n{body}"
 
 
-def _mean_time_sql(threshold: int) -> str:
+def mean_time_sql(threshold: int) -> str:
     fast = f"FILTER (WHERE minutes < {threshold})"
     return (f"SELECT tag, CAST(sum(minutes) {fast} AS BIGINT) // count(*) {fast} AS mean_minutes, "
             f"(count(*) {fast})::DOUBLE / count(*) AS probability "
@@ -132,8 +132,8 @@ def oracle_sql() -> dict[str, str]:
     ev, od = EVENTS_SQL, ORDERS_SQL
     fast = "minutes < 1440"
     sql = {
-        "mean_time_answer": _with(ev, _mean_time_sql(1440)),
-        "mean_time_answer_orders": _with(od, _mean_time_sql(43200)),
+        "mean_time_answer": _with(ev, mean_time_sql(1440)),
+        "mean_time_answer_orders": _with(od, mean_time_sql(43200)),
         "top_tags": _with(ev, TOP_TAGS_SQL),
         "top_tags_orders": _with(od, TOP_TAGS_SQL),
         "questions_with_tags": _with(ev, "SELECT id, tag, count(*) AS n FROM qt GROUP BY id, tag"),
@@ -163,7 +163,7 @@ def oracle_sql() -> dict[str, str]:
                                              f"HAVING count(*) FILTER (WHERE {fast}) > 0"),
         "tag_counts": _with(ev, "SELECT tag, count(*) AS n FROM pairs GROUP BY tag"),
         "render_mean_time_answer": _with(ev, "SELECT '(' || tag || ',' || mean_minutes || ')' AS line FROM ("
-                                             + _mean_time_sql(1440) + ")"),
+                                             + mean_time_sql(1440) + ")"),
         "render_top_tags": _with(ev, "SELECT '(' || tag || ',' || n || ')' AS line FROM (" + TOP_TAGS_SQL + ")"),
     }
     sql.update(ingest_views.oracle_sql())
