@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # The accepted text forms.
 INT_PATTERN = r"^[+-]?\d+$"
-OFFSET_DATETIME_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})$"
+OFFSET_DATETIME_PATTERN = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?([Zz]|[+-]\d{2}:\d{2})$"
 MISSING_SECONDS_PATTERN = r"T(\d{2}:\d{2})(Z|[+-])"
 MISSING_SECONDS_REPLACEMENT = "T$1:00$2"
 FIELD_SEPARATOR = ","
@@ -35,10 +35,10 @@ def is_strict_int(text: Column) -> Column:
 def strict_offset_datetime(text: Column) -> Column:
     """ISO-8601 date-time with a mandatory offset (``Z`` or ``+hh:mm``) to an instant.
 
-    Seconds are optional (``2021-01-01T10:15Z``); up to nine fraction digits, cut to micros.
-    Local date-times without an offset and bare dates give NULL.
+    Seconds are optional (``2021-01-01T10:15Z``); up to nine fraction digits, cut to micros;
+    ``T`` and ``Z`` in either case. Local date-times without an offset and bare dates give NULL.
     """
-    with_seconds = F.regexp_replace(text, MISSING_SECONDS_PATTERN, MISSING_SECONDS_REPLACEMENT)
+    with_seconds = F.regexp_replace(F.upper(text), MISSING_SECONDS_PATTERN, MISSING_SECONDS_REPLACEMENT)
     return F.when(text.rlike(OFFSET_DATETIME_PATTERN), with_seconds.try_cast("timestamp"))
 
 

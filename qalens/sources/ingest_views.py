@@ -167,7 +167,7 @@ tl AS (SELECT '{TAG_HEADER}' AS line
        FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 INT_RE = r"^[+-]?\d+$"
-DT_RE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})$"
+DT_RE = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?([Zz]|[+-]\d{2}:\d{2})$"
 
 
 def _int(e: str) -> str:
@@ -175,7 +175,7 @@ def _int(e: str) -> str:
 
 
 def _dt(e: str) -> str:
-    fixed = f"regexp_replace({e}, 'T(\\d{{2}}:\\d{{2}})(Z|[+-])', 'T\\1:00\\2')"
+    fixed = f"regexp_replace(upper({e}), 'T(\\d{{2}}:\\d{{2}})(Z|[+-])', 'T\\1:00\\2')"
     return f"CASE WHEN regexp_matches({e}, '{DT_RE}') THEN TRY_CAST({fixed} AS TIMESTAMPTZ) END"
 
 

@@ -1,0 +1,6 @@
+"""Streaming: nothing here on purpose.
+
+The job this library rebuilds is a one-shot batch job over three dumps; it has no stream
+source, watermark, state or late-data handling, so no Structured Streaming operator is
+provided (see README, "Not built").
+"""
