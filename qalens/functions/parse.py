@@ -1,8 +1,9 @@
 """Strict field parsing as JVM-side Column expressions (no Python UDF).
 
 The dumps are parsed the way ``Integer.parseInt`` and ``OffsetDateTime.parse`` (ISO offset
-date-time) accept text: Spark's own casts are more lenient (they trim blanks and accept dates
-without a time or an offset), so each cast is guarded by a pattern first.
+date-time) accept text. Spark's plain casts are more lenient (they trim blanks and accept
+dates without a time or an offset), so integers are guarded by a pattern and date-times are
+parsed with an explicit format.
 """
 
 from __future__ import annotations
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 
 # The accepted text forms.
 INT_PATTERN = r"^[+-]?\d+$"
-OFFSET_DATETIME_PATTERN = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?([Zz]|[+-]\d{2}:\d{2})$"
-MISSING_SECONDS_PATTERN = r"T(\d{2}:\d{2})(Z|[+-])"
-MISSING_SECONDS_REPLACEMENT = "T$1:00$2"
+# ISO offset date-time: seconds and a 1-9 digit fraction optional, offset ``Z`` or ``+hh:mm``
+# mandatory, ``T``/``Z`` in either case, calendar checked strictly.
+OFFSET_DATETIME_FORMAT = "yyyy-MM-dd'T'HH:mm[:ss[.SSSSSSSSS]]XXX"
 FIELD_SEPARATOR = ","
 
 
@@ -29,24 +30,27 @@ def strict_int(text: Column) -> Column:
 
 
 def is_strict_int(text: Column) -> Column:
-    return F.coalesce(text.rlike(INT_PATTERN) & text.try_cast("int").isNotNull(), F.lit(False))
+    return F.coalesce(strict_int(text).isNotNull(), F.lit(False))
 
 
 def strict_offset_datetime(text: Column) -> Column:
-    """ISO-8601 date-time with a mandatory offset (``Z`` or ``+hh:mm``) to an instant.
+    """ISO-8601 date-time with a mandatory offset to an instant; NULL for anything else.
 
-    Seconds are optional (``2021-01-01T10:15Z``); up to nine fraction digits, cut to micros;
-    ``T`` and ``Z`` in either case. Local date-times without an offset and bare dates give NULL.
+    ``2021-01-01T10:15Z`` (no seconds) and up to nine fraction digits (cut to micros) are
+    accepted; local date-times, bare dates, blanks and impossible dates give NULL.
     """
-    with_seconds = F.regexp_replace(F.upper(text), MISSING_SECONDS_PATTERN, MISSING_SECONDS_REPLACEMENT)
-    return F.when(text.rlike(OFFSET_DATETIME_PATTERN), with_seconds.try_cast("timestamp"))
+    return F.try_to_timestamp(text, F.lit(OFFSET_DATETIME_FORMAT))
 
 
-def split_fields(line: Column) -> Column:
-    """Split on bare commas, keeping empty fields (no quote handling: one physical line = one record)."""
-    return F.split(line, FIELD_SEPARATOR, -1)
+def leading_fields(line: Column, count: int) -> Column:
+    """The first ``count`` comma-separated fields (fewer if the line has fewer).
+
+    Only the line prefix up to the ``count``-th comma is split, so a long line costs no more
+    than a short one. No quote handling: one physical line is one record.
+    """
+    return F.split(F.substring_index(line, FIELD_SEPARATOR, count), FIELD_SEPARATOR, -1)
 
 
-def split_fields_dropping_trailing_empties(line: Column) -> Column:
-    """Split on bare commas after dropping trailing empty fields (``"5,"`` has one field)."""
-    return F.split(F.regexp_replace(line, FIELD_SEPARATOR + "+$", ""), FIELD_SEPARATOR, -1)
+def drop_trailing_separators(line: Column) -> Column:
+    """``"5,x,,"`` -> ``"5,x"``: trailing empty fields do not count (``"5,"`` has one field)."""
+    return F.rtrim(line, F.lit(FIELD_SEPARATOR))

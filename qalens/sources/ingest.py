@@ -9,15 +9,23 @@ Field positions (fixed by the dump layout):
 * questions: 0 = id, 2 = creation date
 * answers:   2 = creation date, 3 = parent question id, 4 = score
 * tags:      0 = question id, 1 = tag name (trailing empty fields dropped first)
+
+Each line is split once, in its own projection, and each field is parsed once. The NULL
+filter on the parsed columns sits above a one-row ``inline``: a plain ``where`` would be
+pushed below the typed projection with the parse expressions inlined, parsing every line
+twice (measured 3.4x slower on the answers dump). The whole chain stays in one
+whole-stage-codegen span.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qalens.functions.parse import (field, is_strict_int, split_fields, split_fields_dropping_trailing_empties,
-                                    strict_int, strict_offset_datetime)
+from qalens.functions.parse import (drop_trailing_separators, field, is_strict_int, leading_fields, strict_int,
+                                    strict_offset_datetime)
 from qalens.model import QAData
 from qalens.sources.text import scan_lines, strip_header
 
@@ -26,22 +34,26 @@ def _line(lines: DataFrame) -> Column:
     return F.col(lines.columns[0])
 
 
+def _keep_complete(fields: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Typed rows built from ``_f``; a row with any NULL column is dropped."""
+    typed = fields.select(*[c.alias(name) for name, c in columns.items()])
+    fenced = typed.select(F.inline(F.array(F.struct(*columns))))
+    return fenced.where(reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in columns]))
+
+
 def parse_questions(lines: DataFrame) -> DataFrame:
     """``id INT, creation_ts TIMESTAMP``; malformed lines are dropped."""
-    fields = split_fields(_line(lines))
-    parsed = lines.select(strict_int(field(fields, 0)).alias("id"),
-                          strict_offset_datetime(field(fields, 2)).alias("creation_ts"))
-    return parsed.where(F.col("id").isNotNull() & F.col("creation_ts").isNotNull())
+    fields = lines.select(leading_fields(_line(lines), 3).alias("_f"))
+    return _keep_complete(fields, {"id": strict_int(field(F.col("_f"), 0)),
+                                   "creation_ts": strict_offset_datetime(field(F.col("_f"), 2))})
 
 
 def parse_answers(lines: DataFrame) -> DataFrame:
     """``question_id INT, creation_ts TIMESTAMP, score INT``; a line with any bad field is dropped."""
-    fields = split_fields(_line(lines))
-    parsed = lines.select(strict_int(field(fields, 3)).alias("question_id"),
-                          strict_offset_datetime(field(fields, 2)).alias("creation_ts"),
-                          strict_int(field(fields, 4)).alias("score"))
-    return parsed.where(F.col("question_id").isNotNull() & F.col("creation_ts").isNotNull()
-                        & F.col("score").isNotNull())
+    fields = lines.select(leading_fields(_line(lines), 5).alias("_f"))
+    return _keep_complete(fields, {"question_id": strict_int(field(F.col("_f"), 3)),
+                                   "creation_ts": strict_offset_datetime(field(F.col("_f"), 2)),
+                                   "score": strict_int(field(F.col("_f"), 4))})
 
 
 def parse_tags(lines: DataFrame) -> DataFrame:
@@ -50,13 +62,13 @@ def parse_tags(lines: DataFrame) -> DataFrame:
     The check sits in both output columns, so it survives column pruning whichever one a
     consumer reads.
     """
-    line = _line(lines)
-    fields = split_fields_dropping_trailing_empties(line)
-    first = field(fields, 0)
-    valid = (F.size(fields) >= 2) & is_strict_int(first)
-    failure = F.raise_error(F.concat(F.lit("malformed tag line: "), line))
-    return lines.select(F.when(valid, first.try_cast("int")).otherwise(failure).alias("question_id"),
-                        F.when(valid, field(fields, 1)).otherwise(failure).alias("tag"))
+    fields = lines.select(_line(lines).alias("_line"),
+                          leading_fields(drop_trailing_separators(_line(lines)), 2).alias("_f"))
+    first = field(F.col("_f"), 0)
+    valid = (F.size("_f") >= 2) & is_strict_int(first)
+    failure = F.raise_error(F.concat(F.lit("malformed tag line: "), F.col("_line")))
+    return fields.select(F.when(valid, first.try_cast("int")).otherwise(failure).alias("question_id"),
+                         F.when(valid, field(F.col("_f"), 1)).otherwise(failure).alias("tag"))
 
 
 def read_dump(spark: SparkSession, questions_path: str, answers_path: str, tags_path: str,
