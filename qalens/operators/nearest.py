@@ -5,9 +5,13 @@ in time (before or after), plus the link's answer count and first/last answer in
 
 Plan (no question x answer pairs are ever formed, and no link is held by one task):
 
-1. Questions and answers are unioned into one narrow frame ``(link, ts, is_q, id)`` and
-   range-partitioned on ``(link, ts, is_q, id)``. Range bounds come from a sample, so a link
-   holding a third of all rows is cut into many partitions of similar size.
+1. Questions and answers are unioned into one narrow frame ``(link, ts, is_q, id)``, written
+   once to the shared scratch folder (``spark.checkpoint.dir``), and range-partitioned on
+   ``(link, ts, is_q, id)``. Range bounds come from a sampling pass, so a link holding a third
+   of all rows is cut into many partitions of similar size. Writing the narrow frame first
+   means the sampling pass (and any re-sampling of oversized partitions) reads a few narrow
+   columns instead of re-scanning and re-parsing the inputs, and it cuts the lineage: a
+   lost executor re-reads the written frame, not the raw dumps.
 2. The partition number is kept as ``pid``. Inside each ``(pid, link)`` group a window
    ordered by time gives the last answer at or before each question, the first answer at
    or after it, and the group's answer count / first / last answer.
@@ -27,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qalens.functions.timing import epoch_micros
+from qalens.session import fresh_path
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -35,13 +40,24 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def answer_scan(questions: DataFrame, answers: DataFrame, partitions: int | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh folder under the shared scratch folder and read it back."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def answer_scan(questions: DataFrame, answers: DataFrame, partitions: int | None = None,
+                materialize_input: bool = True) -> DataFrame:
     """One row per question row.
 
     questions: ``id, link, creation_ts``; answers: ``link, creation_ts``.
 
     Returns ``id, link, q_us, prev_us, next_us, nearest_us, n_answers, first_us, last_us``
     (instants as epoch microseconds; ``nearest_us`` is NULL when the link has no answer).
+
+    With ``materialize_input`` (the default) the narrow input is written before the range
+    exchange; this runs one job when the function is called.
     """
     n_parts = _partitions(questions, partitions)
     id_type = questions.schema["id"].dataType
@@ -50,7 +66,10 @@ def answer_scan(questions: DataFrame, answers: DataFrame, partitions: int | None
     a = answers.where(F.col("creation_ts").isNotNull() & F.col("link").isNotNull()).select(
         F.col("link"), epoch_micros(F.col("creation_ts")).alias("ts"), F.lit(False).alias("is_q"),
         F.lit(None).cast(id_type).alias("id"))
-    ranged = (q.unionByName(a)
+    narrow = q.unionByName(a)
+    if materialize_input:
+        narrow = materialize(narrow, "answer-scan-input")
+    ranged = (narrow
               .repartitionByRange(n_parts, "link", "ts", "is_q", "id")
               .withColumn("pid", F.spark_partition_id()))
 

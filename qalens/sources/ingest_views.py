@@ -31,7 +31,7 @@ def _iso(ts: Column, pattern: str) -> Column:
 
 
 def _header(spark: SparkSession, header: str) -> DataFrame:
-    return spark.range(1).select(F.lit(header).alias("value"))
+    return spark.range(0, 1, 1, 1).select(F.lit(header).alias("value"))
 
 
 def document_lines(documents: DataFrame) -> DataFrame:
