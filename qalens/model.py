@@ -13,7 +13,12 @@ nearest-answer scan works on the link key directly.
 
 Question ids may repeat: every copy counts (tag weight = number of copies), and the
 nearest answer of an id is the nearest over its copies. Rows with a NULL timestamp or an
-answer with a NULL link cannot take part in a latency and are dropped by the views.
+answer with a NULL link cannot take part in a latency and are dropped by the scan.
+
+``materialize_scan`` tells the nearest-answer scan to write its narrow input once before the
+range exchange (whose sampling pass would otherwise recompute the inputs). That pays off
+when the inputs are expensive to recompute (text dumps that are scanned and parsed); plain
+columnar scans are cheaper to read twice.
 """
 
 from __future__ import annotations
@@ -35,9 +40,11 @@ class QAData:
     questions: DataFrame
     answers: DataFrame
     tags: DataFrame
+    materialize_scan: bool = True
 
     @staticmethod
-    def keyed_by_question(questions: DataFrame, answers: DataFrame, tags: DataFrame) -> "QAData":
+    def keyed_by_question(questions: DataFrame, answers: DataFrame, tags: DataFrame,
+                          materialize_scan: bool = True) -> "QAData":
         """Tables in the dump layout: answers carry their parent ``question_id``."""
         return QAData(
             questions=questions.select("id", instant("creation_ts").alias("creation_ts"),
@@ -45,4 +52,5 @@ class QAData:
             answers=answers.select(F.col("question_id").alias("link"),
                                    instant("creation_ts").alias("creation_ts"), "score"),
             tags=tags.select("question_id", "tag"),
+            materialize_scan=materialize_scan,
         )

@@ -6,6 +6,9 @@ from the ``k`` property: ``'k' || (k % 10)`` and ``'k' || (k div 10)``.
 
 ``orders_view``: orders are questions, their line items are answers (shipped date), and
 each line item tags its order with the brand of its part.
+
+Both views are column scans of parquet, which the nearest-answer scan re-reads for its
+range sampling instead of copying them (``materialize_scan=False``).
 """
 
 from __future__ import annotations
@@ -54,7 +57,7 @@ def events_tags(events: DataFrame) -> DataFrame:
 
 def events_view(spark: SparkSession, sf_dir: str) -> QAData:
     events = table(spark, sf_dir, "events")
-    return QAData(events_questions(events), events_answers(events), events_tags(events))
+    return QAData(events_questions(events), events_answers(events), events_tags(events), materialize_scan=False)
 
 
 def orders_view(spark: SparkSession, sf_dir: str) -> QAData:
@@ -68,4 +71,4 @@ def orders_view(spark: SparkSession, sf_dir: str) -> QAData:
     tags = (lineitem.select("l_orderkey", "l_partkey")
             .join(part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
             .select(F.col("l_orderkey").alias("question_id"), F.col("p_brand").alias("tag")))
-    return QAData(questions, answers, tags)
+    return QAData(questions, answers, tags, materialize_scan=False)
