@@ -123,3 +123,46 @@ def test_scan_uses_the_copy_nearest_to_an_answer(spark):
     assert got == {1: (2, 3)}
     got_n = {r.id: r.n_answers for r in answers_per_question(data).collect()}
     assert got_n == {1: 2}
+
+
+def test_hot_link_balance_and_exactness_at_larger_size(spark):
+    """A third of all rows on one link: range partitions stay balanced, results stay exact."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(11)
+    n_q, n_a, parts = 60_000, 120_000, 32
+    q_link = np.where(rng.random(n_q) < 1 / 3, 0, rng.integers(1, 5_000, n_q))
+    a_link = np.where(rng.random(n_a) < 1 / 3, 0, rng.integers(1, 5_000, n_a))
+    q_ts = BASE + rng.integers(0, 10**12, n_q)
+    a_ts = BASE + rng.integers(0, 10**12, n_a)
+
+    # brute force per link with sorted arrays (no pairs)
+    expected = {}
+    order = np.argsort(a_link, kind="stable")
+    links_sorted = a_link[order]
+    for lk in np.unique(q_link):
+        lo, hi = np.searchsorted(links_sorted, lk), np.searchsorted(links_sorted, lk, side="right")
+        ts = np.sort(a_ts[order[lo:hi]])
+        idx = np.nonzero(q_link == lk)[0]
+        if len(ts) == 0:
+            continue
+        pos = np.searchsorted(ts, q_ts[idx])
+        before = np.where(pos > 0, q_ts[idx] - ts[np.maximum(pos - 1, 0)], np.iinfo(np.int64).max)
+        after = np.where(pos < len(ts), ts[np.minimum(pos, len(ts) - 1)] - q_ts[idx], np.iinfo(np.int64).max)
+        for i, d in zip(idx, np.minimum(before, after)):
+            expected[int(i)] = int(d)
+
+    questions = spark.createDataFrame(
+        [(i, int(l), int(t)) for i, (l, t) in enumerate(zip(q_link, q_ts))], "id long, link long, us long") \
+        .selectExpr("id", "link", "timestamp_micros(us) AS creation_ts")
+    answers = spark.createDataFrame([(int(l), int(t)) for l, t in zip(a_link, a_ts)], "link long, us long") \
+        .selectExpr("link", "timestamp_micros(us) AS creation_ts")
+    got = {r.id: r.nearest_us for r in answer_scan(questions, answers, parts, materialize_input=False).collect()
+           if r.nearest_us is not None}
+    assert got == expected
+
+    sizes = [r["count"] for r in questions.select("link", "creation_ts")
+             .unionByName(answers.select("link", "creation_ts"))
+             .repartitionByRange(parts, "link", "creation_ts").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * (n_q + n_a) / parts

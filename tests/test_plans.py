@@ -46,3 +46,11 @@ def test_only_bounded_frames_are_broadcast_explicitly(spark):
     df = mean_time_answer(events_view(spark, SF_SMALL))
     hints = df._jdf.queryExecution().analyzed().toString().count("ResolvedHint (strategy=broadcast)")
     assert hints == 1
+
+
+def test_range_exchange_is_read_once_by_both_branches(spark):
+    # the question rows and the carry summary must see the same range partitions
+    df = mean_time_answer(events_view(spark, SF_SMALL))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final or final.lower().count("rangepartitioning") == 1
