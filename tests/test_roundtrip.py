@@ -1,0 +1,54 @@
+"""Round trips through text files, sorted output across part files, and the values the
+survey recorded for the sf0.01 views."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import SF_CHECK, SF_SMALL
+from qalens.plans.reports import mean_time_answer, top_tags
+from qalens.session import fresh_path
+from qalens.sinks.text import write_top_tags
+from qalens.sources import ingest_views
+from qalens.sources.ingest import parse_questions
+from qalens.sources.text import scan_lines, strip_header
+from qalens.sources.views import events_view, orders_view
+
+
+def test_question_lines_round_trip_through_text(spark):
+    path = fresh_path(spark, "roundtrip")
+    ingest_views.event_question_lines(spark, SF_SMALL).write.mode("overwrite").text(path)
+    parsed = parse_questions(strip_header(scan_lines(spark, path), ingest_views.QUESTION_HEADER)) \
+        .select(F.col("id").cast("long").alias("id"), F.unix_micros("creation_ts").alias("us"))
+    original = events_view(spark, SF_SMALL)  # every event row became a question line
+    source = spark.read.parquet(f"{SF_SMALL}/events.parquet") \
+        .select(F.col("event_id").alias("id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    assert parsed.exceptAll(source).count() == 0
+    assert source.exceptAll(parsed).count() == 0
+    assert original.questions.count() > 0
+
+
+def test_sorted_report_reads_back_in_order_across_part_files(spark):
+    report = top_tags(orders_view(spark, SF_SMALL))
+    path = fresh_path(spark, "top_tags")
+    write_top_tags(report.repartitionByRange(4, F.col("n").desc(), F.col("tag")).sortWithinPartitions(
+        F.col("n").desc(), F.col("tag")), path)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    parts = sorted(n for n in os.listdir(local) if n.startswith("part-"))
+    assert len(parts) > 1
+    lines = []
+    for name in parts:
+        with open(os.path.join(local, name), encoding="utf-8") as f:
+            lines += f.read().splitlines()
+    expected = [f"({r.tag},{r.n})" for r in report.collect()]
+    assert lines == expected
+
+
+def test_values_recorded_in_the_survey_at_sf001(spark):
+    ev = {r.tag: r for r in mean_time_answer(events_view(spark, SF_CHECK)).collect()}
+    assert (ev["k0"].mean_minutes, ev["k0"].probability) == (626, 0.5666666666666667)
+    assert {r.tag: r.n for r in top_tags(events_view(spark, SF_CHECK)).collect()}["k0"] == 390
+    od = {r.tag: r for r in mean_time_answer(orders_view(spark, SF_CHECK), 43200).collect()}
+    assert (od["Brand#1"].mean_minutes, od["Brand#1"].probability) == (21826, 0.11010009099181074)
+    assert {r.tag: r.n for r in top_tags(orders_view(spark, SF_CHECK)).collect()}["Brand#1"] == 2198
+    assert len(ev) == 10 and len(od) == 25
