@@ -1,7 +1,8 @@
 """Batch job: three Q&A dumps in, two per-tag text reports out (K5, K6).
 
     spark-submit qalens/job.py OUT --questions Q --answers A --tags T [--threshold 1440]
-                 [--questions-header H ...] [--single-file]        (or: python -m qalens.job ...)
+                 [--questions-header H ...] [--single-file] [--scan-partitions N]
+                                                                   (or: python -m qalens.job ...)
 
 writes ``OUT/mean_time_answer`` and ``OUT/top_tags`` (replacing earlier output).
 """
@@ -22,24 +23,30 @@ from qalens.sinks.text import write_mean_time_answer, write_top_tags
 from qalens.sources.ingest import read_dump
 
 
-def shared_summary(spark: SparkSession, data: QAData, threshold: int = DAY_MINUTES) -> DataFrame:
+def shared_summary(spark: SparkSession, data: QAData, threshold: int = DAY_MINUTES,
+                   partitions: int | None = None) -> DataFrame:
     """The per-tag aggregate both reports read, written once to the shared scratch folder.
 
     Writing it cuts the lineage: the second report neither recomputes the scan nor depends
     on cached blocks of a lost executor. Its size is the tag vocabulary.
     """
     path = fresh_path(spark, "per_tag_summary")
-    per_tag_summary(data, threshold).write.mode("overwrite").parquet(path)
+    per_tag_summary(data, threshold, partitions).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
 def run(spark: SparkSession, questions: str, answers: str, tags: str, out: str, threshold: int = DAY_MINUTES,
         headers: tuple[str | None, str | None, str | None] = (None, None, None),
-        single_file: bool = False) -> tuple[str, str]:
-    """Read the dumps, compute both reports from one shared aggregate, write them as text."""
+        single_file: bool = False, scan_partitions: int | None = None) -> tuple[str, str]:
+    """Read the dumps, compute both reports from one shared aggregate, write them as text.
+
+    ``scan_partitions`` sets the range partitions of the nearest-answer scan (default
+    ``spark.sql.shuffle.partitions``); size it so one partition holds ~128-256 MB of the
+    narrow scan input (about 30 bytes per question or answer).
+    """
     apply_conf(spark)
     data = read_dump(spark, questions, answers, tags, headers)
-    summary = shared_summary(spark, data, threshold)
+    summary = shared_summary(spark, data, threshold, scan_partitions)
     mean_path, top_path = os.path.join(out, "mean_time_answer"), os.path.join(out, "top_tags")
     write_mean_time_answer(mean_time_answer_from(summary), mean_path, single_file)
     write_top_tags(top_tags_from(summary), top_path, single_file)
@@ -57,11 +64,12 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--answers-header")
     parser.add_argument("--tags-header")
     parser.add_argument("--single-file", action="store_true", help="one part file per report")
+    parser.add_argument("--scan-partitions", type=int, help="range partitions of the nearest-answer scan")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("qalens").getOrCreate()
     try:
         run(spark, args.questions, args.answers, args.tags, args.out, args.threshold,
-            (args.questions_header, args.answers_header, args.tags_header), args.single_file)
+            (args.questions_header, args.answers_header, args.tags_header), args.single_file, args.scan_partitions)
     finally:
         spark.stop()
     return 0
