@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from qalens.model import QAData
 from qalens.plans import reports
+from qalens.plans.oracle import PAIRS_SQL, TOP_TAGS_SQL, mean_time_sql
 from qalens.session import fresh_path
 from qalens.sources import ingest
 from qalens.sources.text import scan_lines, strip_header
@@ -191,7 +192,6 @@ t AS (SELECT CAST(f[1] AS INTEGER) AS question_id, f[2] AS tag
 
 
 def oracle_sql():
-    from qalens.plans.registry import PAIRS_SQL, TOP_TAGS_SQL, mean_time_sql
     all_lines = f"{EVENT_QUESTION_LINES_SQL},{ANSWER_LINES_SQL},{TAG_LINES_SQL},{PARSED_SQL}"
     dump = f"{ORDER_QUESTION_LINES_SQL},{ANSWER_LINES_SQL},{TAG_LINES_SQL},{PARSED_SQL},{PAIRS_SQL}"
     return {
