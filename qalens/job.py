@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from qalens.functions.timing import DAY_MINUTES
 from qalens.model import QAData
 from qalens.plans.reports import mean_time_answer_from, per_tag_summary, top_tags_from
-from qalens.session import apply_conf, fresh_path
+from qalens.session import apply_conf, build_session, fresh_path
 from qalens.sinks.text import write_mean_time_answer, write_top_tags
 from qalens.sources.ingest import read_dump
 
@@ -66,7 +66,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--single-file", action="store_true", help="one part file per report")
     parser.add_argument("--scan-partitions", type=int, help="range partitions of the nearest-answer scan")
     args = parser.parse_args(argv)
-    spark = SparkSession.builder.appName("qalens").getOrCreate()
+    spark = build_session(app_name="qalens")
     try:
         run(spark, args.questions, args.answers, args.tags, args.out, args.threshold,
             (args.questions_header, args.answers_header, args.tags_header), args.single_file, args.scan_partitions)

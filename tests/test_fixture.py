@@ -129,3 +129,20 @@ def test_strict_question_parsing(spark, tmp_path):
     assert set(got) == {1, 5, 6, 10}
     assert got[5] == 1609455600123456  # 2020-12-31T23:00:00.123456Z
     assert got[6] == 1609479000000000  # 2021-01-01T05:30:00Z
+
+
+def test_command_line_job_in_its_own_process(dump, tmp_path):
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = str(tmp_path / "cli")
+    env = dict(os.environ, PYTHONPATH=root, PYSPARK_SUBMIT_ARGS="--master local[2] --conf spark.ui.enabled=false "
+               f"--conf spark.checkpoint.dir={tmp_path / 'ck'} pyspark-shell")
+    q, a, t = dump
+    done = subprocess.run([sys.executable, "-m", "qalens.job", out, "--questions", q, "--answers", a, "--tags", t,
+                           "--single-file"], env=env, cwd=root, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert read_parts(os.path.join(out, "top_tags")) == ["(java,4)", "(spark,2)", "(edge,1)", "(slow,1)"]
+    assert sorted(read_parts(os.path.join(out, "mean_time_answer"))) == \
+        ["(edge,(1439,1.0))", "(java,(2,1.0))", "(spark,(10,0.5))"]
