@@ -54,3 +54,9 @@ def test_range_exchange_is_read_once_by_both_branches(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in final or final.lower().count("rangepartitioning") == 1
+
+
+def test_one_exchange_by_tag_for_the_mean_time_report(spark):
+    df = mean_time_answer(orders_view(spark, SF_SMALL), 43200)
+    initial = df._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(tag#\d+,", initial)) == 1
