@@ -166,3 +166,29 @@ def test_hot_link_balance_and_exactness_at_larger_size(spark):
              .unionByName(answers.select("link", "creation_ts"))
              .repartitionByRange(parts, "link", "creation_ts").groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 2 * (n_q + n_a) / parts
+
+
+def test_one_big_group_is_linear(spark):
+    """100k rows of one link in one partition: every window frame must be incremental
+    (an unbounded-following frame re-aggregates per row and would take minutes here)."""
+    import time
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    n = 100_000
+    is_q = rng.random(n) < 0.5
+    ts = BASE + rng.integers(0, 10**11, n)
+    questions = spark.createDataFrame([(i, int(t)) for i, t in enumerate(ts[is_q])], "id long, us long") \
+        .selectExpr("id", "7 AS link", "timestamp_micros(us) AS creation_ts")
+    answers = spark.createDataFrame([(int(t),) for t in ts[~is_q]], "us long") \
+        .selectExpr("7 AS link", "timestamp_micros(us) AS creation_ts")
+    started = time.time()
+    got = {r.id: r.nearest_us for r in answer_scan(questions, answers, 1, materialize_input=False).collect()}
+    assert time.time() - started < 60
+    a = np.sort(ts[~is_q])
+    q = ts[is_q]
+    pos = np.searchsorted(a, q)
+    before = np.where(pos > 0, q - a[np.maximum(pos - 1, 0)], np.iinfo(np.int64).max)
+    after = np.where(pos < len(a), a[np.minimum(pos, len(a) - 1)] - q, np.iinfo(np.int64).max)
+    assert got == {i: int(d) for i, d in enumerate(np.minimum(before, after))}
