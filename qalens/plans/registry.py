@@ -87,6 +87,17 @@ def queries() -> dict[str, Query]:
         "render_mean_time_answer": _render_mean_time,
         "render_top_tags": _render_top_tags,
     }
+    od = _orders
+    q.update({
+        # the same operators on the orders view (answers hang off their question id)
+        "questions_with_tags_orders": lambda spark, sf: questions_with_tags(od(spark, sf)),
+        "answered_questions_orders": lambda spark, sf: agg.answered_questions(od(spark, sf)),
+        "question_weights_orders": lambda spark, sf: agg.question_weights(od(spark, sf).questions),
+        "answers_per_question_orders": lambda spark, sf: agg.answers_per_question(od(spark, sf)),
+        "tags_per_question_orders": lambda spark, sf: agg.render_tag_list(agg.tags_per_question(od(spark, sf))),
+        "explode_tags_orders": lambda spark, sf: agg.explode_tags(agg.full_questions(od(spark, sf))),
+        "fast_answers_orders": lambda spark, sf: agg.fast_answers(_pairs(od)(spark, sf), views.ORDERS_THRESHOLD),
+    })
     q.update(ingest_views.queries())
     return q
 
@@ -129,5 +140,10 @@ def oracle_sql() -> dict[str, str]:
                                              + mean_time_sql(1440) + ")"),
         "render_top_tags": _with(ev, "SELECT '(' || tag || ',' || n || ')' AS line FROM (" + TOP_TAGS_SQL + ")"),
     }
+    for name in ("questions_with_tags", "answered_questions", "question_weights", "answers_per_question",
+                 "tags_per_question", "explode_tags"):
+        sql[f"{name}_orders"] = sql[name].replace(ev, od, 1)
+    sql["fast_answers_orders"] = _with(od, "SELECT id, tag, count(*) AS n, minutes FROM pairs WHERE minutes < 43200 "
+                                           "GROUP BY id, tag, minutes")
     sql.update(ingest_views.oracle_sql())
     return sql
