@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from qalens.functions.timing import DAY_MINUTES
 from qalens.model import QAData
 from qalens.plans.reports import mean_time_answer_from, per_tag_summary, top_tags_from
-from qalens.session import apply_conf, build_session, fresh_path
+from qalens.session import apply_conf, build_session, fresh_path, run_scratch
 from qalens.sinks.text import write_mean_time_answer, write_top_tags
 from qalens.sources.ingest import read_dump
 
@@ -45,11 +45,12 @@ def run(spark: SparkSession, questions: str, answers: str, tags: str, out: str,
     narrow scan input (about 30 bytes per question or answer).
     """
     apply_conf(spark)
-    data = read_dump(spark, questions, answers, tags, headers)
-    summary = shared_summary(spark, data, threshold, scan_partitions)
     mean_path, top_path = os.path.join(out, "mean_time_answer"), os.path.join(out, "top_tags")
-    write_mean_time_answer(mean_time_answer_from(summary), mean_path, single_file)
-    write_top_tags(top_tags_from(summary), top_path, single_file)
+    with run_scratch(spark):  # intermediate tables of this run, removed once both reports are written
+        data = read_dump(spark, questions, answers, tags, headers)
+        summary = shared_summary(spark, data, threshold, scan_partitions)
+        write_mean_time_answer(mean_time_answer_from(summary), mean_path, single_file)
+        write_top_tags(top_tags_from(summary), top_path, single_file)
     return mean_path, top_path
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +61,38 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or checkpoint_dir
 
 
+# Session setting naming the scratch folder of the running job (see ``run_scratch``).
+SCRATCH_KEY = "qalens.scratch.dir"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path under the shared scratch folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A new, unused path under the job's scratch folder (default: the shared scratch folder)."""
+    base = spark.conf.get(SCRATCH_KEY, None) or shared_dir(spark)
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` on whatever file system it names (HDFS, object store, local)."""
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+@contextmanager
+def run_scratch(spark: SparkSession) -> Iterator[str]:
+    """A scratch folder for one job run under the shared folder, removed when the run ends.
+
+    Only for work whose results are fully written before the block exits: lazy frames that
+    still read from the folder must not outlive it.
+    """
+    root = os.path.join(shared_dir(spark), f"run-{uuid.uuid4().hex}")
+    previous = spark.conf.get(SCRATCH_KEY, None)
+    spark.conf.set(SCRATCH_KEY, root)
+    try:
+        yield root
+    finally:
+        if previous is None:
+            spark.conf.unset(SCRATCH_KEY)
+        else:
+            spark.conf.set(SCRATCH_KEY, previous)
+        delete_path(spark, root)

@@ -146,3 +146,29 @@ def test_command_line_job_in_its_own_process(dump, tmp_path):
     assert read_parts(os.path.join(out, "top_tags")) == ["(java,4)", "(spark,2)", "(edge,1)", "(slow,1)"]
     assert sorted(read_parts(os.path.join(out, "mean_time_answer"))) == \
         ["(edge,(1439,1.0))", "(java,(2,1.0))", "(spark,(10,0.5))"]
+
+
+def test_empty_dumps_give_empty_reports(spark, tmp_path):
+    paths = []
+    for name in ("q.csv", "a.csv", "t.csv"):
+        (tmp_path / name).write_text("", encoding="utf-8")
+        paths.append(str(tmp_path / name))
+    mean_path, top_path = run(spark, *paths, str(tmp_path / "out"))
+    assert read_parts(mean_path) == [] and read_parts(top_path) == []
+
+
+def test_header_only_dumps_give_empty_reports(spark, tmp_path):
+    paths = [write_text(tmp_path / "q.csv", QUESTIONS[:1]), write_text(tmp_path / "a.csv", ANSWERS[:1]),
+             write_text(tmp_path / "t.csv", TAGS[:1])]
+    mean_path, top_path = run(spark, *paths, str(tmp_path / "out"))
+    assert read_parts(mean_path) == [] and read_parts(top_path) == []
+
+
+def test_job_removes_its_scratch_tables(spark, dump, tmp_path):
+    from qalens.session import shared_dir
+    root = shared_dir(spark)
+    local = root[len("file:"):] if root.startswith("file:") else root
+    before = set(os.listdir(local))
+    run(spark, *dump, str(tmp_path / "out"))
+    assert not [n for n in set(os.listdir(local)) - before if n.startswith("run-")]
+    assert spark.conf.get("qalens.scratch.dir", None) is None
