@@ -48,17 +48,13 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is only read here. Where it is
-    unset (local tests) a fresh folder is created and registered once.
+    unset (local tests) a fresh local folder is registered as the checkpoint folder once.
     """
-    checkpoint_dir = spark.sparkContext.getCheckpointDir()
-    if not checkpoint_dir:
-        checkpoint_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not checkpoint_dir:
-        checkpoint_dir = tempfile.mkdtemp(prefix="qalens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", checkpoint_dir)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(checkpoint_dir)
-    return spark.sparkContext.getCheckpointDir() or checkpoint_dir
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="qalens-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 # Session setting naming the scratch folder of the running job (see ``run_scratch``).
