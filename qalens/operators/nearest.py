@@ -53,18 +53,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def answer_scan(questions: DataFrame, answers: DataFrame, partitions: int | None = None,
-                materialize_input: bool = True) -> DataFrame:
-    """One row per question row.
-
-    questions: ``id, link, creation_ts``; answers: ``link, creation_ts``.
-
-    Returns ``id, link, q_us, prev_us, next_us, nearest_us, n_answers, first_us, last_us``
-    (instants as epoch microseconds; ``nearest_us`` is NULL when the link has no answer).
-
-    With ``materialize_input`` (the default) the narrow input is written before the range
-    exchange; this runs one job when the function is called.
-    """
+def ranged_input(questions: DataFrame, answers: DataFrame, partitions: int | None = None,
+                 materialize_input: bool = True) -> DataFrame:
+    """Step 1: the narrow union ``(link, ts, is_q, id)`` range-partitioned, with its partition ``pid``."""
     n_parts = _partitions(questions, partitions)
     id_type = questions.schema["id"].dataType
     q = questions.where(F.col("creation_ts").isNotNull()).select(
@@ -75,48 +66,75 @@ def answer_scan(questions: DataFrame, answers: DataFrame, partitions: int | None
     narrow = q.unionByName(a)
     if materialize_input:
         narrow = materialize(narrow, "answer-scan-input")
-    ranged = (narrow
-              .repartitionByRange(n_parts, "link", "ts", "is_q", "id")
-              .withColumn("pid", F.spark_partition_id()))
+    return (narrow
+            .repartitionByRange(n_parts, "link", "ts", "is_q", "id")
+            .withColumn("pid", F.spark_partition_id()))
 
-    answer_ts = F.when(~F.col("is_q"), F.col("ts"))
+
+def _answer_ts() -> F.Column:
+    """``ts`` on answer rows, NULL on question rows."""
+    return F.when(~F.col("is_q"), F.col("ts"))
+
+
+def scan_within(ranged: DataFrame) -> DataFrame:
+    """Step 2: per ``(pid, link)`` group, the neighbouring answers of every row and the group's answers."""
     in_order = Window.partitionBy("pid", "link").orderBy("ts", "is_q")
     upto_here = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # PySpark's lead() has no ignore-nulls flag; the SQL form uses the same window spec.
     next_later = F.expr("lead(CASE WHEN NOT is_q THEN ts END, 1) IGNORE NULLS "
                         "OVER (PARTITION BY pid, link ORDER BY ts, is_q)")
-    scanned = ranged.select(
+    return ranged.select(
         "pid", "link", "ts", "is_q", "id",
-        F.max(answer_ts).over(upto_here).alias("prev_in"),
+        F.max(_answer_ts()).over(upto_here).alias("prev_in"),
         next_later.alias("next_in"),
-        F.count(answer_ts).over(whole).alias("n_in"),
-        F.min(answer_ts).over(whole).alias("first_in"),
-        F.max(answer_ts).over(whole).alias("last_in"),
+        F.count(_answer_ts()).over(whole).alias("n_in"),
+        F.min(_answer_ts()).over(whole).alias("first_in"),
+        F.max(_answer_ts()).over(whole).alias("last_in"),
     )
 
-    # Answers of the same link in other range partitions.
+
+def carry_frame(scanned: DataFrame) -> DataFrame:
+    """Step 3: for links spread over several range partitions, the answers held by the others.
+
+    At most two rows per range partition (its first and last link), whatever the data.
+    """
     summary = scanned.groupBy("pid", "link").agg(
-        F.count(answer_ts).alias("n"), F.min(answer_ts).alias("amin"), F.max(answer_ts).alias("amax"))
+        F.count(_answer_ts()).alias("n"), F.min(_answer_ts()).alias("amin"), F.max(_answer_ts()).alias("amax"))
     by_link = Window.partitionBy("link").orderBy(F.col("pid").asc())
     by_link_desc = Window.partitionBy("link").orderBy(F.col("pid").desc())
     everywhere = by_link.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carries = (summary.where(F.col("link").isNotNull())
-               .select(
-                   "pid", "link",
-                   F.max("amax").over(by_link.rowsBetween(Window.unboundedPreceding, -1)).alias("prev_out"),
-                   F.min("amin").over(by_link_desc.rowsBetween(Window.unboundedPreceding, -1)).alias("next_out"),
-                   (F.sum("n").over(everywhere) - F.col("n")).alias("n_out"),
-                   F.min("amin").over(everywhere).alias("first_all"),
-                   F.max("amax").over(everywhere).alias("last_all"),
-                   F.count("*").over(everywhere).alias("spans"))
-               .where(F.col("spans") > 1)
-               .drop("spans"))
+    return (summary.where(F.col("link").isNotNull())
+            .select(
+                "pid", "link",
+                F.max("amax").over(by_link.rowsBetween(Window.unboundedPreceding, -1)).alias("prev_out"),
+                F.min("amin").over(by_link_desc.rowsBetween(Window.unboundedPreceding, -1)).alias("next_out"),
+                (F.sum("n").over(everywhere) - F.col("n")).alias("n_out"),
+                F.min("amin").over(everywhere).alias("first_all"),
+                F.max("amax").over(everywhere).alias("last_all"),
+                F.count("*").over(everywhere).alias("spans"))
+            .where(F.col("spans") > 1)
+            .drop("spans"))
+
+
+def answer_scan(questions: DataFrame, answers: DataFrame, partitions: int | None = None,
+                materialize_input: bool = True) -> DataFrame:
+    """One row per question row.
 
+    questions: ``id, link, creation_ts``; answers: ``link, creation_ts``.
+
+    Returns ``id, link, q_us, prev_us, next_us, nearest_us, n_answers, first_us, last_us``
+    (instants as epoch microseconds; ``nearest_us`` is NULL when the link has no answer).
+
+    With ``materialize_input`` (the default) the narrow input is written before the range
+    exchange; this runs one job when the function is called.
+    """
+    scanned = scan_within(ranged_input(questions, answers, partitions, materialize_input))
+    carries = carry_frame(scanned)
     prev_us = F.greatest(F.col("prev_in"), F.col("prev_out"))
     next_us = F.least(F.col("next_in"), F.col("next_out"))
     return (scanned.where(F.col("is_q"))
-            .join(F.broadcast(carries), ["pid", "link"], "left")
+            .join(F.broadcast(carries), ["pid", "link"], "left")  # bounded: <= 2 rows per partition
             .select(
                 "id", "link", F.col("ts").alias("q_us"),
                 prev_us.alias("prev_us"), next_us.alias("next_us"),

@@ -192,3 +192,18 @@ def test_one_big_group_is_linear(spark):
     before = np.where(pos > 0, q - a[np.maximum(pos - 1, 0)], np.iinfo(np.int64).max)
     after = np.where(pos < len(a), a[np.minimum(pos, len(a) - 1)] - q, np.iinfo(np.int64).max)
     assert got == {i: int(d) for i, d in enumerate(np.minimum(before, after))}
+
+
+def test_carry_frame_is_bounded_by_two_rows_per_partition(spark):
+    from qalens.operators.nearest import carry_frame, ranged_input, scan_within
+    from qalens.sources.views import events_view
+    from conftest import SF_CHECK
+
+    questions, answers, _ = random_tables(9, n_q=3000, n_a=6000, hot_share=0.6)
+    synthetic = frames(spark, questions, answers, [(0, "x")])
+    for data, parts in ((synthetic, 16), (synthetic, 64), (events_view(spark, SF_CHECK), 32)):
+        carries = carry_frame(scan_within(ranged_input(data.questions, data.answers, parts, False)))
+        n = carries.count()
+        assert n <= 2 * parts
+        per_pid = carries.groupBy("pid").count().agg({"count": "max"}).first()[0]
+        assert per_pid is None or per_pid <= 2
