@@ -40,10 +40,20 @@ from qalens.functions.timing import epoch_micros
 from qalens.session import fresh_path
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
+# Range partitions per input split of the written narrow frame: a 128 MB split of that parquet
+# holds ~9M rows, ~360 MB as rows in memory; two partitions per split keep each near 180 MB.
+PARTITIONS_PER_SPLIT = 2
+
+
+def _partitions(df: DataFrame, partitions: int | None, written: bool) -> int:
+    """Explicit count, else ``spark.sql.shuffle.partitions``, raised for large written input."""
     if partitions:
         return int(partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if written:
+        # split count of a plain parquet scan: file listing only, no job
+        return max(configured, PARTITIONS_PER_SPLIT * df.rdd.getNumPartitions())
+    return configured
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -56,7 +66,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def ranged_input(questions: DataFrame, answers: DataFrame, partitions: int | None = None,
                  materialize_input: bool = True) -> DataFrame:
     """Step 1: the narrow union ``(link, ts, is_q, id)`` range-partitioned, with its partition ``pid``."""
-    n_parts = _partitions(questions, partitions)
     id_type = questions.schema["id"].dataType
     q = questions.where(F.col("creation_ts").isNotNull()).select(
         F.col("link"), epoch_micros(F.col("creation_ts")).alias("ts"), F.lit(True).alias("is_q"), F.col("id"))
@@ -66,6 +75,7 @@ def ranged_input(questions: DataFrame, answers: DataFrame, partitions: int | Non
     narrow = q.unionByName(a)
     if materialize_input:
         narrow = materialize(narrow, "answer-scan-input")
+    n_parts = _partitions(narrow, partitions, materialize_input)
     return (narrow
             .repartitionByRange(n_parts, "link", "ts", "is_q", "id")
             .withColumn("pid", F.spark_partition_id()))
