@@ -7,7 +7,7 @@ Plan (no question x answer pairs are ever formed, and no link is held by one tas
 
 1. Questions and answers are unioned into one narrow frame ``(link, ts, is_q, id)``, written
    once to the shared scratch folder (``spark.checkpoint.dir``), and range-partitioned on
-   ``(link, ts, is_q, id)``. Range bounds come from a sampling pass, so a link holding a third
+   ``(link, ts, is_q, id, tiebreaker)``. Range bounds come from a sampling pass, so a link holding a third
    of all rows is cut into many partitions of similar size. Writing the narrow frame first
    means the sampling pass (and any re-sampling of oversized partitions) reads a few narrow
    columns instead of re-scanning and re-parsing the inputs, and it cuts the lineage: a
@@ -72,13 +72,17 @@ def ranged_input(questions: DataFrame, answers: DataFrame, partitions: int | Non
     a = answers.where(F.col("creation_ts").isNotNull() & F.col("link").isNotNull()).select(
         F.col("link"), epoch_micros(F.col("creation_ts")).alias("ts"), F.lit(False).alias("is_q"),
         F.lit(None).cast(id_type).alias("id"))
-    narrow = q.unionByName(a)
+    # ``tb`` breaks ties of the range key, so even rows identical in (link, ts, is_q, id) -- e.g. a
+    # burst of answers at one instant -- can be cut into several partitions. It is fixed per input
+    # split and row position, so a re-run task assigns every row to the same partition.
+    narrow = q.unionByName(a).withColumn("tb", F.monotonically_increasing_id())
     if materialize_input:
         narrow = materialize(narrow, "answer-scan-input")
     n_parts = _partitions(narrow, partitions, materialize_input)
     return (narrow
-            .repartitionByRange(n_parts, "link", "ts", "is_q", "id")
-            .withColumn("pid", F.spark_partition_id()))
+            .repartitionByRange(n_parts, "link", "ts", "is_q", "id", "tb")
+            .withColumn("pid", F.spark_partition_id())
+            .drop("tb"))
 
 
 def _answer_ts() -> F.Column:

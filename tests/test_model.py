@@ -207,3 +207,23 @@ def test_carry_frame_is_bounded_by_two_rows_per_partition(spark):
         assert n <= 2 * parts
         per_pid = carries.groupBy("pid").count().agg({"count": "max"}).first()[0]
         assert per_pid is None or per_pid <= 2
+
+
+def test_burst_at_one_instant_is_split_and_exact(spark):
+    """40k answers of one link at the same instant (identical range keys) plus questions around it."""
+    from pyspark.sql import functions as F
+
+    from qalens.operators.nearest import ranged_input
+
+    burst = [(5, BASE)] * 40_000 + [(5, BASE + 7 * 60_000_000), (6, BASE)]
+    questions = [(i, BASE + (i - 50) * 60_000_000, 5) for i in range(100)] + [(1000, BASE, 6)]
+    data = frames(spark, questions, burst, [(0, "x")])
+    sizes = [r["count"] for r in ranged_input(data.questions, data.answers, 8, False)
+             .groupBy("pid").count().collect()]
+    assert max(sizes) < 2 * sum(sizes) / 8
+    got = {r.id: r.nearest_us for r in answer_scan(data.questions, data.answers, 8, False).collect()}
+    for i in range(100):
+        q_ts = BASE + (i - 50) * 60_000_000
+        assert got[i] == min(abs(q_ts - BASE), abs(q_ts - (BASE + 7 * 60_000_000)))
+    assert got[1000] == 0
+    assert {r.id: r.n_answers for r in answer_scan(data.questions, data.answers, 8, False).collect()}[0] == 40_001
