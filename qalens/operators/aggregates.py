@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from qalens.functions.timing import DAY_MINUTES, epoch_micros, int_div, whole_minutes
 from qalens.model import QAData
-from qalens.operators.joins import question_copies, tag_multiset, tagged_ids, with_tags
+from qalens.operators.joins import question_copies, tagged_ids, with_tags
 from qalens.operators.nearest import answer_scan
 
 
