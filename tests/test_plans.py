@@ -60,3 +60,13 @@ def test_one_exchange_by_tag_for_the_mean_time_report(spark):
     df = mean_time_answer(orders_view(spark, SF_SMALL), 43200)
     initial = df._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"hashpartitioning\(tag#\d+,", initial)) == 1
+
+
+@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+def test_no_frame_is_reaggregated_per_row(spark, name):
+    # Spark re-aggregates "<x> .. UNBOUNDED FOLLOWING" frames for every row (quadratic per group);
+    # only the whole-partition frame may end there.
+    text = plan_text(entry_module.queries()[name](spark, SF_SMALL))
+    bad = re.findall(r"specifiedwindowframe\((?:RowFrame|RangeFrame), (?!unboundedpreceding)[^,()]+(?:\(\))?, "
+                     r"unboundedfollowing", text)
+    assert not bad, bad
