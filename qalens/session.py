@@ -11,9 +11,11 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 # Settings the job's semantics depend on (elapsed minutes are computed on instants; the
-# timestamp columns of the parquet test tables are TIMESTAMP_NTZ and are read as UTC).
+# timestamp columns of the parquet test tables are TIMESTAMP_NTZ and are read as UTC; dates are
+# parsed by the current, strict datetime parser, never the legacy one).
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
