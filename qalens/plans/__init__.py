@@ -1,0 +1 @@
+"""Query plans: the two reports, the registered queries and their DuckDB oracle SQL."""

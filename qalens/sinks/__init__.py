@@ -1,0 +1 @@
+"""Outputs: tuple-form text reports."""
