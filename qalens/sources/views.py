@@ -47,12 +47,10 @@ def events_answers(events: DataFrame) -> DataFrame:
 
 
 def events_tags(events: DataFrame) -> DataFrame:
-    vk = view_k(events)
-    ones = vk.select(F.col("event_id").alias("question_id"),
-                     F.concat(F.lit("k"), (F.col("k") % 10).cast("string")).alias("tag"))
-    tens = vk.select(F.col("event_id").alias("question_id"),
-                     F.concat(F.lit("k"), F.call_function("div", F.col("k"), F.lit(10)).cast("string")).alias("tag"))
-    return ones.unionByName(tens)
+    """Both tags of every view event from one scan (a two-element array, exploded)."""
+    ones = F.concat(F.lit("k"), (F.col("k") % 10).cast("string"))
+    tens = F.concat(F.lit("k"), F.call_function("div", F.col("k"), F.lit(10)).cast("string"))
+    return view_k(events).select(F.col("event_id").alias("question_id"), F.explode(F.array(ones, tens)).alias("tag"))
 
 
 def events_view(spark: SparkSession, sf_dir: str) -> QAData:
