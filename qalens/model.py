@@ -19,6 +19,9 @@ answer with a NULL link cannot take part in a latency and are dropped by the sca
 range exchange (whose sampling pass would otherwise recompute the inputs). That pays off
 when the inputs are expensive to recompute (text dumps that are scanned and parsed); plain
 columnar scans are cheaper to read twice.
+
+``scan_rows`` optionally gives the scan its input ``id, link, creation_ts, is_q`` directly,
+for views whose questions and answers come from one table and can be read in one scan.
 """
 
 from __future__ import annotations
@@ -41,6 +44,7 @@ class QAData:
     answers: DataFrame
     tags: DataFrame
     materialize_scan: bool = True
+    scan_rows: DataFrame | None = None
 
     @staticmethod
     def keyed_by_question(questions: DataFrame, answers: DataFrame, tags: DataFrame,

@@ -31,7 +31,7 @@ def first_answer_minutes(data: QAData, partitions: int | None = None) -> DataFra
     ``minutes`` = whole minutes between the question and its nearest answer (before or after);
     for a repeated id, the nearest over its copies.
     """
-    scan = answer_scan(data.questions, data.answers, partitions, data.materialize_scan)
+    scan = answer_scan(data.questions, data.answers, partitions, data.materialize_scan, data.scan_rows)
     return (scan.groupBy("id")
             .agg(F.count(F.lit(1)).alias("copies"), whole_minutes(F.min("nearest_us")).alias("minutes"))
             .where(F.col("minutes").isNotNull()))
@@ -42,7 +42,7 @@ def answers_per_question(data: QAData, partitions: int | None = None) -> DataFra
 
     The answers of an id are the answers of the distinct links of its copies.
     """
-    scan = answer_scan(data.questions, data.answers, partitions, data.materialize_scan)
+    scan = answer_scan(data.questions, data.answers, partitions, data.materialize_scan, data.scan_rows)
     per_link = scan.groupBy("id", "link").agg(
         F.max("n_answers").alias("n_answers"), F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"))
     return (per_link.groupBy("id")
@@ -82,7 +82,7 @@ def full_questions(data: QAData, partitions: int | None = None) -> DataFrame:
     The answer list of each question is summarised (count, nearest minutes) rather than
     materialised, so no question needs all of its answers in one row.
     """
-    scan = answer_scan(data.questions, data.answers, partitions, data.materialize_scan)
+    scan = answer_scan(data.questions, data.answers, partitions, data.materialize_scan, data.scan_rows)
     per_link = scan.groupBy("id", "link").agg(
         F.count(F.lit(1)).alias("copies"), F.min("nearest_us").alias("nearest_us"),
         F.max("n_answers").alias("n_answers"))

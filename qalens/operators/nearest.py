@@ -64,18 +64,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def ranged_input(questions: DataFrame, answers: DataFrame, partitions: int | None = None,
-                 materialize_input: bool = True) -> DataFrame:
-    """Step 1: the narrow union ``(link, ts, is_q, id)`` range-partitioned, with its partition ``pid``."""
-    id_type = questions.schema["id"].dataType
-    q = questions.where(F.col("creation_ts").isNotNull()).select(
-        F.col("link"), epoch_micros(F.col("creation_ts")).alias("ts"), F.lit(True).alias("is_q"), F.col("id"))
-    a = answers.where(F.col("creation_ts").isNotNull() & F.col("link").isNotNull()).select(
-        F.col("link"), epoch_micros(F.col("creation_ts")).alias("ts"), F.lit(False).alias("is_q"),
-        F.lit(None).cast(id_type).alias("id"))
+                 materialize_input: bool = True, rows: DataFrame | None = None) -> DataFrame:
+    """Step 1: the narrow union ``(link, ts, is_q, id)`` range-partitioned, with its partition ``pid``.
+
+    ``rows`` (``id, link, creation_ts, is_q``) replaces the union of questions and answers when a
+    view can read both in one scan.
+    """
+    if rows is None:
+        id_type = questions.schema["id"].dataType
+        rows = questions.select("id", "link", "creation_ts", F.lit(True).alias("is_q")).unionByName(
+            answers.select(F.lit(None).cast(id_type).alias("id"), "link", "creation_ts", F.lit(False).alias("is_q")))
+    usable = F.col("creation_ts").isNotNull() & (F.col("is_q") | F.col("link").isNotNull())
+    narrow_rows = rows.where(usable).select(
+        "link", epoch_micros(F.col("creation_ts")).alias("ts"), "is_q", F.when(F.col("is_q"), F.col("id")).alias("id"))
     # ``tb`` breaks ties of the range key, so even rows identical in (link, ts, is_q, id) -- e.g. a
     # burst of answers at one instant -- can be cut into several partitions. It is fixed per input
     # split and row position, so a re-run task assigns every row to the same partition.
-    narrow = q.unionByName(a).withColumn("tb", F.monotonically_increasing_id())
+    narrow = narrow_rows.withColumn("tb", F.monotonically_increasing_id())
     if materialize_input:
         narrow = materialize(narrow, "answer-scan-input")
     n_parts = _partitions(narrow, partitions, materialize_input)
@@ -132,7 +137,7 @@ def carry_frame(scanned: DataFrame) -> DataFrame:
 
 
 def answer_scan(questions: DataFrame, answers: DataFrame, partitions: int | None = None,
-                materialize_input: bool = True) -> DataFrame:
+                materialize_input: bool = True, rows: DataFrame | None = None) -> DataFrame:
     """One row per question row.
 
     questions: ``id, link, creation_ts``; answers: ``link, creation_ts``.
@@ -143,7 +148,7 @@ def answer_scan(questions: DataFrame, answers: DataFrame, partitions: int | None
     With ``materialize_input`` (the default) the narrow input is written before the range
     exchange; this runs one job when the function is called.
     """
-    scanned = scan_within(ranged_input(questions, answers, partitions, materialize_input))
+    scanned = scan_within(ranged_input(questions, answers, partitions, materialize_input, rows))
     carries = carry_frame(scanned)
     prev_us = F.greatest(F.col("prev_in"), F.col("prev_out"))
     next_us = F.least(F.col("next_in"), F.col("next_out"))

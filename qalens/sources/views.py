@@ -46,6 +46,14 @@ def events_answers(events: DataFrame) -> DataFrame:
                     F.floor("value").cast("int").alias("score")))
 
 
+def events_scan_rows(events: DataFrame) -> DataFrame:
+    """Questions and answers of the events view as one narrow frame, from one scan."""
+    is_q = F.col("event_type") == "view"
+    return (events.where(F.col("event_type").isin("view", "purchase"))
+            .select(F.when(is_q, F.col("event_id")).alias("id"), F.col("user_id").alias("link"),
+                    instant("ts").alias("creation_ts"), is_q.alias("is_q")))
+
+
 def events_tags(events: DataFrame) -> DataFrame:
     """Both tags of every view event from one scan (a two-element array, exploded)."""
     ones = F.concat(F.lit("k"), (F.col("k") % 10).cast("string"))
@@ -55,7 +63,8 @@ def events_tags(events: DataFrame) -> DataFrame:
 
 def events_view(spark: SparkSession, sf_dir: str) -> QAData:
     events = table(spark, sf_dir, "events")
-    return QAData(events_questions(events), events_answers(events), events_tags(events), materialize_scan=False)
+    return QAData(events_questions(events), events_answers(events), events_tags(events), materialize_scan=False,
+                  scan_rows=events_scan_rows(events))
 
 
 def orders_view(spark: SparkSession, sf_dir: str) -> QAData:
