@@ -172,3 +172,15 @@ def test_job_removes_its_scratch_tables(spark, dump, tmp_path):
     run(spark, *dump, str(tmp_path / "out"))
     assert not [n for n in set(os.listdir(local)) - before if n.startswith("run-")]
     assert spark.conf.get("qalens.scratch.dir", None) is None
+
+
+def test_header_removed_by_value_in_every_file_of_a_directory(spark, tmp_path):
+    folder = tmp_path / "questions"
+    folder.mkdir()
+    write_text(folder / "part-1.csv", QUESTIONS[:5])
+    write_text(folder / "part-2.csv", [QUESTIONS[0]] + QUESTIONS[5:])
+    from qalens.sources.text import scan_lines, strip_header
+    lines = strip_header(scan_lines(spark, str(folder)), QUESTIONS[0])
+    assert lines.where(f"value = '{QUESTIONS[0]}'").count() == 0
+    assert lines.count() == len(QUESTIONS) - 1
+    assert sorted(r.id for r in parse_questions(lines).collect()) == [1, 2, 3, 4, 6, 7, 8]
