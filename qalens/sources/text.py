@@ -15,11 +15,14 @@ def strip_header(lines: DataFrame, header: str | None = None) -> DataFrame:
     """Drop every line equal to the header.
 
     Without an explicit ``header`` the first line of the input is taken (one driver round
-    trip of a single line). That is only reliable for a single file — a directory scan may
-    start with another file's split — so pass ``header`` for directories. Empty input is
-    returned unchanged.
+    trip of a single line). That is only reliable for a single file — a scan of several files
+    may start with another file's split, and its first line would then be deleted everywhere —
+    so several input files without an explicit ``header`` raise. Empty input is returned
+    unchanged.
     """
     if header is None:
+        if len(lines.inputFiles()) > 1:
+            raise ValueError("several input files: pass the header line explicitly")
         first = lines.first()
         if first is None:
             return lines

@@ -184,3 +184,13 @@ def test_header_removed_by_value_in_every_file_of_a_directory(spark, tmp_path):
     assert lines.where(f"value = '{QUESTIONS[0]}'").count() == 0
     assert lines.count() == len(QUESTIONS) - 1
     assert sorted(r.id for r in parse_questions(lines).collect()) == [1, 2, 3, 4, 6, 7, 8]
+
+
+def test_first_line_header_needs_a_single_file(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    write_text(folder / "a.csv", QUESTIONS[:3])
+    write_text(folder / "b.csv", QUESTIONS[3:])
+    from qalens.sources.text import scan_lines, strip_header
+    with pytest.raises(ValueError, match="header"):
+        strip_header(scan_lines(spark, str(folder)))
