@@ -40,9 +40,9 @@ def run(spark: SparkSession, questions: str, answers: str, tags: str, out: str,
         single_file: bool = False, scan_partitions: int | None = None) -> tuple[str, str]:
     """Read the dumps, compute both reports from one shared aggregate, write them as text.
 
-    ``scan_partitions`` sets the range partitions of the nearest-answer scan (default
-    ``spark.sql.shuffle.partitions``); size it so one partition holds ~128-256 MB of the
-    narrow scan input (about 30 bytes per question or answer).
+    ``scan_partitions`` sets the range partitions of the nearest-answer scan. By default it is
+    ``spark.sql.shuffle.partitions``, raised to twice the split count of the written narrow
+    scan input (about 30 bytes per question or answer), i.e. ~180 MB of rows per partition.
     """
     apply_conf(spark)
     mean_path, top_path = os.path.join(out, "mean_time_answer"), os.path.join(out, "top_tags")
