@@ -8,7 +8,8 @@ from the ``k`` property: ``'k' || (k % 10)`` and ``'k' || (k div 10)``.
 each line item tags its order with the brand of its part.
 
 Both views are column scans of parquet, which the nearest-answer scan re-reads for its
-range sampling instead of copying them (``materialize_scan=False``).
+range sampling instead of copying them (``materialize_scan=False``). The events view also
+hands the scan its questions and answers as one frame read in one pass (``scan_rows``).
 """
 
 from __future__ import annotations
