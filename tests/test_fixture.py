@@ -194,3 +194,10 @@ def test_first_line_header_needs_a_single_file(spark, tmp_path):
     from qalens.sources.text import scan_lines, strip_header
     with pytest.raises(ValueError, match="header"):
         strip_header(scan_lines(spark, str(folder)))
+
+
+@pytest.mark.parametrize("scan_partitions", [1, 7])
+def test_job_output_does_not_depend_on_scan_partitions(spark, dump, tmp_path, scan_partitions):
+    mean_path, top_path = run(spark, *dump, str(tmp_path / "p"), scan_partitions=scan_partitions)
+    assert sorted(read_parts(mean_path)) == ["(edge,(1439,1.0))", "(java,(2,1.0))", "(spark,(10,0.5))"]
+    assert read_parts(top_path) == ["(java,4)", "(spark,2)", "(edge,1)", "(slow,1)"]
