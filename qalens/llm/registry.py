@@ -28,6 +28,20 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of whole ``documents`` (3-word shingles) and their groups at 3 bits or fewer."""
+    from qalens.llm.simhash_bk import near_duplicate_groups
+
+    return near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents`` against the 10-word windows of all ``benchmark`` items."""
+    from qalens.llm.decontaminate import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents`` tokenized and packed into sequences of at most 2048 tokens, one row a piece."""
     from qalens.llm.packing import packed_documents
@@ -36,8 +50,10 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_token_files, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op5_token_files, op7_simhash_groups, op8_decontamination, op9_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from qalens.llm import decontaminate
+
+    return {"op8_decontamination": decontaminate.SQL}
