@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qalens.llm.common import table
+from qalens.llm.common import held_out, table
 
 #: Vocabulary files, by name; their folder is that of the installed package.
 BYTE_LEVEL, WORD_LEVEL = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -20,6 +20,30 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of whole ``documents`` and of their edited texts, with likenesses."""
+    from qalens.llm.imatch import fingerprints_and_edits
+
+    return fingerprints_and_edits(table(spark, sf_dir, "documents"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of whole ``documents``, learnt from the labels of the rows that aren't held out."""
+    from qalens.llm.quality import quality_scores
+
+    scores = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=~held_out(F.col("doc_id")))
+    return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of whole ``documents``, learnt from the rows that aren't held out."""
+    from qalens.llm.langid import learn_filter, predict_languages
+
+    docs = table(spark, sf_dir, "documents")
+    found = predict_languages(docs, learn_filter(docs, learn=~held_out(F.col("doc_id"))))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents`` written as Simple-8b token files, read back: doc_id, start, n_tokens, ids_crc32."""
     from qalens.llm.token_files import token_file_round_trip
@@ -50,7 +74,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_token_files, op7_simhash_groups, op8_decontamination, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op1_imatch_fingerprints, op3_quality, op4_language, op5_token_files, op7_simhash_groups, op8_decontamination, op9_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
