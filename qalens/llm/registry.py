@@ -73,8 +73,19 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"), tokenizer_file(WORD_LEVEL), end_id=0)
 
 
+#: Key of the registered query; a real run passes its own secret.
+PII_KEY = "example key"
+
+
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents`` with personal data replaced by format-preserving pseudonyms: doc_id, text, n_private."""
+    from qalens.llm.pii import pseudonymised
+
+    return pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, count_col="n_private")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_imatch_fingerprints, op3_quality, op4_language, op5_token_files, op7_simhash_groups, op8_decontamination, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op1_imatch_fingerprints, op3_quality, op4_language, op5_token_files, op7_simhash_groups, op8_decontamination, op9_best_fit_packing, op10_pseudonyms)}
 
 
 def oracle_sql() -> dict[str, str]:
