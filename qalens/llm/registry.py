@@ -27,6 +27,13 @@ def op1_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints_and_edits(table(spark, sf_dir, "documents"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in whole ``documents``: one row a passage that a template matches."""
+    from qalens.llm.licenses import license_matches
+
+    return license_matches(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of whole ``documents``, learnt from the labels of the rows that aren't held out."""
     from qalens.llm.quality import quality_scores
@@ -52,6 +59,13 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_chunk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of whole ``documents`` that occur more than once, by content-defined chunks."""
+    from qalens.llm.chunk_dedup import duplicate_spans
+
+    return duplicate_spans(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of whole ``documents`` (3-word shingles) and their groups at 3 bits or fewer."""
     from qalens.llm.simhash_bk import near_duplicate_groups
@@ -85,7 +99,8 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_imatch_fingerprints, op3_quality, op4_language, op5_token_files, op7_simhash_groups, op8_decontamination, op9_best_fit_packing, op10_pseudonyms)}
+    return {f.__name__: f for f in (op1_imatch_fingerprints, op2_licenses, op3_quality, op4_language, op5_token_files,
+                                     op6_chunk_duplicates, op7_simhash_groups, op8_decontamination, op9_best_fit_packing, op10_pseudonyms)}
 
 
 def oracle_sql() -> dict[str, str]:
