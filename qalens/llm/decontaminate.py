@@ -64,7 +64,27 @@ def contamination(docs: DataFrame, items: DataFrame, item_id: str = "item_id", w
     ``n_hit`` counts the words inside any occurrence of a window, ``n_items`` the items with one; ``items_sha256`` is
     the digest of their ids, sorted as text and joined by commas.
     """
-    rows = id_text(docs).select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("k"), F.xxhash64("text").alias("h"), "text")
+    rows = _keyed(docs)
+    return _result(rows, _hits(rows, items, item_id, window_words, shingle_words))
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, item_id: str = "item_id", window_words: int = WINDOW_WORDS,
+                         shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any more columns) with no occurrence of a window, with all their columns."""
+    hits = _hits(_keyed(docs), items, item_id, window_words, shingle_words)
+    hits = written(hits.where("n_hit > 0").select(F.col("k").alias("__k"), F.col("h").alias("__h")).distinct(), "contaminated")
+    marked = docs.select(*[docs[c] for c in docs.columns], F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("__k"),
+                         F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("__h"))
+    return marked.join(_few(hits), ["__k", "__h"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """A result depends on the text alone, so that a null id may share the key 0."""
+    return id_text(docs).select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("k"), F.xxhash64("text").alias("h"), "text")
+
+
+def _hits(rows: DataFrame, items: DataFrame, item_id: str, window_words: int, shingle_words: int) -> DataFrame:
+    """(k, h, n_hit, n_items, items_sha256) of the contaminated ones of ``rows``."""
     owned = written(item_windows(id_text(items, item_id), window_words), "windows")
     windows = owned.select("window", "size", "w").distinct().withColumn("s", F.least(F.lit(shingle_words), F.col("size")))
 
@@ -74,7 +94,7 @@ def contamination(docs: DataFrame, items: DataFrame, item_id: str = "item_id", w
         part = windows.where(F.col("s") == s).select("window", "size", F.posexplode_outer(_shingles("w", F.col("size"), s)).alias("offset", "shingle"))
         parts = part if parts is None else parts.unionByName(part)
     if parts is None:
-        return _result(rows, rows.limit(0).select("k", "h", F.lit(0).alias("n_hit"), F.lit(0).alias("n_items"), F.lit("").alias("items_sha256")))
+        return rows.where("false").select("k", "h", F.lit(0).alias("n_hit"), F.lit(0).alias("n_items"), F.lit("").alias("items_sha256"))
     parts = written(parts, "window-shingles")
     wanted = _few(written(parts.select("shingle").distinct(), "shingles"))
 
@@ -112,7 +132,7 @@ def contamination(docs: DataFrame, items: DataFrame, item_id: str = "item_id", w
     of_items = held.select("k", "h", "window").distinct().join(owned.select("item", "window"), "window").groupBy("k", "h") \
         .agg(F.array_sort(F.collect_set(F.coalesce("item", F.lit("")))).alias("items")) \
         .select("k", "h", F.size("items").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
-    return _result(rows, hit.join(of_items, ["k", "h"]))
+    return hit.join(of_items, ["k", "h"])
 
 
 def _result(rows: DataFrame, hits: DataFrame) -> DataFrame:

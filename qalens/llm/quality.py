@@ -20,6 +20,7 @@ from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from qalens.llm.common import id_text, written
 
@@ -29,8 +30,11 @@ TREES, DEPTH, SEED = 20, 3, 7
 LASSO = 0.002
 
 
-def text_statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, <STATISTICS>) of every whole text: shares of characters and of words, all doubles."""
+def with_statistics(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataFrame:
+    """``docs`` and <STATISTICS> (with a prefix) of every whole text: shares of characters and of words, all doubles."""
+    fields, place = docs.schema.fields, docs.columns.index(text_col)
+    names = [*docs.columns, *[prefix + s for s in STATISTICS]]
+
     def measure(batches: Iterator) -> Iterator:
         from collections import Counter
 
@@ -63,10 +67,15 @@ def text_statistics(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                values = np.array([one(t) for t in part.column(1).to_pylist()], dtype=np.float64)
-                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(v) for v in values.T]], names=["doc_id", *STATISTICS])
+                values = np.array([one(t or "") for t in part.column(place).to_pylist()], dtype=np.float64)
+                yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array(v) for v in values.T]], names=names)
 
-    return id_text(docs).mapInArrow(measure, "doc_id long, " + ", ".join(f"{s} double" for s in STATISTICS))
+    return docs.mapInArrow(measure, StructType(fields + [StructField(prefix + s, DoubleType()) for s in STATISTICS]))
+
+
+def text_statistics(docs: DataFrame) -> DataFrame:
+    """(doc_id, <STATISTICS>) of the rows of ``docs`` (doc_id, text)."""
+    return with_statistics(id_text(docs)).drop("text")
 
 
 def _paths(node, held: dict, out: list) -> None:
@@ -82,10 +91,10 @@ def _paths(node, held: dict, out: list) -> None:
     _paths(node.rightChild(), held | {name: (at if over is None else max(at, over), upto)}, out)
 
 
-def rule_column(rule: dict) -> Column:
+def rule_column(rule: dict, prefix: str = "") -> Column:
     """1.0 where the rule holds, else 0.0."""
     tests = [t for name, (over, upto) in sorted(rule.items())
-             for t in ([F.col(name) > over] if over is not None else []) + ([F.col(name) <= upto] if upto is not None else [])]
+             for t in ([F.col(prefix + name) > over] if over is not None else []) + ([F.col(prefix + name) <= upto] if upto is not None else [])]
     all_of = tests[0]
     for t in tests[1:]:
         all_of = all_of & t
@@ -118,21 +127,34 @@ def fit_rules(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso
     return float(fitted.intercept), [(float(w), r) for w, r in zip(fitted.coefficients, rules) if w]
 
 
-def score_column(bias: float, weighted: list) -> Column:
+def score_column(bias: float, weighted: list, prefix: str = "") -> Column:
     """The rules compiled into one expression over the statistics."""
     total = F.lit(bias)
     for weight, rule in weighted:
-        total = total + F.lit(weight) * rule_column(rule)
+        total = total + F.lit(weight) * rule_column(rule, prefix)
     return 1 / (1 + F.exp(-total))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> DataFrame:
-    """(doc_id, score) of every row of ``docs``, learnt from ``labels`` (doc_id, quality) of the rows where ``learn``
-    (a condition on doc_id) holds; statistics are worked out once and written to the shared folder."""
-    stats = written(text_statistics(docs), "statistics")
+def _learn(stats: DataFrame, labels: DataFrame, learn: Column | None) -> tuple[float, list]:
     label = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("quality")).where("doc_id IS NOT NULL AND quality IS NOT NULL")
     if learn is not None:
         label = label.where(learn)
     label = label.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
-    bias, weighted = fit_rules(written(stats.join(label, "doc_id").select(*STATISTICS, "label"), "labelled"))
-    return stats.select("doc_id", score_column(bias, weighted).alias("score"))
+    return fit_rules(written(stats.join(label, "doc_id").select(*STATISTICS, "label"), "labelled"))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> DataFrame:
+    """(doc_id, score) of every row of ``docs`` (doc_id, text), learnt from ``labels`` (doc_id, quality) of the ids where
+    ``learn`` holds; statistics are worked out once and written to the shared folder."""
+    stats = written(text_statistics(docs), "statistics")
+    return stats.select("doc_id", score_column(*_learn(stats, labels, learn)).alias("score"))
+
+
+def rows_of_quality(docs: DataFrame, labels: DataFrame, least: float, learn: Column | None = None) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any more columns) that score ``least`` or more, with all their columns.
+
+    The texts are read twice, to learn and to judge, and never shuffled.
+    """
+    model = _learn(text_statistics(docs), labels, learn)
+    prefix = "__quality_"
+    return with_statistics(docs, prefix=prefix).where(score_column(*model, prefix) >= least).select(*[F.col(f"`{c}`") for c in docs.columns])

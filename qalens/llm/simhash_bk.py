@@ -33,7 +33,7 @@ TREE_NODES = 4096
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): SimHash over XXH64 of the word shingles, repeats included, of every whole text.
+    """(doc_id, h, fp): the text's XXH64 and the SimHash over XXH64 of the word shingles, repeats included, of every whole text.
 
     A-Z are lower-cased, words are what ASCII white space leaves; a text of fewer words is one shingle, one of none
     has fingerprint 0. A bit is set if it is set in over half of the shingle hashes.
@@ -67,9 +67,9 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, seed: int
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 fp = np.array([one(t) for t in part.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(fp)], names=["doc_id", "h", "fp"])
 
-    return id_text(docs).mapInArrow(simhash, "doc_id long, fp long")
+    return id_text(docs).withColumn("h", F.xxhash64("text")).mapInArrow(simhash, "doc_id long, h long, fp long")
 
 
 def _masks(radius: int, blocks: int) -> list[int]:
@@ -193,15 +193,39 @@ def near_links(fps: DataFrame, radius: int = RADIUS, tree_nodes: int = TREE_NODE
     return cells.repartition("cell").sortWithinPartitions("cell").mapInPandas(link, "a long, b long")
 
 
-def near_duplicate_groups(docs: DataFrame, radius: int = RADIUS, shingle_words: int = SHINGLE_WORDS,
-                          tree_nodes: int = TREE_NODES, blocks: int | None = None) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row of ``docs``: 16 hex digits, and the least id reachable by links."""
+def near_duplicate_rows(docs: DataFrame, radius: int = RADIUS, shingle_words: int = SHINGLE_WORDS,
+                        tree_nodes: int = TREE_NODES, blocks: int | None = None) -> DataFrame:
+    """(doc_id, h, fp, root, least) of every row of ``docs``: text hash, fingerprint, the least fingerprint of its group (as
+    signed numbers) and the least id of its group."""
     each = written(fingerprints(docs, shingle_words), "simhash")
     groups = written(each.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "fingerprints")
     roots = connected_components(near_links(groups.select("fp"), radius, tree_nodes, blocks))
     linked = roots.join(groups, F.col("node") == F.col("fp")).select("fp", "root", "first")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
-    moved = linked.join(least, "root").select("fp", "least")
-    copies = groups.where("copies > 1").join(moved, "fp", "left_anti").select("fp", F.col("first").alias("least"))
+    moved = linked.join(least, "root").select("fp", "root", "least")
+    copies = groups.where("copies > 1").join(moved, "fp", "left_anti").select("fp", F.col("fp").alias("root"), F.col("first").alias("least"))
     return each.join(moved.unionByName(copies), "fp", "left").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.coalesce("least", "doc_id").alias("component_id"))
+        "doc_id", "h", "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "doc_id").alias("least"))
+
+
+def near_duplicate_groups(docs: DataFrame, radius: int = RADIUS, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row of ``docs``: 16 hex digits, and the least id reachable by links."""
+    return near_duplicate_rows(docs, radius, shingle_words).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least").alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, radius: int = RADIUS, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """The row of the least id (null last; of equal ids the least text hash) of each near-duplicate group, with all columns."""
+    rows = written(near_duplicate_rows(docs, radius, shingle_words), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("k"), "h"))
+    kept = rows.groupBy("root").agg(first.alias("r")).select(F.col("r.none").alias("__none"), F.col("r.k").alias("__k"), F.col("r.h").alias("__h"))
+    kept = written(kept, "kept")
+    keys = ["__none", "__k", "__h"]
+    text, doc_id = docs["text"], docs["doc_id"].cast("long")
+    marked = docs.select(*[docs[c] for c in docs.columns], doc_id.isNull().alias("__none"), F.coalesce(doc_id, F.lit(0)).alias("__k"),
+                         F.xxhash64(F.coalesce(text, F.lit(""))).alias("__h"))
+    stay = marked.join(kept, keys, "left_semi")
+    again = rows.groupBy("doc_id", "h").agg(F.count("*").alias("n")).where("n > 1")
+    if not again.isEmpty():  # only repeated rows (same id and text) can leave two rows of a group
+        stay = stay.dropDuplicates(keys)
+    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])
