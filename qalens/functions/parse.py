@@ -16,6 +16,8 @@ INT_PATTERN = r"^[+-]?\d+$"
 # ISO offset date-time: seconds and a 1-9 digit fraction optional, offset ``Z`` or ``+hh:mm``
 # mandatory, ``T``/``Z`` in either case, calendar checked strictly.
 OFFSET_DATETIME_FORMAT = "yyyy-MM-dd'T'HH:mm[:ss[.SSSSSSSSS]]XXX"
+# Years 0000 to 9999 only. Also spares the date parser (which fails by an exception) what can't be a date.
+DATE_START = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}"
 FIELD_SEPARATOR = ","
 
 
@@ -39,7 +41,7 @@ def strict_offset_datetime(text: Column) -> Column:
     ``2021-01-01T10:15Z`` (no seconds) and up to nine fraction digits (cut to micros) are
     accepted; local date-times, bare dates, blanks and impossible dates give NULL.
     """
-    return F.try_to_timestamp(text, F.lit(OFFSET_DATETIME_FORMAT))
+    return F.when(text.rlike(DATE_START), F.try_to_timestamp(text, F.lit(OFFSET_DATETIME_FORMAT)))
 
 
 def leading_fields(line: Column, count: int) -> Column:

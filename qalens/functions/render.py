@@ -19,3 +19,10 @@ def mean_time_line(tag: Column, mean_minutes: Column, probability: Column) -> Co
 def count_line(tag: Column, n: Column) -> Column:
     """``(tag,n)``."""
     return pair(tag, n)
+
+
+def millionths(share: Column) -> Column:
+    """A share from 0 to 1 cut to six decimals, as text that every engine prints alike."""
+    whole = F.floor(share * 1_000_000).cast("bigint")
+    return F.concat(F.call_function("div", whole, F.lit(1_000_000).cast("bigint")).cast("string"), F.lit("."),
+                    F.lpad(F.pmod(whole, F.lit(1_000_000)).cast("string"), 6, "0"))

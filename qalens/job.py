@@ -30,7 +30,7 @@ def shared_summary(spark: SparkSession, data: QAData, threshold: int = DAY_MINUT
     Writing it cuts the lineage: the second report neither recomputes the scan nor depends
     on cached blocks of a lost executor. Its size is the tag vocabulary.
     """
-    path = fresh_path(spark, "per_tag_summary")
+    path = fresh_path(spark, "per_tag_summary", data.scratch)
     per_tag_summary(data, threshold, partitions).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -41,13 +41,13 @@ def run(spark: SparkSession, questions: str, answers: str, tags: str, out: str,
     """Read the dumps, compute both reports from one shared aggregate, write them as text.
 
     ``scan_partitions`` sets the range partitions of the nearest-answer scan. By default it is
-    ``spark.sql.shuffle.partitions``, raised to twice the split count of the written narrow
-    scan input (about 30 bytes per question or answer), i.e. ~180 MB of rows per partition.
+    ``spark.sql.shuffle.partitions``, raised to twice the split count of the scan's narrow
+    input (about 30 bytes per question or answer), i.e. ~180 MB of rows per partition.
     """
     apply_conf(spark)
     mean_path, top_path = os.path.join(out, "mean_time_answer"), os.path.join(out, "top_tags")
-    with run_scratch(spark):  # intermediate tables of this run, removed once both reports are written
-        data = read_dump(spark, questions, answers, tags, headers)
+    with run_scratch(spark) as scratch:  # intermediate tables of this run, removed once both reports are written
+        data = read_dump(spark, questions, answers, tags, headers, scratch)
         summary = shared_summary(spark, data, threshold, scan_partitions)
         write_mean_time_answer(mean_time_answer_from(summary), mean_path, single_file)
         write_top_tags(top_tags_from(summary), top_path, single_file)

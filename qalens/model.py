@@ -16,12 +16,14 @@ nearest answer of an id is the nearest over its copies. Rows with a NULL timesta
 answer with a NULL link cannot take part in a latency and are dropped by the scan.
 
 ``materialize_scan`` tells the nearest-answer scan to write its narrow input once before the
-range exchange (whose sampling pass would otherwise recompute the inputs). That pays off
+range exchange too (whose sampling pass would otherwise recompute the inputs). That pays off
 when the inputs are expensive to recompute (text dumps that are scanned and parsed); plain
 columnar scans are cheaper to read twice.
 
 ``scan_rows`` optionally gives the scan its input ``id, link, creation_ts, is_q`` directly,
 for views whose questions and answers come from one table and can be read in one scan.
+
+``scratch`` optionally names the folder that the scan writes to (default: the shared folder).
 """
 
 from __future__ import annotations
@@ -45,10 +47,11 @@ class QAData:
     tags: DataFrame
     materialize_scan: bool = True
     scan_rows: DataFrame | None = None
+    scratch: str | None = None
 
     @staticmethod
     def keyed_by_question(questions: DataFrame, answers: DataFrame, tags: DataFrame,
-                          materialize_scan: bool = True) -> "QAData":
+                          materialize_scan: bool = True, scratch: str | None = None) -> "QAData":
         """Tables in the dump layout: answers carry their parent ``question_id``."""
         return QAData(
             questions=questions.select("id", instant("creation_ts").alias("creation_ts"),
@@ -57,4 +60,5 @@ class QAData:
                                    instant("creation_ts").alias("creation_ts"), "score"),
             tags=tags.select("question_id", "tag"),
             materialize_scan=materialize_scan,
+            scratch=scratch,
         )

@@ -12,10 +12,14 @@ from pyspark.sql import functions as F
 
 from qalens.functions.timing import DAY_MINUTES, epoch_micros, int_div, whole_minutes
 from qalens.model import QAData
-from qalens.operators.joins import question_copies, tagged_ids, with_tags
+from qalens.operators.joins import question_copies, tag_multiset, tagged_ids, with_tags
 from qalens.operators.nearest import answer_scan
 
 
+def _scan(data: QAData, partitions: int | None) -> DataFrame:
+    return answer_scan(data.questions, data.answers, partitions, data.materialize_scan, data.scan_rows, data.scratch)
+
+
 # --- per question ---------------------------------------------------------------------------
 
 def question_weights(questions: DataFrame) -> DataFrame:
@@ -31,30 +35,46 @@ def first_answer_minutes(data: QAData, partitions: int | None = None) -> DataFra
     ``minutes`` = whole minutes between the question and its nearest answer (before or after);
     for a repeated id, the nearest over its copies.
     """
-    scan = answer_scan(data.questions, data.answers, partitions, data.materialize_scan, data.scan_rows)
+    scan = _scan(data, partitions)
     return (scan.groupBy("id")
             .agg(F.count(F.lit(1)).alias("copies"), whole_minutes(F.min("nearest_us")).alias("minutes"))
             .where(F.col("minutes").isNotNull()))
 
 
-def answers_per_question(data: QAData, partitions: int | None = None) -> DataFrame:
+def _usable_questions(data: QAData) -> DataFrame:
+    return data.questions.where(F.col("creation_ts").isNotNull()).select("id", "link")
+
+
+def answers_by_link(data: QAData) -> DataFrame:
+    """``link, n_answers, first_us, last_us``: a hot link is combined inside each task first."""
+    us = epoch_micros(F.col("creation_ts"))
+    return data.answers.where(F.col("creation_ts").isNotNull() & F.col("link").isNotNull()).groupBy("link").agg(
+        F.count(F.lit(1)).alias("n_answers"), F.min(us).alias("first_us"), F.max(us).alias("last_us"))
+
+
+def answers_per_question(data: QAData) -> DataFrame:
     """A2 — ``id, n_answers, first_us, last_us`` for questions with at least one answer.
 
-    The answers of an id are the answers of the distinct links of its copies.
+    The answers of an id are the answers of the distinct links of its copies. No latency is
+    asked for, so answers are aggregated by link and joined: no window, no question x answer pairs.
     """
-    scan = answer_scan(data.questions, data.answers, partitions, data.materialize_scan, data.scan_rows)
-    per_link = scan.groupBy("id", "link").agg(
-        F.max("n_answers").alias("n_answers"), F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"))
-    return (per_link.groupBy("id")
+    return (_usable_questions(data).distinct().join(answers_by_link(data), "link").groupBy("id")
             .agg(F.sum("n_answers").alias("n_answers"), F.min("first_us").alias("first_us"),
-                 F.max("last_us").alias("last_us"))
-            .where(F.col("n_answers") > 0))
+                 F.max("last_us").alias("last_us")))
+
+
+def answered_ids(data: QAData) -> DataFrame:
+    """``id, copies`` of questions with an answer; ``copies`` counts all copies of the id."""
+    links = answers_by_link(data).select("link", F.lit(True).alias("hit"))
+    per_link = _usable_questions(data).groupBy("id", "link").agg(F.count(F.lit(1)).alias("copies"))
+    return (per_link.join(links, "link", "left").groupBy("id")
+            .agg(F.sum("copies").alias("copies"), F.max("hit").alias("hit"))
+            .where(F.col("hit")).select("id", "copies"))
 
 
-def answered_questions(data: QAData, partitions: int | None = None) -> DataFrame:
+def answered_questions(data: QAData) -> DataFrame:
     """J2 — ``id`` of questions with at least one tag and at least one answer."""
-    return (first_answer_minutes(data, partitions).select("id")
-            .join(tagged_ids(data.tags), "id", "left_semi"))
+    return answered_ids(data).select("id").join(tagged_ids(data.tags), "id", "left_semi")
 
 
 def tags_per_question(data: QAData) -> DataFrame:
@@ -82,7 +102,7 @@ def full_questions(data: QAData, partitions: int | None = None) -> DataFrame:
     The answer list of each question is summarised (count, nearest minutes) rather than
     materialised, so no question needs all of its answers in one row.
     """
-    scan = answer_scan(data.questions, data.answers, partitions, data.materialize_scan, data.scan_rows)
+    scan = _scan(data, partitions)
     per_link = scan.groupBy("id", "link").agg(
         F.count(F.lit(1)).alias("copies"), F.min("nearest_us").alias("nearest_us"),
         F.max("n_answers").alias("n_answers"))
@@ -90,16 +110,21 @@ def full_questions(data: QAData, partitions: int | None = None) -> DataFrame:
                     .agg(F.sum("copies").alias("copies"), whole_minutes(F.min("nearest_us")).alias("minutes"),
                          F.sum("n_answers").alias("n_answers"))
                     .where(F.col("minutes").isNotNull()))
-    tags = (with_tags(per_question.select("id", "copies"), data.tags)
-            .groupBy("id").agg(F.array_sort(F.collect_list(F.struct("tag", "n"))).alias("tags")))
-    return per_question.join(tags, "id")
+    tags = tag_multiset(data.tags).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("tag", "cnt"))).alias("cnts"))
+    weighted = F.transform("cnts", lambda t: F.struct(t["tag"].alias("tag"), (t["cnt"] * F.col("copies")).alias("n")))
+    return per_question.join(tags, "id").select("id", "copies", "minutes", "n_answers", weighted.alias("tags"))
 
 
 def explode_tags(nested: DataFrame) -> DataFrame:
-    """A4 — un-nest ``tags``: one row per (question, tag) with its weight ``n``."""
+    """A4 on a nested frame: un-nest ``tags`` to one row per (question, tag) with its weight ``n``."""
     return nested.select("id", F.inline("tags"))
 
 
+def answered_tags(data: QAData) -> DataFrame:
+    """A4 — ``id, tag, n``: one row per (answered question, tag), without building the nested lists first."""
+    return with_tags(answered_ids(data), data.tags).select("id", "tag", "n")
+
+
 # --- per (question, tag) pair and per tag ------------------------------------------------------
 
 def answered_pairs(data: QAData, partitions: int | None = None) -> DataFrame:
@@ -113,7 +138,7 @@ def _fast(threshold: int) -> F.Column:
 
 
 def answered_by_tag(pairs: DataFrame) -> DataFrame:
-    """A6 — ``tag, answered``: weighted count of answered (question, tag) pairs."""
+    """A6 — ``tag, answered``: weighted count of answered (question, tag) pairs (``id, tag, n``)."""
     return pairs.groupBy("tag").agg(F.sum("n").alias("answered"))
 
 
@@ -148,5 +173,5 @@ def fast_answer_probability(pairs: DataFrame, threshold: int = DAY_MINUTES) -> D
 
 
 def tag_counts(pairs: DataFrame) -> DataFrame:
-    """A12 — ``tag, n``: weighted number of answered questions per tag."""
-    return pairs.groupBy("tag").agg(F.sum("n").alias("n"))
+    """A12 — ``tag, n``: the same count under the report's column name."""
+    return answered_by_tag(pairs).withColumnRenamed("answered", "n")

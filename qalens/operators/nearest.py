@@ -5,24 +5,25 @@ in time (before or after), plus the link's answer count and first/last answer in
 
 Plan (no question x answer pairs are ever formed, and no link is held by one task):
 
-1. Questions and answers are unioned into one narrow frame ``(link, ts, is_q, id)``, written
-   once to the shared scratch folder (``spark.checkpoint.dir``), and range-partitioned on
-   ``(link, ts, is_q, id, tiebreaker)``. Range bounds come from a sampling pass, so a link holding a third
-   of all rows is cut into many partitions of similar size. Writing the narrow frame first
-   means the sampling pass (and any re-sampling of oversized partitions) reads a few narrow
-   columns instead of re-scanning and re-parsing the inputs, and it cuts the lineage: a
-   lost executor re-reads the written frame, not the raw dumps.
-2. The partition number is kept as ``pid``. Inside each ``(pid, link)`` group a window
-   ordered by time gives the last answer at or before each question, the first answer at
-   or after it, and the group's answer count / first / last answer.
-3. A link that continues across partitions needs the answers of its other partitions.
-   The per-``(pid, link)`` answer summary is windowed by link over ``pid``; only links
-   present in more than one partition keep a row, which is at most two per partition
-   (the first and last link of each partition). That frame has a proven bound of
-   ``2 * partitions`` rows and is broadcast back to the question rows.
-
-The range exchange has an explicit partition count, so adaptive execution never coalesces
-it and ``pid`` means the same range everywhere it is read.
+1. Questions and answers are unioned into one narrow frame ``(link, ts, is_q, id)`` and
+   range-partitioned on ``(link, ts, is_q, id, tiebreaker)``. Range bounds come from a sampling
+   pass, so a link holding a third of all rows is cut into many partitions of similar size.
+   The frame is written *after* the range exchange, with the partition number as the column
+   ``pid``: every later step reads that file, so a row has one ``pid`` whatever the optimizer
+   does (exchange reuse, adaptive execution) and whatever is run again after a lost executor.
+   Inputs that are dear to recompute (text dumps) are written once before the exchange as
+   well, so that its sampling pass doesn't parse them a second time.
+2. Inside each ``(pid, link)`` group a window ordered by time gives the last answer at or
+   before each question, the first answer at or after it, and the group's answer count /
+   first / last answer. The window's exchange has as many partitions as the ranges, which
+   follow the number of input splits.
+3. A link that continues across partitions needs the answers of its other partitions. Such a
+   link is the first or the last of each partition it is in, so only the answer summaries of
+   those groups (at most ``2 * partitions`` rows) are windowed by link over ``pid``. What they
+   give is broadcast back to the question rows, under the same bound.
+
+The scan writes its ranged input when it is called: asking for the frame runs one job (two
+for text dumps). Its files lie in the given scratch folder, or else in the shared folder.
 
 Every window frame is evaluated incrementally, over one ascending sort per group (answers
 before questions at equal instants): the last answer at or before a question is a running
@@ -40,32 +41,32 @@ from qalens.functions.timing import epoch_micros
 from qalens.session import fresh_path
 
 
-# Range partitions per input split of the written narrow frame: a 128 MB split of that parquet
-# holds ~9M rows, ~360 MB as rows in memory; two partitions per split keep each near 180 MB.
+# Range partitions per input split: a 128 MB split of narrow parquet rows holds ~9M rows, ~360 MB
+# in memory; two partitions per split keep each near 180 MB.
 PARTITIONS_PER_SPLIT = 2
 
 
-def _partitions(df: DataFrame, partitions: int | None, written: bool) -> int:
-    """Explicit count, else ``spark.sql.shuffle.partitions``, raised for large written input."""
+def _partitions(df: DataFrame, partitions: int | None) -> int:
+    """Explicit count, else ``spark.sql.shuffle.partitions``, raised to the scan's splits for large input.
+
+    The split count comes from file sizes (planning only, no job).
+    """
     if partitions:
         return int(partitions)
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if written:
-        # split count of a plain parquet scan: file listing only, no job
-        return max(configured, PARTITIONS_PER_SPLIT * df.rdd.getNumPartitions())
-    return configured
+    return max(configured, PARTITIONS_PER_SPLIT * df.rdd.getNumPartitions())
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh folder under the shared scratch folder and read it back."""
-    path = fresh_path(df.sparkSession, name)
+def materialize(df: DataFrame, name: str, scratch: str | None = None) -> DataFrame:
+    """Write ``df`` to a fresh folder under ``scratch`` (default: the shared folder) and read it back."""
+    path = fresh_path(df.sparkSession, name, scratch)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ranged_input(questions: DataFrame, answers: DataFrame, partitions: int | None = None,
-                 materialize_input: bool = True, rows: DataFrame | None = None) -> DataFrame:
-    """Step 1: the narrow union ``(link, ts, is_q, id)`` range-partitioned, with its partition ``pid``.
+                 materialize_input: bool = True, rows: DataFrame | None = None, scratch: str | None = None) -> tuple[DataFrame, int]:
+    """Step 1: the written frame ``(link, ts, is_q, id, pid)`` and its number of range partitions.
 
     ``rows`` (``id, link, creation_ts, is_q``) replaces the union of questions and answers when a
     view can read both in one scan.
@@ -75,19 +76,18 @@ def ranged_input(questions: DataFrame, answers: DataFrame, partitions: int | Non
         rows = questions.select("id", "link", "creation_ts", F.lit(True).alias("is_q")).unionByName(
             answers.select(F.lit(None).cast(id_type).alias("id"), "link", "creation_ts", F.lit(False).alias("is_q")))
     usable = F.col("creation_ts").isNotNull() & (F.col("is_q") | F.col("link").isNotNull())
-    narrow_rows = rows.where(usable).select(
+    narrow = rows.where(usable).select(
         "link", epoch_micros(F.col("creation_ts")).alias("ts"), "is_q", F.when(F.col("is_q"), F.col("id")).alias("id"))
-    # ``tb`` breaks ties of the range key, so even rows identical in (link, ts, is_q, id) -- e.g. a
-    # burst of answers at one instant -- can be cut into several partitions. It is fixed per input
-    # split and row position, so a re-run task assigns every row to the same partition.
-    narrow = narrow_rows.withColumn("tb", F.monotonically_increasing_id())
     if materialize_input:
-        narrow = materialize(narrow, "answer-scan-input")
-    n_parts = _partitions(narrow, partitions, materialize_input)
-    return (narrow
-            .repartitionByRange(n_parts, "link", "ts", "is_q", "id", "tb")
-            .withColumn("pid", F.spark_partition_id())
-            .drop("tb"))
+        narrow = materialize(narrow, "answer-scan-input", scratch)
+    n_parts = _partitions(narrow, partitions)
+    # ``tb`` breaks ties of the range key, so even rows identical in (link, ts, is_q, id) -- e.g. a
+    # burst of answers at one instant -- can be cut into several partitions.
+    ranged = (narrow.withColumn("tb", F.monotonically_increasing_id())
+              .repartitionByRange(n_parts, "link", "ts", "is_q", "id", "tb")
+              .withColumn("pid", F.spark_partition_id())
+              .drop("tb"))
+    return materialize(ranged, "answer-scan-ranges", scratch), n_parts
 
 
 def _answer_ts() -> F.Column:
@@ -95,7 +95,7 @@ def _answer_ts() -> F.Column:
     return F.when(~F.col("is_q"), F.col("ts"))
 
 
-def scan_within(ranged: DataFrame) -> DataFrame:
+def scan_within(ranged: DataFrame, n_parts: int) -> DataFrame:
     """Step 2: per ``(pid, link)`` group, the neighbouring answers of every row and the group's answers."""
     in_order = Window.partitionBy("pid", "link").orderBy("ts", "is_q")
     upto_here = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -103,7 +103,8 @@ def scan_within(ranged: DataFrame) -> DataFrame:
     # PySpark's lead() has no ignore-nulls flag; the SQL form uses the same window spec.
     next_later = F.expr("lead(CASE WHEN NOT is_q THEN ts END, 1) IGNORE NULLS "
                         "OVER (PARTITION BY pid, link ORDER BY ts, is_q)")
-    return ranged.select(
+    # An explicit count: the session's default would deal any input into the same few window tasks.
+    return ranged.repartition(n_parts, "pid", "link").select(
         "pid", "link", "ts", "is_q", "id",
         F.max(_answer_ts()).over(upto_here).alias("prev_in"),
         next_later.alias("next_in"),
@@ -113,17 +114,26 @@ def scan_within(ranged: DataFrame) -> DataFrame:
     )
 
 
-def carry_frame(scanned: DataFrame) -> DataFrame:
+def boundary_summary(ranged: DataFrame) -> DataFrame:
+    """``pid, link, n, amin, amax`` of the first and the last link of every range partition."""
+    ends = ranged.groupBy("pid").agg(F.min("link").alias("lo"), F.max("link").alias("hi"))
+    borders = ends.select("pid", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("link")).where("link IS NOT NULL")
+    return (ranged.join(F.broadcast(borders), ["pid", "link"])  # bounded: <= 2 rows per partition
+            .groupBy("pid", "link").agg(
+                F.count(_answer_ts()).alias("n"), F.min(_answer_ts()).alias("amin"), F.max(_answer_ts()).alias("amax")))
+
+
+def carry_frame(ranged: DataFrame) -> DataFrame:
     """Step 3: for links spread over several range partitions, the answers held by the others.
 
-    At most two rows per range partition (its first and last link), whatever the data.
+    At most two rows per range partition (its first and last link), whatever the data, from
+    the window over them on.
     """
-    summary = scanned.groupBy("pid", "link").agg(
-        F.count(_answer_ts()).alias("n"), F.min(_answer_ts()).alias("amin"), F.max(_answer_ts()).alias("amax"))
+    summary = boundary_summary(ranged)
     by_link = Window.partitionBy("link").orderBy(F.col("pid").asc())
     by_link_desc = Window.partitionBy("link").orderBy(F.col("pid").desc())
     everywhere = by_link.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (summary.where(F.col("link").isNotNull())
+    return (summary
             .select(
                 "pid", "link",
                 F.max("amax").over(by_link.rowsBetween(Window.unboundedPreceding, -1)).alias("prev_out"),
@@ -137,7 +147,7 @@ def carry_frame(scanned: DataFrame) -> DataFrame:
 
 
 def answer_scan(questions: DataFrame, answers: DataFrame, partitions: int | None = None,
-                materialize_input: bool = True, rows: DataFrame | None = None) -> DataFrame:
+                materialize_input: bool = True, rows: DataFrame | None = None, scratch: str | None = None) -> DataFrame:
     """One row per question row.
 
     questions: ``id, link, creation_ts``; answers: ``link, creation_ts``.
@@ -145,11 +155,12 @@ def answer_scan(questions: DataFrame, answers: DataFrame, partitions: int | None
     Returns ``id, link, q_us, prev_us, next_us, nearest_us, n_answers, first_us, last_us``
     (instants as epoch microseconds; ``nearest_us`` is NULL when the link has no answer).
 
-    With ``materialize_input`` (the default) the narrow input is written before the range
-    exchange; this runs one job when the function is called.
+    Runs one job when called, which writes the ranged rows; with ``materialize_input`` (the
+    default) one more before it, which writes the narrow input.
     """
-    scanned = scan_within(ranged_input(questions, answers, partitions, materialize_input, rows))
-    carries = carry_frame(scanned)
+    ranged, n_parts = ranged_input(questions, answers, partitions, materialize_input, rows, scratch)
+    scanned = scan_within(ranged, n_parts)
+    carries = carry_frame(ranged)
     prev_us = F.greatest(F.col("prev_in"), F.col("prev_out"))
     next_us = F.least(F.col("next_in"), F.col("next_out"))
     return (scanned.where(F.col("is_q"))

@@ -42,3 +42,7 @@ TOP_TAGS_SQL = "SELECT tag, count(*) AS n FROM pairs GROUP BY tag"
 
 def with_views(view_sql: str, body: str) -> str:
     return f"WITH {view_sql},{PAIRS_SQL}\n{body}"
+
+# A share cut to six decimals as text.
+MILLIONTHS_SQL = ("(CAST(floor(probability * 1000000) AS BIGINT) // 1000000)::VARCHAR || '.' || "
+                  "lpad((CAST(floor(probability * 1000000) AS BIGINT) % 1000000)::VARCHAR, 6, '0')")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -49,24 +50,22 @@ def apply_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is only read here. Where it is
-    unset (local tests) a fresh local folder is registered as the checkpoint folder once.
+    On a cluster this setting names shared storage and is only read here; a run without it is
+    refused, as no folder of the driver's machine is seen by the executors. On a ``local``
+    master a fresh local folder is registered once instead.
     """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not re.match(r"local($|\[)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="qalens-ckpt-"))
     return sc.getCheckpointDir()
 
 
-# Session setting naming the scratch folder of the running job (see ``run_scratch``).
-SCRATCH_KEY = "qalens.scratch.dir"
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path under the job's scratch folder (default: the shared scratch folder)."""
-    base = spark.conf.get(SCRATCH_KEY, None) or shared_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+def fresh_path(spark: SparkSession, name: str, scratch: str | None = None) -> str:
+    """A new, unused path under ``scratch``, by default the shared scratch folder."""
+    return os.path.join(scratch or shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -84,13 +83,7 @@ def run_scratch(spark: SparkSession) -> Iterator[str]:
     still read from the folder must not outlive it.
     """
     root = os.path.join(shared_dir(spark), f"run-{uuid.uuid4().hex}")
-    previous = spark.conf.get(SCRATCH_KEY, None)
-    spark.conf.set(SCRATCH_KEY, root)
     try:
         yield root
     finally:
-        if previous is None:
-            spark.conf.unset(SCRATCH_KEY)
-        else:
-            spark.conf.set(SCRATCH_KEY, previous)
         delete_path(spark, root)

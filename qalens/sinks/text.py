@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qalens.functions.render import count_line, mean_time_line
@@ -18,16 +18,19 @@ def count_lines(report: DataFrame) -> DataFrame:
     return report.select(count_line(F.col("tag"), F.col("n")).alias("value"))
 
 
-def write_lines(lines: DataFrame, path: str, single_file: bool = False) -> None:
-    """Replace ``path`` with the lines as text part files.
+def write_lines(lines: DataFrame, path: str, single_file: bool = False, order: list[Column] | None = None) -> None:
+    """Replace ``path`` with the column ``value`` of ``lines`` as text part files.
 
     Part files follow the frame's partition order, so a globally sorted frame reads back in
     order when the parts are concatenated by name. ``single_file`` merges the output into one
-    part (one task writes it: meant for the per-tag reports, whose size is the tag vocabulary).
+    part (one task writes it: meant for the per-tag reports, whose size is the tag vocabulary),
+    sorted by ``order`` in that task, as merged partitions arrive in any order.
     """
     if single_file:
-        lines = lines.coalesce(1)
-    lines.write.mode("overwrite").text(path)
+        lines = lines.repartition(1)
+        if order:
+            lines = lines.sortWithinPartitions(*order)
+    lines.select("value").write.mode("overwrite").text(path)
 
 
 def write_mean_time_answer(report: DataFrame, path: str, single_file: bool = False) -> None:
@@ -35,4 +38,5 @@ def write_mean_time_answer(report: DataFrame, path: str, single_file: bool = Fal
 
 
 def write_top_tags(report: DataFrame, path: str, single_file: bool = False) -> None:
-    write_lines(count_lines(report), path, single_file)
+    lines = report.select(count_line(F.col("tag"), F.col("n")).alias("value"), "tag", "n")
+    write_lines(lines, path, single_file, [F.desc("n"), F.asc("tag")])

@@ -44,16 +44,17 @@ def _keep_complete(fields: DataFrame, columns: dict[str, Column]) -> DataFrame:
 def parse_questions(lines: DataFrame) -> DataFrame:
     """``id INT, creation_ts TIMESTAMP``; malformed lines are dropped."""
     fields = lines.select(leading_fields(_line(lines), 3).alias("_f"))
-    return _keep_complete(fields, {"id": strict_int(field(F.col("_f"), 0)),
-                                   "creation_ts": strict_offset_datetime(field(F.col("_f"), 2))})
+    number = strict_int(field(F.col("_f"), 0))
+    return _keep_complete(fields, {"id": number,
+                                   "creation_ts": F.when(number.isNotNull(), strict_offset_datetime(field(F.col("_f"), 2)))})
 
 
 def parse_answers(lines: DataFrame) -> DataFrame:
     """``question_id INT, creation_ts TIMESTAMP, score INT``; a line with any bad field is dropped."""
     fields = lines.select(leading_fields(_line(lines), 5).alias("_f"))
-    return _keep_complete(fields, {"question_id": strict_int(field(F.col("_f"), 3)),
-                                   "creation_ts": strict_offset_datetime(field(F.col("_f"), 2)),
-                                   "score": strict_int(field(F.col("_f"), 4))})
+    parent, score = strict_int(field(F.col("_f"), 3)), strict_int(field(F.col("_f"), 4))
+    created = F.when(parent.isNotNull() & score.isNotNull(), strict_offset_datetime(field(F.col("_f"), 2)))
+    return _keep_complete(fields, {"question_id": parent, "creation_ts": created, "score": score})
 
 
 def parse_tags(lines: DataFrame) -> DataFrame:
@@ -72,8 +73,9 @@ def parse_tags(lines: DataFrame) -> DataFrame:
 
 
 def read_dump(spark: SparkSession, questions_path: str, answers_path: str, tags_path: str,
-              headers: tuple[str | None, str | None, str | None] = (None, None, None)) -> QAData:
+              headers: tuple[str | None, str | None, str | None] = (None, None, None),
+              scratch: str | None = None) -> QAData:
     """Scan, strip headers and parse the three dumps into the job's tables."""
-    q_lines, a_lines, t_lines = (strip_header(scan_lines(spark, path), header)
+    q_lines, a_lines, t_lines = (strip_header(scan_lines(spark, path), header, path)
                                  for path, header in zip((questions_path, answers_path, tags_path), headers))
-    return QAData.keyed_by_question(parse_questions(q_lines), parse_answers(a_lines), parse_tags(t_lines))
+    return QAData.keyed_by_question(parse_questions(q_lines), parse_answers(a_lines), parse_tags(t_lines), scratch=scratch)

@@ -1,6 +1,6 @@
-"""Registered ingest queries (I1-I5, plus the whole job from text lines).
+"""Registered ingest and job queries (I1-I5, K3-K6, and both reports from text lines).
 
-Stand-in dump lines are built from the driver tables: the builders below only format rows
+Stand-in dumps are text files written once an application; their lines are built from the driver tables: the builders below only format rows
 into the dump's line layout (plus a header and, as noise, every line of every document);
 all parsing, header removal and reporting is done by the library's own code. The DuckDB
 side builds the same lines and parses them with the same rules in SQL.
@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qalens import job
+from qalens.functions.render import mean_time_line, millionths
 from qalens.model import QAData
 from qalens.plans import reports
-from qalens.plans.oracle import PAIRS_SQL, TOP_TAGS_SQL, mean_time_sql
+from qalens.plans.oracle import MILLIONTHS_SQL, PAIRS_SQL, TOP_TAGS_SQL, mean_time_sql
 from qalens.session import fresh_path
 from qalens.sources import ingest
 from qalens.sources.text import scan_lines, strip_header
@@ -87,38 +89,80 @@ def lineitem_tag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- registered queries -------------------------------------------------------------------------
 
+#: Folders of stand-in dumps already written by this application, by name and table folder.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def dump_folder(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame) -> str:
+    """Folder of part files of a stand-in dump, written once an application and table folder, and read by all queries."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        path = fresh_path(spark, f"dump-{name}")
+        lines.write.text(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+def event_questions_dump(spark: SparkSession, sf_dir: str) -> str:
+    return dump_folder(spark, sf_dir, "event-questions", event_question_lines(spark, sf_dir))
+
+
+def order_dumps(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Folders of the question, answer and tag dumps of the orders tables."""
+    return (dump_folder(spark, sf_dir, "questions", order_question_lines(spark, sf_dir)),
+            dump_folder(spark, sf_dir, "answers", lineitem_answer_lines(spark, sf_dir)),
+            dump_folder(spark, sf_dir, "tags", lineitem_tag_lines(spark, sf_dir)))
+
+
 def _scan_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the question lines as text to the shared scratch folder and scan them back."""
-    path = fresh_path(spark, "scan_text_lines")
-    event_question_lines(spark, sf_dir).write.mode("overwrite").text(path)
-    return scan_lines(spark, path).select(F.col("value").alias("line"))
+    """Scan the question lines from text files."""
+    return scan_lines(spark, event_questions_dump(spark, sf_dir)).select(F.col("value").alias("line"))
 
 
 def _strip_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return strip_header(event_question_lines(spark, sf_dir), QUESTION_HEADER).select(F.col("value").alias("line"))
+    """Remove the header of a folder of part files, found as the first line of its first file."""
+    path = event_questions_dump(spark, sf_dir)
+    return strip_header(scan_lines(spark, path), path=path).select(F.col("value").alias("line"))
 
 
 def _ingest_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = strip_header(event_question_lines(spark, sf_dir), QUESTION_HEADER)
+    lines = strip_header(scan_lines(spark, event_questions_dump(spark, sf_dir)), QUESTION_HEADER)
     return ingest.parse_questions(lines).select("id", F.unix_micros("creation_ts").alias("creation_us"))
 
 
 def _ingest_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = strip_header(lineitem_answer_lines(spark, sf_dir), ANSWER_HEADER)
+    lines = strip_header(scan_lines(spark, order_dumps(spark, sf_dir)[1]), ANSWER_HEADER)
     return ingest.parse_answers(lines).select("question_id", F.unix_micros("creation_ts").alias("creation_us"),
                                               "score")
 
 
 def _ingest_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.parse_tags(strip_header(lineitem_tag_lines(spark, sf_dir), TAG_HEADER))
+    return ingest.parse_tags(strip_header(scan_lines(spark, order_dumps(spark, sf_dir)[2]), TAG_HEADER))
 
 
 def dump_tables(spark: SparkSession, sf_dir: str) -> QAData:
-    """The three dumps (orders, line items, part brands) parsed by the library's ingest."""
-    return QAData.keyed_by_question(
-        ingest.parse_questions(strip_header(order_question_lines(spark, sf_dir), QUESTION_HEADER)),
-        ingest.parse_answers(strip_header(lineitem_answer_lines(spark, sf_dir), ANSWER_HEADER)),
-        ingest.parse_tags(strip_header(lineitem_tag_lines(spark, sf_dir), TAG_HEADER)))
+    """The three dumps (orders, line items, part brands) read by the library's ingest."""
+    return ingest.read_dump(spark, *order_dumps(spark, sf_dir))
+
+
+def job_lines(spark: SparkSession, sf_dir: str, report: str, runs: int = 1, single_file: bool = False) -> DataFrame:
+    """Run the whole job on the dumps, ``runs`` times into one output folder, and read a report's lines back."""
+    out = output_folder(spark, sf_dir, f"job-{report}-{runs}-{single_file}")
+    for _ in range(runs):
+        job.run(spark, *order_dumps(spark, sf_dir), out, ORDERS_THRESHOLD, single_file=single_file)
+    return scan_lines(spark, f"{out}/{report}").select(F.col("value").alias("line"))
+
+
+def output_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The output folder of a job query: one an application and table folder, replaced by each run."""
+    return _WRITTEN.setdefault((spark.sparkContext.applicationId, sf_dir, name), fresh_path(spark, name))
+
+
+def _job_mean_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3, K5, K6: the second of two runs into one folder; the share is cut to millionths, as engines print doubles unlike."""
+    lines = job_lines(spark, sf_dir, "mean_time_answer", runs=2)
+    parts = [F.regexp_extract("line", r"^\((.*),\((\d+),([^,]*)\)\)$", i) for i in (1, 2, 3)]
+    return lines.select(mean_time_line(parts[0], parts[1], millionths(parts[2].cast("double"))).alias("line"))
 
 
 def queries():
@@ -130,6 +174,9 @@ def queries():
         "ingest_tags": _ingest_tags,
         "dump_mean_time_answer": lambda spark, sf: reports.mean_time_answer(dump_tables(spark, sf), ORDERS_THRESHOLD),
         "dump_top_tags": lambda spark, sf: reports.top_tags(dump_tables(spark, sf)),
+        "job_mean_time_answer": _job_mean_time,
+        "job_top_tags": lambda spark, sf: job_lines(spark, sf, "top_tags"),
+        "job_top_tags_single_file": lambda spark, sf: job_lines(spark, sf, "top_tags", single_file=True),
     }
 
 
@@ -202,4 +249,8 @@ def oracle_sql():
         "ingest_tags": f"WITH {all_lines} SELECT question_id, tag FROM t",
         "dump_mean_time_answer": f"WITH {dump} {mean_time_sql(ORDERS_THRESHOLD)}",
         "dump_top_tags": f"WITH {dump} {TOP_TAGS_SQL}",
+        "job_mean_time_answer": f"WITH {dump} SELECT '(' || tag || ',(' || mean_minutes || ',' || {MILLIONTHS_SQL} || '))' AS line "
+                                f"FROM ({mean_time_sql(ORDERS_THRESHOLD)})",
+        "job_top_tags": f"WITH {dump} SELECT '(' || tag || ',' || n || ')' AS line FROM ({TOP_TAGS_SQL})",
+        "job_top_tags_single_file": f"WITH {dump} SELECT '(' || tag || ',' || n || ')' AS line FROM ({TOP_TAGS_SQL})",
     }

@@ -11,20 +11,30 @@ def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-def strip_header(lines: DataFrame, header: str | None = None) -> DataFrame:
+def first_line(spark: SparkSession, path: str | list[str]) -> str | None:
+    """First line of the first non-empty file in path order; None when there is none.
+
+    File sizes come from a listing that reads no content; one path and one line reach the driver.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    name = files.where(F.col("length") > 0).agg(F.min("path")).first()[0]
+    first = scan_lines(spark, name).first() if name is not None else None
+    return None if first is None else first[0]
+
+
+def strip_header(lines: DataFrame, header: str | None = None, path: str | list[str] | None = None) -> DataFrame:
     """Drop every line equal to the header.
 
-    Without an explicit ``header`` the first line of the input is taken (one driver round
-    trip of a single line). That is only reliable for a single file — a scan of several files
-    may start with another file's split, and its first line would then be deleted everywhere —
-    so several input files without an explicit ``header`` raise. Empty input is returned
-    unchanged.
+    Without an explicit ``header`` it is the first line of the first non-empty file in ``path`` (a
+    file, or a directory of part files with the header in one or in all of them), else the first
+    line of ``lines``, which is certain for a single file only. Empty input is returned unchanged.
     """
     if header is None:
-        if len(lines.inputFiles()) > 1:
-            raise ValueError("several input files: pass the header line explicitly")
-        first = lines.first()
-        if first is None:
+        if path is not None:
+            header = first_line(lines.sparkSession, path)
+        else:
+            first = lines.first()
+            header = None if first is None else first[0]
+        if header is None:
             return lines
-        header = first[0]
     return lines.where(F.col(lines.columns[0]) != F.lit(header))

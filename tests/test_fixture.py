@@ -171,7 +171,6 @@ def test_job_removes_its_scratch_tables(spark, dump, tmp_path):
     before = set(os.listdir(local))
     run(spark, *dump, str(tmp_path / "out"))
     assert not [n for n in set(os.listdir(local)) - before if n.startswith("run-")]
-    assert spark.conf.get("qalens.scratch.dir", None) is None
 
 
 def test_header_removed_by_value_in_every_file_of_a_directory(spark, tmp_path):
@@ -186,14 +185,67 @@ def test_header_removed_by_value_in_every_file_of_a_directory(spark, tmp_path):
     assert sorted(r.id for r in parse_questions(lines).collect()) == [1, 2, 3, 4, 6, 7, 8]
 
 
-def test_first_line_header_needs_a_single_file(spark, tmp_path):
+@pytest.mark.parametrize("layout", ["first part only", "every part", "an empty part beside it"])
+def test_header_of_a_directory_is_found(spark, tmp_path, layout):
     folder = tmp_path / "many"
     folder.mkdir()
-    write_text(folder / "a.csv", QUESTIONS[:3])
-    write_text(folder / "b.csv", QUESTIONS[3:])
+    if layout == "an empty part beside it":
+        (folder / "a.csv").write_text("")
+        write_text(folder / "b.csv", QUESTIONS)
+    else:
+        write_text(folder / "a.csv", QUESTIONS[:3])
+        write_text(folder / "b.csv", ([QUESTIONS[0]] if layout == "every part" else []) + QUESTIONS[3:])
     from qalens.sources.text import scan_lines, strip_header
-    with pytest.raises(ValueError, match="header"):
-        strip_header(scan_lines(spark, str(folder)))
+    lines = strip_header(scan_lines(spark, str(folder)), path=str(folder))
+    assert sorted(r[0] for r in lines.collect()) == sorted(QUESTIONS[1:])
+
+
+def test_header_of_empty_input(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    from qalens.sources.text import scan_lines, strip_header
+    path = str(tmp_path / "empty.csv")
+    assert strip_header(scan_lines(spark, path), path=path).count() == 0
+
+
+def test_single_file_is_in_order_above_a_sort_of_many_partitions(spark, tmp_path):
+    from qalens.operators.sort import sort_by_count
+    from qalens.sinks.text import write_top_tags
+    rows = spark.range(2000).selectExpr("concat('t', id) AS tag", "(id * 7919) % 997 AS n").repartition(8)
+    path = str(tmp_path / "one")
+    write_top_tags(sort_by_count(rows, "n", "tag"), path, single_file=True)
+    expected = [f"({r.tag},{r.n})" for r in sorted(rows.collect(), key=lambda r: (-r.n, r.tag))]
+    assert read_parts(path) == expected
+
+
+def test_two_runs_on_one_session_keep_apart(spark, dump, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(2) as pool:
+        outs = list(pool.map(lambda k: run(spark, *dump, str(tmp_path / f"o{k}")), range(2)))
+    for mean_path, top_path in outs:
+        assert sorted(read_parts(mean_path)) == ["(edge,(1439,1.0))", "(java,(2,1.0))", "(spark,(10,0.5))"]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from qalens.session import shared_dir
+    conf = SimpleNamespace(get=lambda key, default: default)
+    for master, ok in (("spark://host:7077", False), ("yarn", False), ("local-cluster[2,1,1024]", False), ("local[4]", True)):
+        seen = []
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: seen[-1] if seen else None, setCheckpointDir=seen.append)
+        session = SimpleNamespace(sparkContext=sc, conf=conf)
+        if ok:
+            assert shared_dir(session)
+        else:
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                shared_dir(session)
+
+
+@pytest.mark.parametrize("date, kept", [("2021-01-01T00:00:00Z", True), ("+12021-01-01T00:00:00Z", False), ("-2021-01-01T00:00:00Z", False),
+                                        ("2021-01-01t00:00z", True), ("2021-01-01", False), ("2021-13-01T00:00:00Z", False)])
+def test_only_four_digit_years(spark, date, kept):
+    lines = spark.createDataFrame([(f"1,NA,{date},NA",)], "value string")
+    assert (parse_questions(lines).count() == 1) == kept
 
 
 @pytest.mark.parametrize("scan_partitions", [1, 7])

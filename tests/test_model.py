@@ -81,7 +81,7 @@ def test_scan_and_reports_match_model(spark, seed, partitions):
     got = {r.id: (r.copies, r.minutes) for r in first_answer_minutes(data, partitions).collect()}
     assert got == {q: (copies[q], m) for q, m in minutes.items()}
 
-    got_n = {r.id: r.n_answers for r in answers_per_question(data, partitions).collect()}
+    got_n = {r.id: r.n_answers for r in answers_per_question(data).collect()}
     assert got_n == n_ans
 
     got_mean = {r.tag: (r.mean_minutes, r.probability)
@@ -90,7 +90,7 @@ def test_scan_and_reports_match_model(spark, seed, partitions):
     for tag, (m, p) in mean.items():
         assert got_mean[tag][0] == m and got_mean[tag][1] == pytest.approx(p, rel=0, abs=1e-15)
 
-    rows = top_tags(data, partitions).collect()
+    rows = top_tags(data).collect()
     assert {r.tag: r.n for r in rows} == answered
     assert [r.n for r in rows] == sorted((r.n for r in rows), reverse=True)
 
@@ -195,14 +195,14 @@ def test_one_big_group_is_linear(spark):
 
 
 def test_carry_frame_is_bounded_by_two_rows_per_partition(spark):
-    from qalens.operators.nearest import carry_frame, ranged_input, scan_within
+    from qalens.operators.nearest import carry_frame, ranged_input
     from qalens.sources.views import events_view
     from conftest import SF_CHECK
 
     questions, answers, _ = random_tables(9, n_q=3000, n_a=6000, hot_share=0.6)
     synthetic = frames(spark, questions, answers, [(0, "x")])
     for data, parts in ((synthetic, 16), (synthetic, 64), (events_view(spark, SF_CHECK), 32)):
-        carries = carry_frame(scan_within(ranged_input(data.questions, data.answers, parts, False)))
+        carries = carry_frame(ranged_input(data.questions, data.answers, parts, False)[0])
         n = carries.count()
         assert n <= 2 * parts
         per_pid = carries.groupBy("pid").count().agg({"count": "max"}).first()[0]
@@ -218,7 +218,7 @@ def test_burst_at_one_instant_is_split_and_exact(spark):
     burst = [(5, BASE)] * 40_000 + [(5, BASE + 7 * 60_000_000), (6, BASE)]
     questions = [(i, BASE + (i - 50) * 60_000_000, 5) for i in range(100)] + [(1000, BASE, 6)]
     data = frames(spark, questions, burst, [(0, "x")])
-    sizes = [r["count"] for r in ranged_input(data.questions, data.answers, 8, False)
+    sizes = [r["count"] for r in ranged_input(data.questions, data.answers, 8, False)[0]
              .groupBy("pid").count().collect()]
     assert max(sizes) < 2 * sum(sizes) / 8
     got = {r.id: r.nearest_us for r in answer_scan(data.questions, data.answers, 8, False).collect()}

@@ -1,28 +1,12 @@
 """Every registered query against its DuckDB statement on the smallest driver scale."""
 
-import hashlib
-import math
-
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
 from conftest import SF_SMALL
-
-TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
-          "labels conversations").split()
-
-
-def _norm(v):
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 12))
-    return repr(v)
-
-
-def digest(cols, rows):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return hashlib.sha1("\n".join(sorted("|".join(_norm(r[i]) for i in order) for r in rows)).encode()).hexdigest()
-
+from qalens.plans import registry
+from tools.oracle_check import TABLES, digest
 
 @pytest.fixture(scope="module")
 def duck():
@@ -33,10 +17,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry_module.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]

@@ -4,8 +4,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_module
 from conftest import SF_SMALL
+from qalens.plans import registry
 from qalens.plans.reports import mean_time_answer
 from qalens.sources.views import events_view, orders_view
 
@@ -15,22 +15,13 @@ def plan_text(df):
         df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_python_udf_no_pair_join(spark, name):
-    text = plan_text(entry_module.queries()[name](spark, SF_SMALL))
+    text = plan_text(registry.queries()[name](spark, SF_SMALL))
     for banned in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert banned not in text, banned
 
 
-def test_events_report_never_joins_events_with_events(spark):
-    df = mean_time_answer(events_view(spark, SF_SMALL))
-    text = df._jdf.queryExecution().optimizedPlan().toString()
-    # questions and answers only meet inside the range-partitioned scan, never in a join on user_id
-    assert "rangepartitioning" in df._jdf.queryExecution().executedPlan().toString().lower() or \
-        "RepartitionByExpression" in text
-    assert not re.search(r"Join .*user_id", text)
-
-
 def test_scan_reads_only_needed_columns(spark):
     df = mean_time_answer(orders_view(spark, SF_SMALL))
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -42,18 +33,42 @@ def test_scan_reads_only_needed_columns(spark):
 
 
 def test_only_bounded_frames_are_broadcast_explicitly(spark):
-    # the only explicit broadcast hint is on the carry frame (<= 2 rows per range partition)
+    # the only explicit broadcast hints are on the boundary links and the carry frame (<= 2 rows per range partition)
     df = mean_time_answer(events_view(spark, SF_SMALL))
     hints = df._jdf.queryExecution().analyzed().toString().count("ResolvedHint (strategy=broadcast)")
-    assert hints == 1
+    assert hints == 2
 
 
-def test_range_exchange_is_read_once_by_both_branches(spark):
-    # the question rows and the carry summary must see the same range partitions
-    df = mean_time_answer(events_view(spark, SF_SMALL))
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in final or final.lower().count("rangepartitioning") == 1
+def test_window_exchange_has_the_scan_partition_count(spark):
+    df = mean_time_answer(orders_view(spark, SF_SMALL), 43200, partitions=24)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"hashpartitioning\(pid#\d+, link#\d+L?, 24\)", text)
+    assert not re.findall(r"hashpartitioning\(pid#\d+, link#\d+L?, 8\).*REPARTITION", text)
+
+
+def test_views_derive_the_partition_count_from_file_sizes(spark):
+    from qalens.operators.nearest import PARTITIONS_PER_SPLIT, ranged_input
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        data = orders_view(spark, SF_SMALL)
+        _, n = ranged_input(data.questions, data.answers, None, False)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert n > 8 and n % PARTITIONS_PER_SPLIT == 0
+
+
+def test_rows_entering_the_carry_window_are_bounded(spark):
+    from qalens.operators.nearest import boundary_summary, ranged_input
+    data = orders_view(spark, SF_SMALL)
+    ranged, n = ranged_input(data.questions, data.answers, 24, False)
+    assert n == 24 and boundary_summary(ranged).count() <= 2 * n
+
+
+@pytest.mark.parametrize("name", ["top_tags", "top_tags_orders", "answered_questions", "answered_questions_orders", "answered_by_tag", "tag_counts",
+                                  "answers_per_question", "answers_per_question_orders", "explode_tags", "explode_tags_orders"])
+def test_no_window_where_no_latency_is_needed(spark, name):
+    assert "Window" not in plan_text(registry.queries()[name](spark, SF_SMALL))
 
 
 def test_one_exchange_by_tag_for_the_mean_time_report(spark):
@@ -62,11 +77,11 @@ def test_one_exchange_by_tag_for_the_mean_time_report(spark):
     assert len(re.findall(r"hashpartitioning\(tag#\d+,", initial)) == 1
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_frame_is_reaggregated_per_row(spark, name):
     # Spark re-aggregates "<x> .. UNBOUNDED FOLLOWING" frames for every row (quadratic per group);
     # only the whole-partition frame may end there.
-    text = plan_text(entry_module.queries()[name](spark, SF_SMALL))
+    text = plan_text(registry.queries()[name](spark, SF_SMALL))
     bad = re.findall(r"specifiedwindowframe\((?:RowFrame|RangeFrame), (?!unboundedpreceding)[^,()]+(?:\(\))?, "
                      r"unboundedfollowing", text)
     assert not bad, bad

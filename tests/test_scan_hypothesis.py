@@ -1,6 +1,7 @@
 """Generated edge cases for the nearest-answer scan against brute force: equal instants,
 links without answers, answers without questions, repeated ids, tiny and many partitions."""
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -29,3 +30,23 @@ def test_scan_matches_brute_force(spark, questions, answers, partitions):
         mine = [a for lk, a in a_rows if lk == link]
         expected.append((qid, link, ts, min((abs(a - ts) for a in mine), default=None), len(mine)))
     assert got == sorted(expected)
+
+
+@pytest.mark.parametrize("setting", ["spark.sql.exchange.reuse", "spark.sql.adaptive.enabled"])
+def test_scan_does_not_depend_on_optimizer_settings(spark, setting):
+    # half of the questions and answers on one link, the input above a shuffle and not written before the exchange
+    q_rows = [(i, BASE + (i * 7919 % 5000) * MINUTE, 0 if i % 2 else i % 50) for i in range(4000)]
+    a_rows = [(0 if i % 2 else i % 50, BASE + (i * 104729 % 5000) * MINUTE) for i in range(600)]
+    qdf = spark.createDataFrame(q_rows, "id long, us long, link long").repartition(5, "us").selectExpr("id", "link", "timestamp_micros(us) AS creation_ts")
+    adf = spark.createDataFrame(a_rows, "link long, us long").repartition(3, "us").selectExpr("link", "timestamp_micros(us) AS creation_ts")
+    by_link = {}
+    for link, ts in a_rows:
+        by_link.setdefault(link, []).append(ts)
+    expected = sorted((i, min((abs(a - ts) for a in by_link.get(link, [])), default=-1), len(by_link.get(link, []))) for i, ts, link in q_rows)
+    spark.conf.set(setting, "false")
+    try:
+        got = sorted((r.id, -1 if r.nearest_us is None else r.nearest_us, r.n_answers)
+                     for r in answer_scan(qdf, adf, 24, materialize_input=False).collect())
+    finally:
+        spark.conf.set(setting, "true")
+    assert got == expected
