@@ -1,0 +1,115 @@
+"""Token files and packing against the tokenizers library; Simple-8b round trips; best-fit invariants."""
+
+import zlib
+
+import numpy as np
+import pytest
+from conftest import LONG, ROWS, SF  # noqa: F401
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from qalens.llm import simple8b
+from qalens.llm.packing import BestFit, best_fit_pack, packed_documents, token_pieces
+from qalens.llm.registry import BYTE_LEVEL, WORD_LEVEL, op5_token_files, tokenizer_file
+from qalens.llm.token_files import token_file_round_trip
+from qalens.llm.tokens import TextTokenizer
+
+
+def ids_of(name, text, end):
+    return np.array(Tokenizer.from_file(tokenizer_file(name)).encode(text, add_special_tokens=False).ids + [end], dtype="<u4")
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 2**16), st.integers(0, 2**64 - 1)), max_size=600))
+def test_simple8b_round_trip(values):
+    values = np.array(values, dtype=np.uint64)
+    words, escapes = simple8b.pack(values)
+    assert (simple8b.unpack(words, escapes, len(values)) == values).all()
+    assert len(escapes) == int((values >= np.uint64(1 << 60)).sum())
+
+
+def test_simple8b_is_compact():
+    words, _ = simple8b.pack(np.zeros(2400))
+    assert len(words) == 10
+    words, _ = simple8b.pack(np.full(400, 30_000))
+    assert len(words) == 100
+
+
+ODD = ["", " ", "  a", "a  b", "a   b ", "a\n \tb", "x\n \n y", "it's don't we'll I'M", "<|endoftext|> a<|endoftext|>.", "İstanbul ΟΔΟΣ. ſ", "éa ́b",
+       "a　 b", "1234 5.6, x1.", "中文，字。", "a\x01b \x01 c", "foo.\nBar\n", "\x1c a\x85 b", "w... w,. (x).", "don't. 's. 're, x's", "é. É, ß! 5! a?"]
+
+
+@pytest.mark.parametrize("name", [BYTE_LEVEL, WORD_LEVEL])
+def test_remembered_words_give_the_librarys_ids(name, texts):
+    encoder = TextTokenizer(tokenizer_file(name))
+    assert encoder.byte_level or encoder.word
+    for text in [*ODD, *[a + " " + b for a in ODD for b in ODD], *list(texts.values())[:60]]:
+        expected = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == expected, text
+
+
+def test_token_files_hold_all_documents_in_order(spark, texts):
+    got = sorted(op5_token_files(spark, SF).collect())
+    start, expected = 0, []
+    for doc_id in sorted(texts):
+        ids = ids_of(BYTE_LEVEL, texts[doc_id], 2)
+        expected.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert [tuple(r) for r in got] == expected
+
+
+def test_token_files_of_odd_rows(odd, none):
+    got = sorted(((r.start, r.doc_id, bytes(r.ids)) for r in token_file_round_trip(odd, tokenizer_file(BYTE_LEVEL), 2, partitions=4).collect()))
+    assert sorted((d is not None, d or 0) for _, d, _ in got) == sorted((r[0] is not None, r[0] or 0) for r in ROWS)
+    assert [d for _, d, _ in got][:2] == [None, 1]  # a null id first, then ascending
+    at = 0
+    for start, doc_id, ids in got:
+        assert start == at
+        at += len(ids) // 4
+        text = next(r[1] for r in ROWS if r[0] == doc_id) or ""
+        assert ids == ids_of(BYTE_LEVEL, text, 2).tobytes()
+    assert token_file_round_trip(none, tokenizer_file(BYTE_LEVEL), 2).count() == 0
+
+
+def assert_packed(rows, length):
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append(r)
+    for pieces in by.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= length
+    return len(by)
+
+
+def test_packing_of_odd_rows(odd, none):
+    rows = packed_documents(odd, tokenizer_file(WORD_LEVEL), 0, length=256).collect()
+    assert_packed(rows, 256)
+    for doc_id, text in {(r[0], r[1]) for r in ROWS}:
+        ids = ids_of(WORD_LEVEL, text or "", 0)
+        mine = sorted(((r.piece, r.start, r.length, r.ids_crc32) for r in rows if r.doc_id == doc_id))
+        cuts = [(k // 256, k, len(ids[k:k + 256]), zlib.crc32(ids[k:k + 256].tobytes())) for k in range(0, len(ids), 256)]
+        assert mine == sorted(cuts * sum(r[0] == doc_id for r in ROWS))
+    assert packed_documents(none, tokenizer_file(WORD_LEVEL), 0).count() == 0
+
+
+def test_packing_is_tight(docs):
+    pieces = token_pieces(docs, tokenizer_file(WORD_LEVEL), 0, 512).collect()
+    rows = best_fit_pack(docs.sparkSession.createDataFrame(pieces), 512, partitions=1).collect()
+    assert len(rows) == len(pieces)
+    assert assert_packed(rows, 512) <= 1.01 * sum(r.length for r in pieces) / 512 + 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=200), st.integers(1, 8))
+def test_best_fit_never_keeps_more_bins_than_allowed(lengths, open_bins):
+    bins, used = BestFit(64, open_bins), {}
+    for n in lengths:
+        number, offset = bins.add(n)
+        assert offset == used.get(number, 0)
+        used[number] = offset + n
+        assert used[number] <= 64 and bins.open <= open_bins
+        assert bins.open == sum(map(len, bins.by_free.values()))
