@@ -165,7 +165,7 @@ def learn_filter(docs: DataFrame, learn: Column | None = None, sample: int = SAM
         for lang, parts in held.items():
             g, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             n = np.bincount(where, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g)), pa.array(g.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
     counted = drawn.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
