@@ -1,10 +1,7 @@
-import os
-import sys
+"""Rows, paths and fixtures of the tests in this folder (imported by name: a second ``conftest`` would hide the first)."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 SF = "/root/testdata/sf0.001"
 LONG = "word " * 30_000 + "Ünïcode tail\n" * 50
 

@@ -4,8 +4,8 @@ import hashlib
 
 import numpy as np
 import xxhash
-from conftest import ROWS
 
+from llm_data import ROWS, docs, none, odd, texts  # noqa: F401
 from qalens.llm.chunk_dedup import MAX_BYTES, cut_points, duplicate_spans, gear_table
 from qalens.llm.components import connected_components
 from qalens.llm.imatch import fingerprints_and_edits

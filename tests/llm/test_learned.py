@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import ROWS, SF
+from llm_data import ROWS, SF, docs, none, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 from qalens.llm.common import held_out

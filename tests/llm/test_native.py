@@ -5,8 +5,8 @@ import re
 
 import duckdb
 import pytest
-from conftest import LONG, ROWS, SF
 
+from llm_data import LONG, ROWS, SF, docs, none, odd, texts  # noqa: F401
 from qalens.llm import decontaminate
 from qalens.llm.decontaminate import contamination, without_contaminated
 from qalens.llm.licenses import TEMPLATES, license_matches, template_bigrams

@@ -4,7 +4,7 @@ import os
 import zlib
 
 import pytest
-from conftest import SF
+from llm_data import SF, docs, none, odd, texts  # noqa: F401
 from test_duplicates import groups_of, simhash
 from test_native import contaminated
 from test_tokens import assert_packed, ids_of

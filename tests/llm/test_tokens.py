@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import LONG, ROWS, SF  # noqa: F401
+from llm_data import ROWS, SF, docs, none, odd, texts  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
