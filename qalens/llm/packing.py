@@ -1,14 +1,14 @@
 """Best-fit packing: token pieces of documents into sequences of a fixed length.
 
 Only a document of more than ``length`` tokens is cut, into pieces of ``length`` tokens and a last, shorter one.
-Pieces are dealt at random into partitions whose number follows the count of pieces, and each partition packs its own:
+Pieces are dealt evenly into partitions whose number follows the count of pieces, and each partition packs its own:
 bounded-space online best-fit. At most ``open_bins`` sequences are open at a time; a bitset keyed by free space
 finds the open sequence that a piece fills best; where none has room, a new one is opened, and if too many
 are open the fullest closes first. So memory is bounded whatever the input, and a lost task is packed again
 to the same sequences (the order within a partition is fixed by length, id and piece).
 
-Nulls: a null text is empty (one token, the end id). Repeated rows are packed each for itself; rows of equal id are
-told apart by the hash of their text and an occurrence number is not kept.
+Nulls: a null text is empty (one token, the end id), a null id is kept. Repeated rows are packed each for itself, under
+the same id and piece numbers.
 """
 
 from __future__ import annotations
@@ -94,15 +94,14 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, length: int
 
 def best_fit_pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, partitions: int | None = None,
                   partition_pieces: int = PARTITION_PIECES) -> DataFrame:
-    """``pieces`` (any columns, with doc_id, piece, start and length) with ``sequence_id`` and ``offset``.
+    """``pieces`` (any columns, with doc_id, piece, start, length and ids_crc32) with ``sequence_id`` and ``offset``.
 
-    Pieces are dealt by a hash of document and piece, so that every partition sees lengths of the whole corpus.
+    Pieces are dealt round robin, so that partitions are alike whatever ids and texts repeat.
     """
     if partitions is None:
         partitions = max(1, round(pieces.count() / partition_pieces))
     columns = pieces.columns
-    key = F.xxhash64("doc_id", "piece", "ids_crc32")
-    dealt = pieces.repartition(partitions, key).sortWithinPartitions(F.desc("length"), key, "doc_id", "piece")
+    dealt = pieces.repartition(partitions).sortWithinPartitions(F.desc("length"), F.xxhash64("doc_id", "piece", "ids_crc32"), "doc_id", "piece")
 
     def pack(batches: Iterator) -> Iterator:
         import pyarrow as pa
