@@ -110,8 +110,7 @@ def fit_rules(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso
     if not n or ones in (0.0, float(n)):
         share = ones / n if n else 0.5
         return log(share / (1 - share)) if 0 < share < 1 else (30.0 if share else -30.0), []
-    rows = labelled.coalesce(8)
-    x = VectorAssembler(inputCols=list(STATISTICS), outputCol="x").transform(rows).select("x", "label")
+    x = VectorAssembler(inputCols=list(STATISTICS), outputCol="x").transform(labelled).select("x", "label")
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird").fit(x)
     found: list[dict] = []
     for tree in forest.trees:
@@ -120,7 +119,7 @@ def fit_rules(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso
     if not rules:
         return log(ones / (n - ones)), []
     names = [f"rule_{i}" for i in range(len(rules))]
-    held = rows.select("label", *[rule_column(r).alias(name) for r, name in zip(rules, names)])
+    held = labelled.select("label", *[rule_column(r).alias(name) for r, name in zip(rules, names)])
     z = VectorAssembler(inputCols=names, outputCol="z").transform(held).select("z", "label").persist()
     fitted = LogisticRegression(featuresCol="z", labelCol="label", elasticNetParam=1.0, regParam=lasso, maxIter=60).fit(z)
     z.unpersist()
