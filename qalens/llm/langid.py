@@ -23,7 +23,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qalens.llm.common import chunks_of
+from qalens.llm.common import chunks_of, written
 
 GRAMS = 20_000
 SAMPLE = 2_000
@@ -167,7 +167,8 @@ def learn_filter(docs: DataFrame, learn: Column | None = None, sample: int = SAM
             n = np.bincount(where, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
-    counted = drawn.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    # Written, as every step below reads it: the texts are scanned once for learning.
+    counted = written(drawn.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
     shared = counted.join(F.broadcast(totals), "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("p")).where(F.col("p") >= MIN_SHARE)
     best = shared.groupBy("gram").agg(F.max("p").alias("most"))
