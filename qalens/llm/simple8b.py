@@ -30,9 +30,9 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if int(top) < limit:
             best[:] = s
             continue
-        wide = np.flatnonzero(values >= np.uint64(limit))
-        following = np.append(wide, n + 240)
-        room = following[np.searchsorted(wide, index, side="left")] - index  # values up to the next one that is too wide
+        wide = values >= np.uint64(limit)
+        following = np.minimum.accumulate(np.where(wide, index, n + 240)[::-1])[::-1]
+        room = following - index  # values up to the next one that is too wide
         best[(room >= count) | (room >= n - index)] = s
     step = (index + np.minimum(COUNTS[best], n - index)).tolist()
     starts, i = [], 0
@@ -55,12 +55,6 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def unpack(words: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
     """The first ``n`` values (uint64) of a stream packed by ``pack``."""
-    values, _ = unpack_streams(words, escapes, np.array([0], np.int64), np.array([n], np.int64))
-    return values
-
-
-def unpack_streams(words: np.ndarray, escapes: np.ndarray, first_word: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Values of several streams that lie one after another in ``words``, and each stream's place among them."""
     selector = (words >> np.uint64(60)).astype(np.int64)
     counts = COUNTS[selector]
     at = np.cumsum(counts) - counts
@@ -73,8 +67,4 @@ def unpack_streams(words: np.ndarray, escapes: np.ndarray, first_word: np.ndarra
             count, width = int(COUNTS[s]), int(WIDTHS[s])
             shifts = np.arange(count, dtype=np.uint64) * np.uint64(width)
             out[at[here][:, None] + np.arange(count)] = (words[here][:, None] >> shifts) & np.uint64((1 << width) - 1)
-    place = np.append(at, len(out))[first_word]
-    begin = np.cumsum(lengths) - lengths
-    total = int(lengths.sum())
-    take = np.repeat(place - begin, lengths) + np.arange(total)
-    return out[take], begin
+    return out[:n]

@@ -24,8 +24,7 @@ from qalens.session import fresh_path
 #: A block closes once it holds so many tokens (a longer document makes a longer block).
 BLOCK_TOKENS = 1 << 16
 
-_BLOCK = ("part int, block int, n_tokens long, doc_ids array<long>, lengths array<long>, first_word array<long>, "
-          "words binary, escapes binary")
+_BLOCK = "part int, first_token long, n_tokens long, doc_ids array<long>, offsets array<long>, words binary, escapes binary"
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, partitions: int | None = None,
@@ -43,24 +42,16 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         from qalens.llm.tokens import text_tokenizer
 
         encode, end = text_tokenizer(tokenizer_path).encode, np.array([end_id], dtype="<u4").tobytes()
-        part, number = TaskContext.get().partitionId(), 0
-        schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
-                            ("lengths", pa.list_(pa.int64())), ("first_word", pa.list_(pa.int64())), ("words", pa.binary()), ("escapes", pa.binary())])
+        part, done = TaskContext.get().partitionId(), 0
+        schema = pa.schema([("part", pa.int32()), ("first_token", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+                            ("offsets", pa.list_(pa.int64())), ("words", pa.binary()), ("escapes", pa.binary())])
 
         def block():
-            words, escapes, first, at = [], [], [], 0
-            for ids in held:
-                packed, big = pack(np.frombuffer(ids, dtype="<u4"))
-                if len(big):  # the index in an escape word counts from the start of the block
-                    packed[packed < np.uint64(1 << 60)] += np.uint64(sum(map(len, escapes)))
-                first.append(at)
-                at += len(packed)
-                words.append(packed)
-                escapes.append(big)
-            lengths = [len(x) // 4 for x in held]
+            words, escapes = pack(np.frombuffer(b"".join(held), dtype="<u4"))
+            lengths = np.array([len(x) // 4 for x in held], dtype=np.int64)
             return pa.RecordBatch.from_pylist([{
-                "part": part, "block": number, "n_tokens": sum(lengths), "doc_ids": names, "lengths": lengths, "first_word": first,
-                "words": np.concatenate(words).astype("<u8").tobytes(), "escapes": np.concatenate(escapes).astype("<u8").tobytes()}], schema=schema)
+                "part": part, "first_token": done, "n_tokens": int(lengths.sum()), "doc_ids": names, "offsets": (np.cumsum(lengths) - lengths).tolist(),
+                "words": words.astype("<u8").tobytes(), "escapes": escapes.astype("<u8").tobytes()}], schema=schema)
 
         names, held, total = [], [], 0
         for batch in batches:
@@ -73,7 +64,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
                     total += len(ids) // 4
                     if total >= block_tokens:
                         yield block()
-                        number += 1
+                        done += total
                         names, held, total = [], [], 0
         if held:
             yield block()
@@ -84,27 +75,24 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """Documents of token files: doc_id, start (ids before it), n_tokens, ids (little-endian uint32 bytes)."""
     blocks = spark.read.schema(_BLOCK).parquet(path)
-    sizes = blocks.groupBy("part", "block").agg(F.sum("n_tokens").alias("n"))
-    parts = sizes.groupBy("part").agg(F.sum("n").alias("n"))
+    parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     # One row a file part: the running sum of so few rows, and their broadcast, are bounded by the number of partitions.
     offsets = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
-    inside = Window.partitionBy("part").orderBy("block")
-    starts = sizes.select("part", "block", (F.sum("n").over(inside) - F.col("n")).alias("block_start")) \
-        .join(F.broadcast(offsets), "part").select("part", "block", (F.col("part_start") + F.col("block_start")).alias("start"))
-    located = blocks.join(starts, ["part", "block"]).select("start", "doc_ids", "lengths", "first_word", "words", "escapes")
+    located = blocks.join(F.broadcast(offsets), "part").select(
+        (F.col("part_start") + F.col("first_token")).alias("start"), "n_tokens", "doc_ids", "offsets", "words", "escapes")
 
     def documents(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        from qalens.llm.simple8b import unpack_streams
+        from qalens.llm.simple8b import unpack
 
         for batch in batches:
             for i in range(batch.num_rows):
-                start, names, lengths, first, words, escapes = (c[i].as_py() for c in batch.columns)
-                lengths = np.array(lengths, dtype=np.int64)
-                ids, begin = unpack_streams(np.frombuffer(words, "<u8"), np.frombuffer(escapes, "<u8"), np.array(first, np.int64), lengths)
-                raw = ids.astype("<u4").tobytes()
+                start, n, names, begin, words, escapes = (c[i].as_py() for c in batch.columns)
+                raw = unpack(np.frombuffer(words, "<u8"), np.frombuffer(escapes, "<u8"), n).astype("<u4").tobytes()
+                begin = np.array(begin, dtype=np.int64)
+                lengths = np.diff(begin, append=n)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(names, pa.int64()), pa.array(start + begin, pa.int64()), pa.array(lengths, pa.int64()),
                     pa.array([raw[4 * b:4 * (b + n)] for b, n in zip(begin.tolist(), lengths.tolist())], pa.binary())],
