@@ -31,6 +31,8 @@ IDF_LOW, IDF_HIGH = 1.6, 7.6
 SUBSETS = 32
 #: Lexicon terms (two numbers each) that may be broadcast; a larger lexicon is joined by a shuffle.
 BROADCAST_TERMS = 1_000_000
+#: Ranges are dealt to tasks by hash; several for each split make the tasks alike.
+RANGES_PER_SPLIT = 4
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -118,7 +120,7 @@ def fingerprints_and_edits(docs: DataFrame, partitions: int | None = None) -> Da
     edited_fingerprint, near_edited (to the edited text's), near_next (to the next document's).
     """
     rows = id_text(docs).withColumn("h", F.xxhash64("text"))
-    bounds = _ranges(rows, partitions or splits(rows))
+    bounds = _ranges(rows, partitions or RANGES_PER_SPLIT * splits(rows))
     if not bounds:
         return rows.select("doc_id", F.lit(0).cast("long").alias("n_chars"), *[F.lit("").alias(c) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")],
                            *[F.lit(0.0).alias(c) for c in ("near_edited", "near_next")])
@@ -145,14 +147,17 @@ def fingerprints_and_edits(docs: DataFrame, partitions: int | None = None) -> Da
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         F.concat(F.array(F.lit(None).cast("long")), term_hashes(F.col("text")),
                  F.transform(term_hashes(F.col("edited")), lambda t: t + F.lit(1))).alias("terms"))
-    # Term hashes are even; those of the edited text have the last bit set. The null keeps texts without a lexicon term.
-    columns = ["range", "doc_id", "h", "n_chars", "next_id", "next_h", "sha256", "edited_sha256"]
-    each = both.select(*columns, F.explode_outer("terms").alias("t")).withColumn("term", F.col("t").bitwiseAND(F.lit(-2).cast("long")))
+    # Term hashes are even; those of the edited text have the last bit set. The row of no term keeps texts without a
+    # lexicon term and carries what isn't about a term, so that the rows of terms stay narrow.
+    about = F.struct("n_chars", "next_id", "next_h", "sha256", "edited_sha256")
+    each = both.select("range", "doc_id", "h", "n_chars", "next_id", "next_h", "sha256", "edited_sha256", F.explode_outer("terms").alias("t")) \
+        .select("range", "doc_id", "h", "t", F.col("t").bitwiseAND(F.lit(-2).cast("long")).alias("term"), F.when(F.col("t").isNull(), about).alias("about"))
     each = each.join(F.broadcast(words) if small else words, "term", "left").where("t IS NULL OR mask IS NOT NULL")
     pair = F.struct("term", "mask")
-    lists = each.groupBy(*columns).agg(
+    lists = each.groupBy("range", "doc_id", "h").agg(
+        F.first("about", ignorenulls=True).alias("about"),
         F.array_sort(F.collect_list(F.when(F.col("t") == F.col("term"), pair))).alias("terms"),
-        F.array_sort(F.collect_list(F.when(F.col("t") > F.col("term"), pair))).alias("edited_terms"))
+        F.array_sort(F.collect_list(F.when(F.col("t") > F.col("term"), pair))).alias("edited_terms")).select("doc_id", "h", "about.*", "terms", "edited_terms")
     # Nulls are joined as -2^63.
     none = F.lit(-(1 << 63)).cast("long")
     made = written(lists.select(
