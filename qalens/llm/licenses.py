@@ -1,9 +1,15 @@
 """Licence scan: passages of texts compared with licence templates by Dice coefficient over word bigrams.
 
 A passage is a line, a paragraph (lines between blank lines) or the whole text; a paragraph of one line and a text of
-one paragraph are not repeated. Text is normalised to lower case words of letters and digits. With A and B the
+one paragraph are not repeated. Within longer passages, and across paragraphs, a notice is found as a window of words that begins and
+ends with a bigram of the template (a window trimmed to these has the greater Dice) and is at most (2 - t) / t times as long as
+it; of windows that overlap the one that shares most bigrams is kept, and a window within a passage reported for the same
+licence isn't repeated. Text is normalised to lower case words of letters and digits. With A and B the
 sets of word bigrams of passage and template, Dice is 2 |A and B| / (|A| + |B|). A value of ``threshold`` t needs |B| between
-|A| t / (2 - t) and |A| (2 - t) / t, so these size bounds pick the candidate templates before any bigram is compared.
+|A| t / (2 - t) and |A| (2 - t) / t, so these size bounds pick the candidate templates before any bigram is compared; a text in
+which a template has fewer bigrams than the lower bound has no window for it.
+
+Paragraphs of a licence are templates of their own; those that its versions share have the family's name (BSD, GPL).
 
 Templates are a bounded parameter (they become literals of the plan); each row is worked out alone, without join
 or shuffle, so neither common words nor hot sources gather rows anywhere. Only DataFrame expressions are used.
@@ -15,6 +21,7 @@ equally similar templates the first by name is reported.
 from __future__ import annotations
 
 import re
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +29,8 @@ from pyspark.sql import functions as F
 from qalens.llm.common import id_text
 
 THRESHOLD = 0.8
+#: What separates paragraphs.
+PARAGRAPHS = r"\n[ \t\r]*\n\s*"
 
 # The wording of public licence notices.
 _AS_IS = ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
@@ -40,51 +49,115 @@ _BSD_2 = ("Redistributions in binary form must reproduce the above copyright not
           "documentation and/or other materials provided with the distribution.")
 _BSD_3 = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
           "software without specific prior written permission.")
+_BSD_AS_IS = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
+              "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT "
+              "HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+              "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+              "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+              "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
 _ISC = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
         "above copyright notice and this permission notice appear in all copies.")
-_APACHE = ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may "
-           "obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
-           "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express "
-           "or implied. See the License for the specific language governing permissions and limitations under the License.")
-_GPL = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
-        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+_ISC_AS_IS = ("THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+              "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+              "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF "
+              "OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.")
+_APACHE_1 = ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may "
+             "obtain a copy of the License at")
+_APACHE_2 = "http://www.apache.org/licenses/LICENSE-2.0"
+_APACHE_3 = ("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+             "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and "
+             "limitations under the License.")
+_GPL_1 = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+          "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+_GPL_2 = ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+          "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.")
+_GPL_3 = "You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."
 TEMPLATES: tuple[tuple[str, str], ...] = (
-    ("Apache-2.0", _APACHE),
+    ("Apache-2.0", " ".join((_APACHE_1, _APACHE_2, _APACHE_3))),
+    ("Apache-2.0", _APACHE_1),
+    ("Apache-2.0", _APACHE_2),
+    ("Apache-2.0", _APACHE_3),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("BSD", _BSD_HEAD),
+    ("BSD", _BSD_1),
+    ("BSD", _BSD_2),
+    ("BSD", _BSD_AS_IS),
+    ("BSD-2-Clause", " ".join((_BSD_HEAD, _BSD_1, _BSD_2, _BSD_AS_IS))),
     ("BSD-2-Clause", " ".join((_BSD_HEAD, _BSD_1, _BSD_2))),
+    ("BSD-3-Clause", " ".join((_BSD_HEAD, _BSD_1, _BSD_2, _BSD_3, _BSD_AS_IS))),
     ("BSD-3-Clause", " ".join((_BSD_HEAD, _BSD_1, _BSD_2, _BSD_3))),
+    ("BSD-3-Clause", _BSD_3),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("GPL", _GPL_2),
+    ("GPL", _GPL_3),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0-or-later", _GPL),
+    ("GPL-3.0-or-later", " ".join((_GPL_1, _GPL_2, _GPL_3))),
+    ("GPL-3.0-or-later", _GPL_1),
+    ("ISC", " ".join((_ISC, _ISC_AS_IS))),
     ("ISC", _ISC),
+    ("ISC", _ISC_AS_IS),
     ("MIT", " ".join((_MIT_GRANT, _MIT_NOTICE, _AS_IS))),
     ("MIT", _MIT_GRANT),
+    ("MIT", _MIT_NOTICE),
     ("MIT", _AS_IS),
+    ("MIT", "Licensed under the MIT License."),
     ("MIT", "Released under the MIT License."),
 )
 
 
+def _words(text: str) -> list[str]:
+    return re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
+
+
 def template_bigrams(text: str) -> list[tuple[str, str]]:
     """Distinct bigrams of a template, as ``passage_bigrams`` makes them of passages."""
-    words = re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
+    words = _words(text)
     return sorted(set(zip(words, words[1:])))
 
 
+def _longs(values: list[int]) -> Column:
+    return F.expr(f"array({', '.join(f'{v}L' for v in values)})")
+
+
+def _likely(hashes: str, bigrams: dict[int, list[int]]) -> Column:
+    """The hashes of any template's bigrams, and about one in 60 of the others (a filter of 65,536 bits)."""
+    bits = [0] * 1024
+    for h in {h for b in bigrams.values() for h in b}:
+        bits[h & 1023] |= 1 << ((h >> 58) & 63)
+    words = _longs([b - (1 << 64) if b >> 63 else b for b in bits])
+    return F.filter(hashes, lambda h: F.getbit(F.get(words, h.bitwiseAND(F.lit(1023).cast("long")).cast("int")), F.shiftrightunsigned(h, 58).cast("int")) == 1)
+
+
+def _split_words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda x: x != "")
+
+
+def _hashes(words: Column) -> Column:
+    """Hashed bigrams of two words or more, in order."""
+    return F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1)))
+
+
 def passages(text: Column) -> Column:
     """Array of (unit, number, passage)."""
     def numbered(unit: str, parts: Column) -> Column:
         return F.transform(parts, lambda p, i: F.struct(F.lit(unit).alias("unit"), i.alias("number"), p.alias("passage")))
 
-    lines, paragraphs = F.split(text, r"\n"), F.split(text, r"\n[ \t\r]*\n\s*")
+    lines, paragraphs = F.split(text, r"\n"), F.split(text, PARAGRAPHS)
     several = F.filter(paragraphs, lambda p: p.contains("\n"))
     whole = F.when(F.size(paragraphs) > 1, F.array(text)).otherwise(F.array().cast("array<string>"))
     return F.concat(numbered("line", lines), numbered("paragraph", several), numbered("text", whole))
 
 
 def license_matches(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """Passages of ``docs`` (doc_id, text) that reach ``threshold``: doc_id, unit, number (from 0), passage, license, dice."""
+    """Passages of ``docs`` (doc_id, text) that reach ``threshold``: doc_id, unit, number (from 0), passage, license, dice.
+
+    The number of a window is that of its first word in the text.
+    """
     spark = docs.sparkSession
     known = [(name, pairs) for name, text in sorted(templates) if (pairs := template_bigrams(text))]
     rows = id_text(docs).select("doc_id", F.explode_outer(passages(F.col("text"))).alias("p")).select("doc_id", "p.*")
@@ -93,22 +166,108 @@ def license_matches(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TE
     hashed = spark.createDataFrame([(i, a, b) for i, (_, pairs) in enumerate(known) for a, b in pairs], "i int, a string, b string") \
         .groupBy("i").agg(F.collect_set(F.xxhash64("a", "b")).alias("h")).collect()  # the templates' own bigrams, as Spark hashes them
     bigrams = {r.i: r.h for r in hashed}
-    least = min(map(len, bigrams.values())) * threshold / (2 - threshold)
+    least = min(map(len, bigrams.values())) * threshold / (2 - threshold) - 1e-9
 
-    split = rows.withColumn("w", F.filter(F.split(F.lower("passage"), "[^a-z0-9]+"), lambda x: x != ""))
-    pairs = F.transform(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.xxhash64(F.get(F.col("w"), i), F.get(F.col("w"), i + 1)))
-    sets = split.withColumn("a", F.when(F.size("w") - 1 >= least, F.array_distinct(pairs))).withColumn("n", F.size("a")).drop("w")
+    split = rows.withColumn("w", _split_words(F.col("passage")))
+    sets = split.withColumn("a", F.when(F.size("w") - 1 >= least, F.array_distinct(_hashes(F.col("w"))))).withColumn("n", F.size("a")).drop("w")
+    sets = sets.withColumn("held", _likely("a", bigrams))
+    some = F.size("held") >= least
 
     def against(i: int) -> Column:
         size = len(bigrams[i])
-        shared = F.size(F.array_intersect("a", F.array(*[F.lit(h) for h in bigrams[i]])))
+        shared = F.size(F.array_intersect("held", _longs(bigrams[i])))
         dice = 2.0 * shared / (F.col("n") + size)
-        fits = F.col("n").between(size * threshold / (2 - threshold), size * (2 - threshold) / threshold)  # else no overlap is enough
+        fits = F.col("n").between(size * threshold / (2 - threshold) - 1e-9, size * (2 - threshold) / threshold + 1e-9)  # else no overlap is enough
         return F.when(fits, F.struct(dice.alias("dice"), F.lit(-i).alias("rank")))
 
-    best = F.array_max(F.array(*[against(i) for i in sorted(bigrams)]))
+    best = F.when(some, F.array_max(F.array(*[against(i) for i in sorted(bigrams)])))
     names = F.array(*[F.lit(name) for name, _ in known])
     # A generator between the work and the filter: a filter on the work itself would be pushed below it and repeat it.
     found = sets.withColumn("best", best).select("doc_id", "unit", "number", "passage", F.explode_outer(F.array("best")).alias("best"))
-    return found.where(F.col("best.dice") >= threshold).select(
+    whole = found.where(F.col("best.dice") >= threshold).select(
         "doc_id", "unit", "number", "passage", F.get(names, -F.col("best.rank")).alias("license"), F.col("best.dice").alias("dice"))
+    texts = dict(enumerate(text for _, text in sorted(templates) if template_bigrams(text)))
+    return whole.unionByName(_windows(id_text(docs), known, texts, bigrams, threshold))
+
+
+def _windows(docs: DataFrame, known: list, texts: dict[int, str], bigrams: dict[int, list[int]], t: float) -> DataFrame:
+    """Windows of words that reach ``t`` and lie in no line, paragraph or text that is reported for the same licence."""
+    need = {i: max(1, ceil(len(b) * t / (2 - t) - 1e-9)) for i, b in bigrams.items()}
+    most = {i: int((len(_words(texts[i])) - 1) * (2 - t) / t + 1e-9) for i in bigrams}
+    table = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(known[i][0]).alias("license"), F.lit(need[i]).alias("need"), F.lit(most[i]).alias("most"),
+                               _longs(bigrams[i]).alias("b")) for i in sorted(bigrams)])
+    hashed = docs.withColumn("w", _split_words(F.col("text")))
+    hashed = hashed.withColumn("h", F.when(F.size("w") > min(need.values()), _hashes(F.col("w"))))
+    hashed = hashed.withColumn("held", F.array_distinct(_likely("h", bigrams)))
+    # Generators between steps, as above: each step sees only the rows that the one before left.
+    some = hashed.select("doc_id", "text", "w", "h", F.explode(F.when(F.size("held") >= min(need.values()), F.array("held"))).alias("held"))
+    fit = some.withColumn("fit", F.filter(table, lambda x: F.size(F.array_intersect(F.col("held"), x["b"])) >= x["need"]))
+    fit = fit.select("doc_id", "text", "w", "h", "held", F.explode(F.when(F.size("fit") > 0, F.array("fit"))).alias("fit"))
+    at = F.filter(F.transform("h", lambda h, k: F.when(F.array_contains("held", h), k)), lambda k: k.isNotNull())
+    fit = fit.withColumn("at", at)
+
+    def ends(start: Column, x: Column) -> Column:
+        """The window from ``start`` of the greatest Dice with template ``x``."""
+        part = F.slice(F.col("h"), start + 1, x["most"])
+        size = F.size(x["b"])
+
+        def longer(s: Column, k: Column) -> Column:
+            h = F.get(part, k)
+            new = F.array_position(part, h) == k + 1
+            n = s["n"] + new.cast("int")
+            shared = s["shared"] + (new & F.array_contains(x["b"], h)).cast("int")
+            dice = 2.0 * shared / (n + size)
+            better = (dice > s["dice"]) | ((dice == s["dice"]) & F.array_contains(x["b"], h))
+            return F.struct(n.alias("n"), shared.alias("shared"), F.when(better, dice).otherwise(s["dice"]).alias("dice"),
+                            F.when(better, shared).otherwise(s["common"]).alias("common"), F.when(better, k).otherwise(s["last"]).alias("last"))
+
+        none = F.struct(F.lit(0).alias("n"), F.lit(0).alias("shared"), F.lit(0.0).alias("dice"), F.lit(0).alias("common"), F.lit(0).alias("last"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(part) - 1), none, longer, lambda s: F.struct(
+            (-s["common"]).alias("common"), (-s["dice"]).alias("dice"), x["i"].alias("i"), start.alias("first"), (start + s["last"] + 1).alias("last"),
+            x["license"].alias("license")))
+
+    def windows(x: Column) -> Column:
+        own = F.filter(F.col("at"), lambda k: F.array_contains(x["b"], F.get(F.col("h"), k)))
+        # A window gains by every bigram of the template before it, so it begins with a run of them (or where the template does).
+        heads = F.filter(F.transform(own, lambda k, j: F.struct(k.alias("k"), F.get(own, j - 1).alias("before"), F.get(own, j + x["need"] - 1).alias("enough"))),
+                         lambda s: (s["before"].isNull() | (s["before"] != s["k"] - 1) | (F.get(F.col("h"), s["k"]) == F.get(opening, x["i"]))) &
+                         (s["enough"] < s["k"] + x["most"]))
+        return F.filter(F.transform(heads, lambda s: ends(s["k"], x)), lambda s: s["dice"] <= -t)
+
+    first_words = [_words(texts[i])[:2] for i in sorted(bigrams)]
+    opening = F.array(*[F.xxhash64(F.lit(a), F.lit(b)) for a, b in first_words])
+    kind = "array<struct<common:int,dice:double,i:int,first:int,last:int,license:string>>"
+    apart = F.aggregate(F.array_sort("found"), F.array().cast(kind), lambda kept, s: F.when(
+        F.exists(kept, lambda o: (s["first"] <= o["last"]) & (o["first"] <= s["last"])), kept).otherwise(F.concat(kept, F.array(s))))
+    found = fit.withColumn("found", F.flatten(F.transform("fit", windows)).cast(kind))
+    found = found.select("doc_id", "text", "w", "h", F.explode(F.when(F.size("found") > 0, F.array("found"))).alias("found")).withColumn("found", apart)
+
+    # Places (first word, words) of the other passages, and the licence of those that windows lie in.
+    def places(parts: Column, several: bool) -> Column:
+        counted = F.transform(parts, lambda p: F.struct(F.size(_split_words(p)).alias("n"), (p.contains("\n") | F.lit(not several)).alias("is_unit")))
+        empty = F.struct(F.lit(0).alias("sum"), F.array().cast("array<struct<first:int,n:int>>").alias("out"))
+        return F.aggregate(counted, empty, lambda s, p: F.struct((s["sum"] + p["n"]).alias("sum"), F.when(
+            p["is_unit"] & (p["n"] > 1), F.concat(s["out"], F.array(F.struct(s["sum"].alias("first"), p["n"].alias("n"))))).otherwise(s["out"]).alias("out")),
+            lambda s: s["out"])
+
+    text = F.array(F.struct(F.lit(0).alias("first"), F.size("w").alias("n")))
+    found = found.withColumn("units", F.concat(places(F.split("text", r"\n"), False), places(F.split("text", PARAGRAPHS), True),
+                                               F.when(F.size(F.split("text", PARAGRAPHS)) > 1, text).otherwise(F.array().cast("array<struct<first:int,n:int>>"))))
+    around = F.filter("units", lambda u: F.exists("found", lambda s: (u["first"] <= s["first"]) & (s["last"] < u["first"] + u["n"])))
+
+    def named(u: Column) -> Column:
+        a = F.array_distinct(F.slice(F.col("h"), u["first"] + 1, u["n"] - 1))
+        best = F.array_max(F.transform(table, lambda x: F.struct(
+            (2.0 * F.size(F.array_intersect(a, x["b"])) / (F.size(a) + F.size(x["b"]))).alias("dice"), (-x["i"]).alias("rank"), x["license"].alias("license"))))
+        return F.struct(u["first"].alias("first"), (u["first"] + u["n"]).alias("end"), F.when(best["dice"] >= t, best["license"]).alias("license"))
+
+    found = found.withColumn("around", F.transform(around, named))
+    left = found.withColumn("found", F.filter("found", lambda s: ~F.exists("around", lambda u: F.coalesce(
+        (u["license"] == s["license"]) & (u["first"] <= s["first"]) & (s["last"] < u["end"]), F.lit(False)))))
+    raw = F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9]+[^A-Za-z0-9]*"), F.lit(0))
+    left = left.withColumn("raw", F.when(F.size("found") > 0, raw))
+    left = left.withColumn("raw", F.when(F.size("raw") == F.size("w"), F.col("raw")).otherwise(F.transform("w", lambda x: F.concat(x, F.lit(" ")))))
+    one = left.select("doc_id", "raw", F.explode("found").alias("s"))
+    passage = F.regexp_replace(F.array_join(F.slice("raw", F.col("s.first") + 1, F.col("s.last") - F.col("s.first") + 1), ""), r"[^A-Za-z0-9]+$", "")
+    return one.select("doc_id", F.lit("window").alias("unit"), F.col("s.first").alias("number"), passage.alias("passage"), F.col("s.license").alias("license"),
+                      (-F.col("s.dice")).alias("dice"))

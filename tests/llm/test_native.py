@@ -58,6 +58,47 @@ def test_licences_of_odd_rows(spark):
     assert got == {1: [("line", "MIT")], 2: [("paragraph", "MIT"), ("text", "MIT")], None: [("line", "MIT")], 6: [("line", "MIT")] * 2}
 
 
+def test_notices_within_longer_passages_and_across_paragraphs(spark):
+    whole = {k: max((t for name, t in TEMPLATES if name == k), key=len) for k in ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC")}
+    cut = lambda name: re.sub(r"(?<=[.:]) (?=Redis|Neither|THIS|Unless)|(?<= at) | (?=Unless)", "\n\n", whole[name])
+    prose = "Some prose that is about another matter: " + " ".join(f"word{k}" for k in range(300)) + "."
+    rows = [(1, "Released under the MIT License. See LICENSE for details."), (2, "Licensed under the MIT License."), (3, "This post is licensed under CC BY 4.0 by its author."),
+            (4, f"{prose}\n\n{cut('Apache-2.0')}\n\n{prose}"), (5, f"{prose}\n\n{cut('BSD-2-Clause')}\n\n{prose}"), (6, f"{prose}\n\n{cut('BSD-3-Clause')}\n\n{prose}"),
+            (7, whole["BSD-3-Clause"]), (8, f"{prose} {whole['ISC']} {prose}"), (9, f"{prose}\nThe code is under the\nMIT license, and {prose}"),
+            (10, "All of it is licensed under CC BY-NC-SA 4.0 as well."), (11, f"{prose} the license of the software"), (12, "Released under the MIT License.\nAlso released under the MIT License, see there.")]
+    got = {}
+    for r in license_matches(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        got.setdefault(r.doc_id, set()).add((r.unit, r.license, r.number if r.unit == "window" else 0, r.passage))
+    named = {i: {(u, name) for u, name, _, _ in found} for i, found in got.items()}
+    assert got[1] == {("window", "MIT", 0, "Released under the MIT License")}
+    assert got[2] == {("line", "MIT", 0, rows[1][1])}
+    assert got[3] == {("window", "CC-BY-4.0", 3, "licensed under CC BY 4.0")}
+    for i, name in ((4, "Apache-2.0"), (5, "BSD-2-Clause"), (6, "BSD-3-Clause")):
+        text = next(p for u, k, _, p in got[i] if u == "window" and k == name)
+        assert text.split() == whole[name].rstrip(".").split() and len([u for u, _ in named[i] if u == "window"]) == 1
+    assert {"BSD", "BSD-3-Clause"} == {k for _, k in named[6]}
+    assert named[7] == {("line", "BSD-3-Clause")} and named[8] == {("window", "ISC")} and named[9] == {("window", "MIT")} and named[10] == {("window", "CC-BY-NC-SA-4.0")}
+    assert 11 not in got and {(u, k, n) for u, k, n, _ in got[12]} == {("line", "MIT", 0), ("window", "MIT", 6)}
+
+
+def test_windows_match_brute_force(spark):
+    import random
+    rng = random.Random(5)
+    texts = [t for _, t in TEMPLATES if len(t) < 140]
+    rows = []
+    for i in range(60):
+        words = " ".join(rng.choice(texts) if rng.random() < 0.5 else rng.choice(["of the software", "x y", "under the", "license", "z"]) for _ in range(4)).split()
+        rows.append((i, " ".join(w for w in words if rng.random() < 0.9)))
+    got = {}
+    for r in license_matches(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, {})[r.unit, r.number] = (r.license, r.dice)
+    for i, text in rows:
+        w = re.sub("[^a-z0-9]+", " ", text.lower()).split()
+        best = max((2 * len(a & b) / (len(a) + len(b)) for _, t in TEMPLATES if (b := set(template_bigrams(t))) for s in range(len(w))
+                    for e in range(s + 2, min(len(w), s + 2 * len(b) + 2) + 1) if (a := set(zip(w[s:e], w[s + 1:e])))), default=0)
+        assert (best >= 0.8 - 1e-9) == (i in got), (text, best, got.get(i))
+
+
 def contaminated(texts, items, size=10):
     words = lambda t: [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or "")) if w]
     windows = {}
