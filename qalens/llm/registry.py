@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from qalens.llm.common import held_out, table
 
 #: Vocabulary files, by name; their folder is that of the installed package.
-BYTE_LEVEL, WORD_LEVEL = "byte_bpe_50k.json", "word_bpe_49k.json"
+BYTE_LEVEL, BYTE_RANKS, WORD_LEVEL = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "word_bpe_49k.json"
 
 
 def tokenizer_file(name: str) -> str:
@@ -98,12 +98,40 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, count_col="n_private")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents`` encoded by a segment-tree byte BPE and decoded again: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    import public_tokenizers
+
+    from qalens.llm.byte_bpe import decoded, encoded
+
+    ranks = tokenizer_file(BYTE_RANKS)
+    rows = decoded(encoded(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return rows.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of whole rebuilt ``conversations``, one row a node with counts of its subtree."""
+    from qalens.llm.conversation_trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over whole ``documents`` in all 120 orders: outcome counts by part, order and step."""
+    from qalens.llm.filter_audit import filter_audit
+
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_imatch_fingerprints, op2_licenses, op3_quality, op4_language, op5_token_files,
-                                     op6_chunk_duplicates, op7_simhash_groups, op8_decontamination, op9_best_fit_packing, op10_pseudonyms)}
+                                     op6_chunk_duplicates, op7_simhash_groups, op8_decontamination, op9_best_fit_packing, op10_pseudonyms,
+                                     op11_byte_bpe, op12_conversation_trie, op13_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from qalens.llm import decontaminate
+    from qalens.llm import conversation_trie, decontaminate, filter_audit
 
-    return {"op8_decontamination": decontaminate.SQL}
+    return {"op8_decontamination": decontaminate.SQL, "op12_conversation_trie": conversation_trie.SQL,
+            "op13_filter_audit": filter_audit.SQL}

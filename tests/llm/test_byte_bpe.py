@@ -1,0 +1,83 @@
+"""Segment-tree byte BPE against the tiktoken library."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+import public_tokenizers
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_data import ROWS, SF, docs, none, odd, texts  # noqa: F401
+
+from qalens.llm.byte_bpe import GENERATION, ByteBpe, byte_bpe, decoded, encoded, merged, read_ranks
+from qalens.llm.registry import BYTE_RANKS, op11_byte_bpe, tokenizer_file
+
+RANKS = tokenizer_file(BYTE_RANKS)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(RANKS), special_tokens={})
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=80))
+def test_any_text_gets_the_librarys_ids(library, text):
+    bpe = byte_bpe(RANKS, public_tokenizers.PATTERN)
+    assert np.frombuffer(bpe.encode(text), "<u4").tolist() == library.encode_ordinary(text)
+    assert bpe.decode(bpe.encode(text)) == text.encode()
+
+
+def test_long_pieces(library):
+    rnd = random.Random(1)
+    for text in ["a" * 3000, "ab" * 2000 + "c" * 99, "é" * 600, "".join(rnd.choice("abcdefgh") for _ in range(20_000)), " " * 999, "the" * 1500]:
+        assert np.frombuffer(byte_bpe(RANKS, public_tokenizers.PATTERN).encode(text), "<u4").tolist() == library.encode_ordinary(text)
+
+
+def test_ties_are_merged_from_the_left():
+    ranks = {bytes([b]): b for b in range(256)} | {b"aa": 256, b"aab": 257, b"ab": 258}
+    assert merged(b"aaa", ranks) == [256, ord("a")]
+    assert merged(b"aaab", ranks) == [256, 258]
+    assert merged(b"aab", ranks) == [257]  # a token is taken whole
+    assert merged(b"baab", ranks) == [ord("b"), 257]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(min_size=1, max_size=40).map(lambda b: bytes(97 + x % 3 for x in b)), st.lists(st.text("abc", min_size=2, max_size=5), max_size=12, unique=True))
+def test_any_vocabulary_against_plain_merging(piece, tokens):
+    ranks = {bytes([b]): b for b in range(256)} | {t.encode(): 256 + i for i, t in enumerate(tokens)}
+    parts = [piece] if piece in ranks else [piece[i:i + 1] for i in range(len(piece))]
+    while len(parts) > 1:
+        rank, i = min((ranks.get(parts[i] + parts[i + 1], 1 << 40), i) for i in range(len(parts) - 1))
+        if rank == 1 << 40:
+            break
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+    assert merged(piece, ranks) == [ranks[p] for p in parts]
+
+
+def test_a_workers_table_stays_bounded(monkeypatch):
+    monkeypatch.setattr("qalens.llm.byte_bpe.GENERATION", 10)
+    assert GENERATION > 10
+    bpe = ByteBpe(read_ranks(RANKS), public_tokenizers.PATTERN)
+    for i in range(100):
+        bpe.encode(f"word{i} " + "x" * 100)
+        assert len(bpe) <= 14 and len(bpe.old) <= 14
+
+
+def test_query_matches_the_library(spark, library, texts):
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in op11_byte_bpe(spark, SF).collect()}
+    expected = {}
+    for doc_id, text in texts.items():
+        ids = library.encode_ordinary(text or "")
+        expected[doc_id] = (len(ids), hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest())
+    assert got == expected
+
+
+def test_odd_rows(odd, none, library):
+    rows = decoded(encoded(odd, RANKS, public_tokenizers.PATTERN), RANKS).collect()
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    assert sorted(((r.doc_id, bytes(r.decoded)) for r in rows), key=key) == sorted(((r[0], (r[1] or "").encode()) for r in ROWS), key=key)
+    assert all(np.frombuffer(bytes(r.ids), "<u4").tolist() == library.encode_ordinary(bytes(r.decoded).decode()) for r in rows)
+    assert encoded(none, RANKS, public_tokenizers.PATTERN).count() == 0

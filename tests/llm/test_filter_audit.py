@@ -1,0 +1,111 @@
+"""Filter audit against applying every order of the filters to the documents, and against its SQL."""
+
+import random
+import re
+from itertools import permutations
+
+import duckdb
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_data import LONG, SF
+
+from qalens.llm.filter_audit import OUTCOMES, count_words, filter_audit, packed, text_failures, unpacked
+from qalens.llm.registry import op13_filter_audit
+from tools.oracle_check import digest
+
+COLUMNS = ["part", "filter_order", "step", *OUTCOMES, "shapley"]
+
+
+def plain_audit(docs, labels):
+    """(doc_id, text, part) rows and {doc_id: (good, toxic)}: each order applied step by step to lists of documents."""
+    first, rows, out = {}, [], []
+    for doc_id, text, _ in docs:
+        if doc_id is not None:
+            first[text or ""] = min(doc_id, first.get(text or "", doc_id))
+    for doc_id, text, part in docs:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        fails = {"A": len(words) < 100, "B": 100 * len(set(words)) < 80 * len(words), "C": 100 * len(re.findall("[A-Z]", text)) > 10 * len(text),
+                 "D": bool(re.search(r"[#$%&*|]", text)), "E": doc_id is not None and doc_id > first[text]}
+        rows.append((part or "", {f for f, hit in fails.items() if hit}, *labels.get(doc_id, (False, False))))
+    for part in {r[0] for r in rows}:
+        mine, total, made = [r[1:] for r in rows if r[0] == part], dict.fromkeys("ABCDE", 0), []
+        for order in permutations("ABCDE"):
+            left = mine
+            for step, f in enumerate(order, 1):
+                removed, kept = [d for d in left if f in d[0]], [d for d in left if f not in d[0]]
+                total[f] += len(removed)
+                made.append([part, "".join(order), step, len(kept), len(removed), sum(f in d[0] for d in mine) - len(removed),
+                             sum(d[0] == {f} for d in mine), sum(d[1] for d in removed), sum(d[2] for d in removed), f])
+                left = kept
+        out += [(*r[:-1], total[r[-1]]) for r in made]
+    return sorted(out)
+
+
+def found(df):
+    return sorted(tuple(r) for r in df.select(COLUMNS).collect())
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text("ab \t\n\x0b\x0c\r\x1c\x85\xa0é", max_size=60), st.integers(1, 9))
+def test_words_are_counted_in_blocks(text, size):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    assert count_words(text.encode(), size) == (len(words), len(set(words)))
+
+
+def test_failures_at_their_limits():
+    words = [f"w{i}" for i in range(80)]
+    assert text_failures(" ".join([*words, *["w1"] * 20]).encode()) == 0
+    assert text_failures(" ".join([*words[:79], *["w1"] * 21]).encode()) == 2
+    assert text_failures(" ".join([*words, *["w1"] * 19]).encode()) == 1
+    assert text_failures(b"") == 1
+    assert text_failures("Aééééééééé".encode()) == 1 and text_failures("AAééééééééé".encode()) == 5
+    assert text_failures(b"#") == 9
+
+
+@pytest.mark.parametrize("n", [1, 2**40, 2**62])
+def test_fields_do_not_overflow_into_each_other(n):
+    fields = unpacked(n * packed(0b10001, True, False) + (n - 1) * packed(0, False, True))
+    for i, name in enumerate(OUTCOMES):
+        one, other = unpacked(packed(0b10001, True, False))[i], unpacked(packed(0, False, True))[i]
+        assert (fields[i] == n * one + (n - 1) * other).all(), name
+
+
+def test_odd_rows(spark):
+    rnd = random.Random(5)
+    pool = [" ".join(rnd.choice(["red", "GREEN", "blue#", "x", f"w{rnd.random()}"]) for _ in range(rnd.choice([5, 120, 150]))) for _ in range(40)]
+    docs = [(i, rnd.choice([*pool, None, "", LONG]), rnd.choice(["en", "de", None, ""])) for i in range(300)]
+    docs += [(7, docs[7][1], "en")] * 5 + [(None, pool[0], "fr")] * 4 + [(400 + i, "copy " * 200, "en") for i in range(300)] + [(3, "other text", "fr")]
+    marks = [(i, rnd.choice([0, 1, None]), rnd.choice([0, 1, None])) for i in range(0, 700, 2)] + [(4, 1, 1), (None, 1, 1)]
+    labels = {}
+    for i, q, t in marks:
+        if i is not None:
+            g, x = labels.get(i, (False, False))
+            labels[i] = (g or q == 1, x or t == 1)
+    table = spark.createDataFrame([(*d, 1, 2, "x") for d in docs], "doc_id long, text string, lang string, n long, mask int, part string").repartition(4)
+    got = found(filter_audit(table, spark.createDataFrame([(*m, 3) for m in marks], "doc_id long, quality int, toxic int, n int")))
+    assert got == plain_audit(docs, labels)
+    assert {r[0] for r in got} == {"en", "de", "", "fr"} and len(got) == 4 * 600
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert filter_audit(docs, labels).count() == 0
+    one = spark.createDataFrame([(1, None, None)], "doc_id long, text string, lang string")
+    assert found(filter_audit(one, labels)) == plain_audit([(1, None, None)], {})
+
+
+def test_query_matches_plain_audit_and_sql(spark):
+    from qalens.llm.filter_audit import SQL
+
+    df = op13_filter_audit(spark, SF)
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    labels = {r.doc_id: (r.quality == 1, r.toxic == 1) for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert found(df) == plain_audit(docs, labels)
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    expected = con.sql(SQL)
+    assert digest(df.columns, [tuple(r) for r in df.collect()]) == digest(expected.columns, expected.fetchall())
