@@ -25,6 +25,8 @@ from itertools import permutations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from qalens.llm.common import written
+
 FILTERS = "ABCDE"
 ORDERS = ["".join(order) for order in permutations(FILTERS)]
 OUTCOMES = ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost")
@@ -83,7 +85,8 @@ def mask_counts(docs: DataFrame, labels: DataFrame, part_col: str = "lang") -> D
     """Documents by part, mask of all five filters (bit 4 is E) and labels: part, mask, good, toxic, n."""
     marks = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.coalesce(F.max(F.col("quality") == 1), F.lit(False)).alias("good"), F.coalesce(F.max(F.col("toxic") == 1), F.lit(False)).alias("toxic"))
-    by_id = document_failures(docs, part_col).groupBy("doc_id", "digest", "part", "mask").agg(F.count(F.lit(1)).alias("n"))
+    # Written, as rows with and without an id are read apart: else every text would be split twice.
+    by_id = written(document_failures(docs, part_col).groupBy("doc_id", "digest", "part", "mask").agg(F.count(F.lit(1)).alias("n")), "audit-masks")
     unmarked = F.lit(False)
     marked = by_id.where(F.col("doc_id").isNotNull()).join(marks, "doc_id", "left") \
         .withColumns({c: F.coalesce(c, unmarked) for c in ("good", "toxic")}) \
