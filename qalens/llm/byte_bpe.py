@@ -16,7 +16,7 @@ rows. Columns other than doc_id and text are never read.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from qalens.llm.common import id_text
 
 #: Pieces in each of the two generations of a worker's table; longer pieces (characters) are encoded each time.
-GENERATION, REMEMBERED = 300_000, 48
+GENERATION, REMEMBERED = 400_000, 48
 
 #: Rows handed over at a time.
 ROWS = 256
@@ -40,40 +40,39 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one piece, by merges in order of rank, leftmost first."""
     if piece in ranks:
         return [ranks[piece]]
-    n = len(piece)
+    n, rank_of = len(piece), ranks.get
     width = 1 << (n - 1).bit_length()
-    none = width << 40  # above every (rank, position)
+    place, none = width - 1, width << 40  # none: above every rank * width + position, which orders pairs by rank, then from the left
     after, before = list(range(1, n + 2)), list(range(-1, n))
     tree = [none] * (2 * width)
-
-    def pair(i: int) -> int:
-        """Rank and place of the pair that begins at ``i``, in one number that orders by rank, then from the left."""
-        j = after[i]
-        rank = ranks.get(piece[i:after[j]]) if j < n else None
-        return none if rank is None else rank * width + i
-
-    def put(i: int, value: int) -> None:
-        at = width + i
-        tree[at] = value
-        while at > 1:
-            at >>= 1
-            least = min(tree[2 * at], tree[2 * at + 1])
-            if tree[at] == least:
-                break
-            tree[at] = least
-
-    tree[width:width + n] = map(pair, range(n))
-    for at in range(width - 1, 0, -1):
-        tree[at] = min(tree[2 * at], tree[2 * at + 1])
+    for i in range(n - 1):
+        rank = rank_of(piece[i:i + 2])
+        if rank is not None:
+            tree[width + i] = rank * width + i
+    for at in range(place, 0, -1):
+        left, right = tree[2 * at], tree[2 * at + 1]
+        tree[at] = left if left < right else right
     while tree[1] != none:
-        i = tree[1] & (width - 1)
+        i = tree[1] & place
         j = after[i]
-        after[i] = after[j]
-        before[after[i]] = i
-        put(j, none)
-        put(i, pair(i))
-        if before[i] >= 0:
-            put(before[i], pair(before[i]))
+        k = after[i] = after[j]
+        before[k] = i
+        tree[width + j] = none
+        rank = rank_of(piece[i:after[k]]) if k < n else None
+        tree[width + i] = none if rank is None else rank * width + i
+        h = before[i]
+        if h >= 0:
+            rank = rank_of(piece[h:k])
+            tree[width + h] = none if rank is None else rank * width + h
+        for at in (width + j, width + i, width + h) if h >= 0 else (width + j, width + i):
+            at >>= 1
+            while at:
+                left, right = tree[2 * at], tree[2 * at + 1]
+                least = left if left < right else right
+                if tree[at] == least:
+                    break
+                tree[at] = least
+                at >>= 1
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i:after[i]]])
@@ -122,33 +121,39 @@ def byte_bpe(ranks_path: str, pattern: str) -> ByteBpe:
     return ByteBpe(read_ranks(ranks_path), pattern)
 
 
-def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Ids of whole texts: doc_id, ids (little-endian uint32 bytes)."""
+def _mapped(rows: DataFrame, schema: str, columns: Callable, ranks_path: str, pattern: str) -> DataFrame:
+    """Map (id, value) rows in small pieces; ``columns`` makes the columns after the id from an encoder and the values."""
 
-    def rows(batches: Iterator) -> Iterator:
+    def mapped(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         bpe = byte_bpe(ranks_path, pattern)
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
-                ids = pa.array([bpe.encode(t.as_py()) for t in part.column(1)], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["doc_id", "ids"])
+                made = columns(bpe, [v.as_py() for v in part.column(1)])
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, pa.binary()) for c in made)],
+                                                 names=["doc_id", *(f"c{i}" for i in range(len(made)))])
+
+    return rows.mapInArrow(mapped, schema)
 
-    return id_text(docs).mapInArrow(rows, "doc_id long, ids binary")
+
+def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """Ids of whole texts: doc_id, ids (little-endian uint32 bytes)."""
+    return _mapped(id_text(docs), "doc_id long, ids binary", lambda bpe, texts: [[bpe.encode(t) for t in texts]], ranks_path, pattern)
 
 
 def decoded(ids: DataFrame, ranks_path: str) -> DataFrame:
     """Bytes of ids (see ``encoded``): doc_id, ids, decoded."""
+    return _mapped(ids.select("doc_id", "ids"), "doc_id long, ids binary, decoded binary",
+                   lambda bpe, found: [found, [bpe.decode(i) for i in found]], ranks_path, "")
 
-    def rows(batches: Iterator) -> Iterator:
-        import pyarrow as pa
 
-        decode = byte_bpe(ranks_path, "").decode
-        for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
-                texts = pa.array([decode(t.as_py()) for t in part.column(1)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=["doc_id", "ids", "decoded"])
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """``decoded(encoded(docs))`` by one worker a task, whose table is then held once: doc_id, ids, decoded."""
+
+    def both(bpe: ByteBpe, texts: list) -> list:
+        ids = [bpe.encode(t) for t in texts]
+        return [ids, [bpe.decode(i) for i in ids]]
 
-    return ids.select("doc_id", "ids").mapInArrow(rows, "doc_id long, ids binary, decoded binary")
+    return _mapped(id_text(docs), "doc_id long, ids binary, decoded binary", both, ranks_path, pattern)

@@ -102,10 +102,9 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents`` encoded by a segment-tree byte BPE and decoded again: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     import public_tokenizers
 
-    from qalens.llm.byte_bpe import decoded, encoded
+    from qalens.llm.byte_bpe import round_trip
 
-    ranks = tokenizer_file(BYTE_RANKS)
-    rows = decoded(encoded(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    rows = round_trip(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_RANKS), public_tokenizers.PATTERN)
     return rows.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_data import ROWS, SF, docs, none, odd, texts  # noqa: F401
 
-from qalens.llm.byte_bpe import GENERATION, ByteBpe, byte_bpe, decoded, encoded, merged, read_ranks
+from qalens.llm.byte_bpe import GENERATION, ByteBpe, byte_bpe, decoded, encoded, merged, read_ranks, round_trip
 from qalens.llm.registry import BYTE_RANKS, op11_byte_bpe, tokenizer_file
 
 RANKS = tokenizer_file(BYTE_RANKS)
@@ -80,4 +80,5 @@ def test_odd_rows(odd, none, library):
     key = lambda r: (r[0] is not None, r[0] or 0, r[1])
     assert sorted(((r.doc_id, bytes(r.decoded)) for r in rows), key=key) == sorted(((r[0], (r[1] or "").encode()) for r in ROWS), key=key)
     assert all(np.frombuffer(bytes(r.ids), "<u4").tolist() == library.encode_ordinary(bytes(r.decoded).decode()) for r in rows)
+    assert sorted(round_trip(odd, RANKS, public_tokenizers.PATTERN).collect(), key=key) == sorted(rows, key=key)
     assert encoded(none, RANKS, public_tokenizers.PATTERN).count() == 0
