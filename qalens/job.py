@@ -4,7 +4,7 @@
                  [--questions-header H ...] [--single-file] [--scan-partitions N]
                                                                    (or: python -m qalens.job ...)
 
-writes ``OUT/mean_time_answer`` and ``OUT/top_tags`` (replacing earlier output).
+writes ``OUT/mean_time_answer`` and ``OUT/top_tags``. Both replace earlier output together, once both are complete.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from qalens.functions.timing import DAY_MINUTES
 from qalens.model import QAData
 from qalens.plans.reports import mean_time_answer_from, per_tag_summary, top_tags_from
 from qalens.session import apply_conf, build_session, fresh_path, run_scratch
-from qalens.sinks.text import write_mean_time_answer, write_top_tags
+from qalens.sinks.text import count_lines, mean_time_lines, write_reports
 from qalens.sources.ingest import read_dump
 
 
@@ -38,7 +38,7 @@ def shared_summary(spark: SparkSession, data: QAData, threshold: int = DAY_MINUT
 def run(spark: SparkSession, questions: str, answers: str, tags: str, out: str, threshold: int = DAY_MINUTES,
         headers: tuple[str | None, str | None, str | None] = (None, None, None),
         single_file: bool = False, scan_partitions: int | None = None) -> tuple[str, str]:
-    """Read the dumps, compute both reports from one shared aggregate, write them as text.
+    """Read the dumps, compute both reports from one shared aggregate, write them as text, replacing an old pair together.
 
     ``scan_partitions`` sets the range partitions of the nearest-answer scan. By default it is
     ``spark.sql.shuffle.partitions``, raised to twice the split count of the scan's narrow
@@ -49,8 +49,7 @@ def run(spark: SparkSession, questions: str, answers: str, tags: str, out: str,
     with run_scratch(spark) as scratch:  # intermediate tables of this run, removed once both reports are written
         data = read_dump(spark, questions, answers, tags, headers, scratch)
         summary = shared_summary(spark, data, threshold, scan_partitions)
-        write_mean_time_answer(mean_time_answer_from(summary), mean_path, single_file)
-        write_top_tags(top_tags_from(summary), top_path, single_file)
+        write_reports({mean_path: mean_time_lines(mean_time_answer_from(summary)), top_path: count_lines(top_tags_from(summary))}, single_file)
     return mean_path, top_path
 
 
@@ -64,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--questions-header")
     parser.add_argument("--answers-header")
     parser.add_argument("--tags-header")
-    parser.add_argument("--single-file", action="store_true", help="one part file per report")
+    parser.add_argument("--single-file", action="store_true", help="one text file per report")
     parser.add_argument("--scan-partitions", type=int, help="range partitions of the nearest-answer scan")
     args = parser.parse_args(argv)
     spark = build_session(app_name="qalens")

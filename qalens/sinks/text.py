@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qalens.functions.render import count_line, mean_time_line
+from qalens.sinks.files import delete, join, merge_parts, replace_together
 
 
 def mean_time_lines(report: DataFrame) -> DataFrame:
@@ -18,25 +21,37 @@ def count_lines(report: DataFrame) -> DataFrame:
     return report.select(count_line(F.col("tag"), F.col("n")).alias("value"))
 
 
-def write_lines(lines: DataFrame, path: str, single_file: bool = False, order: list[Column] | None = None) -> None:
-    """Replace ``path`` with the column ``value`` of ``lines`` as text part files.
+def write_reports(reports: dict[str, DataFrame], single_file: bool = False) -> None:
+    """Write frames of lines (path -> frame with the column ``value``) as text part files, replacing old output together.
 
-    Part files follow the frame's partition order, so a globally sorted frame reads back in
-    order when the parts are concatenated by name. ``single_file`` merges the output into one
-    part (one task writes it: meant for the per-tag reports, whose size is the tag vocabulary),
-    sorted by ``order`` in that task, as merged partitions arrive in any order.
+    Every report is written whole to a staging folder beside its path first; then all are moved into place. A run that
+    fails, in whichever report, leaves all old ones as they were. Part files follow the frame's partition order,
+    so a globally sorted frame reads back in order when the parts are read by name; ``single_file`` joins them
+    to one file in that order, without another shuffle.
     """
-    if single_file:
-        lines = lines.repartition(1)
-        if order:
-            lines = lines.sortWithinPartitions(*order)
-    lines.select("value").write.mode("overwrite").text(path)
+    staged: dict[str, str] = {}
+    folders: set[str] = set()
+    spark = None
+    try:
+        for path, lines in reports.items():
+            spark = lines.sparkSession
+            parent, _, name = path.rstrip("/").rpartition("/")
+            folder = join(parent or ".", f"_staging-{uuid.uuid4().hex}")
+            folders.add(folder)
+            staged[join(folder, name)] = path
+            lines.select("value").write.text(join(folder, name))
+            if single_file:
+                merge_parts(spark, join(folder, name))
+        if staged:
+            replace_together(spark, staged)
+    finally:
+        for folder in folders:
+            delete(spark, folder)
 
 
 def write_mean_time_answer(report: DataFrame, path: str, single_file: bool = False) -> None:
-    write_lines(mean_time_lines(report), path, single_file)
+    write_reports({path: mean_time_lines(report)}, single_file)
 
 
 def write_top_tags(report: DataFrame, path: str, single_file: bool = False) -> None:
-    lines = report.select(count_line(F.col("tag"), F.col("n")).alias("value"), "tag", "n")
-    write_lines(lines, path, single_file, [F.desc("n"), F.asc("tag")])
+    write_reports({path: count_lines(report)}, single_file)
