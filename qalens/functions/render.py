@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,8 +21,7 @@ def count_line(tag: Column, n: Column) -> Column:
     return pair(tag, n)
 
 
-def millionths(share: Column) -> Column:
-    """A share from 0 to 1 cut to six decimals, as text that every engine prints alike."""
-    whole = F.floor(share * 1_000_000).cast("bigint")
-    return F.concat(F.call_function("div", whole, F.lit(1_000_000).cast("bigint")).cast("string"), F.lit("."),
-                    F.lpad(F.pmod(whole, F.lit(1_000_000)).cast("string"), 6, "0"))
+def parse_mean_time_line(lines: DataFrame) -> DataFrame:
+    """``tag, mean_minutes, probability`` of frames of ``line``: what ``mean_time_line`` wrote, the share as the double it prints."""
+    parts = [F.regexp_extract("line", r"(?s)^\((.*),\((-?\d+),([^,]*)\)\)$", i) for i in (1, 2, 3)]
+    return lines.select(parts[0].alias("tag"), parts[1].cast("bigint").alias("mean_minutes"), parts[2].cast("double").alias("probability"))

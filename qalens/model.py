@@ -11,9 +11,9 @@ answers through a shared key (e.g. every view event of a user is answered by tha
 user's purchases) without ever materialising the question x answer pairs: the
 nearest-answer scan works on the link key directly.
 
-Question ids may repeat: every copy counts (tag weight = number of copies), and the
-nearest answer of an id is the nearest over its copies. Rows with a NULL timestamp or an
-answer with a NULL link cannot take part in a latency and are dropped by the scan.
+Question ids may repeat (C10): an id is one question, dated by its earliest copy, and every copy
+counts (tag weight = number of copies). All copies of an id have the same link. Rows with a NULL
+timestamp or an answer with a NULL link cannot take part in a latency and are dropped by the scan.
 
 ``materialize_scan`` tells the nearest-answer scan to write its narrow input once before the
 range exchange too (whose sampling pass would otherwise recompute the inputs). That pays off

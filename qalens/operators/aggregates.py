@@ -33,11 +33,11 @@ def first_answer_minutes(data: QAData, partitions: int | None = None) -> DataFra
     """A5 — ``id, copies, minutes`` for answered questions.
 
     ``minutes`` = whole minutes between the question and its nearest answer (before or after);
-    for a repeated id, the nearest over its copies.
+    the question of a repeated id is its earliest copy (C10).
     """
     scan = _scan(data, partitions)
     return (scan.groupBy("id")
-            .agg(F.count(F.lit(1)).alias("copies"), whole_minutes(F.min("nearest_us")).alias("minutes"))
+            .agg(F.count(F.lit(1)).alias("copies"), whole_minutes(F.min_by("nearest_us", "q_us")).alias("minutes"))
             .where(F.col("minutes").isNotNull()))
 
 
@@ -55,7 +55,7 @@ def answers_by_link(data: QAData) -> DataFrame:
 def answers_per_question(data: QAData) -> DataFrame:
     """A2 — ``id, n_answers, first_us, last_us`` for questions with at least one answer.
 
-    The answers of an id are the answers of the distinct links of its copies. No latency is
+    The answers of an id are the answers of its link (the same for all its copies). No latency is
     asked for, so answers are aggregated by link and joined: no window, no question x answer pairs.
     """
     return (_usable_questions(data).distinct().join(answers_by_link(data), "link").groupBy("id")
@@ -99,16 +99,13 @@ def render_tag_list(nested: DataFrame) -> DataFrame:
 def full_questions(data: QAData, partitions: int | None = None) -> DataFrame:
     """Nested answered + tagged questions: ``id, copies, minutes, n_answers, tags``.
 
-    The answer list of each question is summarised (count, nearest minutes) rather than
-    materialised, so no question needs all of its answers in one row.
+    The answer list of each question is summarised (count, nearest minutes); the lists themselves are
+    rows of bounded segments (``operators.nested``), so no question needs all of its answers in one row.
     """
     scan = _scan(data, partitions)
-    per_link = scan.groupBy("id", "link").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("nearest_us").alias("nearest_us"),
-        F.max("n_answers").alias("n_answers"))
-    per_question = (per_link.groupBy("id")
-                    .agg(F.sum("copies").alias("copies"), whole_minutes(F.min("nearest_us")).alias("minutes"),
-                         F.sum("n_answers").alias("n_answers"))
+    per_question = (scan.groupBy("id")
+                    .agg(F.count(F.lit(1)).alias("copies"), whole_minutes(F.min_by("nearest_us", "q_us")).alias("minutes"),
+                         F.max("n_answers").alias("n_answers"))
                     .where(F.col("minutes").isNotNull()))
     tags = tag_multiset(data.tags).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("tag", "cnt"))).alias("cnts"))
     weighted = F.transform("cnts", lambda t: F.struct(t["tag"].alias("tag"), (t["cnt"] * F.col("copies")).alias("n")))

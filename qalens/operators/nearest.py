@@ -46,7 +46,7 @@ from qalens.session import fresh_path
 PARTITIONS_PER_SPLIT = 2
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
+def partition_count(df: DataFrame, partitions: int | None) -> int:
     """Explicit count, else ``spark.sql.shuffle.partitions``, raised to the scan's splits for large input.
 
     The split count comes from file sizes (planning only, no job).
@@ -80,7 +80,7 @@ def ranged_input(questions: DataFrame, answers: DataFrame, partitions: int | Non
         "link", epoch_micros(F.col("creation_ts")).alias("ts"), "is_q", F.when(F.col("is_q"), F.col("id")).alias("id"))
     if materialize_input:
         narrow = materialize(narrow, "answer-scan-input", scratch)
-    n_parts = _partitions(narrow, partitions)
+    n_parts = partition_count(narrow, partitions)
     # ``tb`` breaks ties of the range key, so even rows identical in (link, ts, is_q, id) -- e.g. a
     # burst of answers at one instant -- can be cut into several partitions.
     ranged = (narrow.withColumn("tb", F.monotonically_increasing_id())

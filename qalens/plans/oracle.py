@@ -22,11 +22,17 @@ q AS (SELECT o_orderkey AS id, o_orderdate AS creation_ts FROM orders),
 a AS (SELECT l_orderkey AS question_id, l_shipdate AS creation_ts, CAST(l_quantity AS INTEGER) AS score FROM lineitem),
 t AS (SELECT l_orderkey AS question_id, p_brand AS tag FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
-# The literal model: question copy x tag row, nearest answer over question copy x answer pairs.
+# Question ids that repeat: every order, line item and brand under the customer's key.
+CUSTOMERS_SQL = """
+q AS (SELECT o_custkey AS id, o_orderdate AS creation_ts FROM orders),
+a AS (SELECT o_custkey AS question_id, l_shipdate AS creation_ts, CAST(l_quantity AS INTEGER) AS score FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+t AS (SELECT o_custkey AS question_id, p_brand AS tag FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
+
+# The literal model: question copy x tag row; nearest answer over pairs of the id's earliest copy and its answers.
 PAIRS_SQL = """
 qt AS (SELECT q.id, t.tag FROM q JOIN t ON t.question_id = q.id),
-m AS (SELECT q.id, min(abs(epoch_us(a.creation_ts) - epoch_us(q.creation_ts))) // 60000000 AS minutes
-      FROM q JOIN a ON a.question_id = q.id GROUP BY q.id),
+m AS (SELECT q1.id, min(abs(epoch_us(a.creation_ts) - epoch_us(q1.creation_ts))) // 60000000 AS minutes
+      FROM (SELECT id, min(creation_ts) AS creation_ts FROM q GROUP BY id) AS q1 JOIN a ON a.question_id = q1.id GROUP BY q1.id),
 pairs AS (SELECT qt.id, qt.tag, m.minutes FROM qt JOIN m ON qt.id = m.id)"""
 
 
@@ -43,6 +49,18 @@ TOP_TAGS_SQL = "SELECT tag, count(*) AS n FROM pairs GROUP BY tag"
 def with_views(view_sql: str, body: str) -> str:
     return f"WITH {view_sql},{PAIRS_SQL}\n{body}"
 
-# A share cut to six decimals as text.
-MILLIONTHS_SQL = ("(CAST(floor(probability * 1000000) AS BIGINT) // 1000000)::VARCHAR || '.' || "
-                  "lpad((CAST(floor(probability * 1000000) AS BIGINT) % 1000000)::VARCHAR, 6, '0')")
+
+
+def answers_nested_sql(answers: str, segment: int) -> str:
+    """``answers``: a query of (link, us, score); its rows numbered by time within the link and cut into lists."""
+    return (f"SELECT link, r // {segment} AS segment, string_agg(us || ':' || coalesce(CAST(score AS VARCHAR), ''), '|' ORDER BY us, score) AS answer_list "
+            f"FROM (SELECT *, row_number() OVER (PARTITION BY link ORDER BY us, score) - 1 AS r FROM ({answers})) GROUP BY link, r // {segment}")
+
+
+# The answers of the links that have a question.
+EVENT_ANSWERS_SQL = ("SELECT user_id AS link, epoch_us(ts) AS us, CAST(floor(value) AS INTEGER) AS score FROM events "
+                     "WHERE event_type = 'purchase' AND user_id IN (SELECT user_id FROM events WHERE event_type = 'view')")
+CUSTOMER_ANSWERS_SQL = ("SELECT o_custkey AS link, epoch_us(l_shipdate) AS us, CAST(l_quantity AS INTEGER) AS score "
+                        "FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+ORDER_ANSWERS_SQL = ("SELECT l_orderkey AS link, epoch_us(l_shipdate) AS us, CAST(l_quantity AS INTEGER) AS score "
+                     "FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)")

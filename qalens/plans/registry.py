@@ -12,16 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qalens.functions.render import count_line, mean_time_line, millionths
+from qalens.functions.render import count_line, mean_time_line, parse_mean_time_line
 from qalens.operators import aggregates as agg
+from qalens.operators import nested
 from qalens.operators.joins import questions_with_tags
 from qalens.plans import reports
-from qalens.plans.oracle import EVENTS_SQL, MILLIONTHS_SQL, ORDERS_SQL, TOP_TAGS_SQL, mean_time_sql
+from qalens.plans.oracle import (CUSTOMER_ANSWERS_SQL, CUSTOMERS_SQL, EVENT_ANSWERS_SQL, EVENTS_SQL, ORDER_ANSWERS_SQL, ORDERS_SQL, TOP_TAGS_SQL,
+                                 answers_nested_sql, mean_time_sql)
 from qalens.plans.oracle import with_views as _with
 from qalens.sources import ingest_views, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Answers an array holds in the registered nested queries, so that also small tables have questions of several arrays.
+REGISTERED_SEGMENT = 4
+
 # --- Spark side ----------------------------------------------------------------------------
 
 def _events(spark: SparkSession, sf_dir: str):
@@ -41,9 +46,9 @@ def _top_tags(view) -> Query:
 
 
 def _render_mean_time(spark: SparkSession, sf: str) -> DataFrame:
-    # The sink's own line function; the share is cut to millionths first, as engines print doubles unlike.
+    # The sink's own line function, its whole line parsed back: engines print doubles unlike.
     report = reports.mean_time_answer(_events(spark, sf), views.EVENTS_THRESHOLD)
-    return report.select(mean_time_line(F.col("tag"), F.col("mean_minutes"), millionths(F.col("probability"))).alias("line"))
+    return parse_mean_time_line(report.select(mean_time_line(F.col("tag"), F.col("mean_minutes"), F.col("probability")).alias("line")))
 
 
 def _render_top_tags(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,6 +102,22 @@ def queries() -> dict[str, Query]:
         "explode_tags_orders": lambda spark, sf: agg.answered_tags(od(spark, sf)),
         "fast_answers_orders": lambda spark, sf: agg.fast_answers(_pairs(od)(spark, sf), views.ORDERS_THRESHOLD),
     })
+    seg, cu = REGISTERED_SEGMENT, views.customers_view
+    q.update({
+        # the nested view: answers as arrays of bounded segments, tags as an array that is un-nested
+        "answers_nested": lambda spark, sf: nested.render_answers(nested.answers_nested(ev(spark, sf), seg)),
+        "answers_nested_orders": lambda spark, sf: nested.render_answers(nested.answers_nested(od(spark, sf), seg)),
+        "first_answer_minutes_nested": lambda spark, sf: nested.first_answer_minutes_nested(ev(spark, sf), seg),
+        "first_answer_minutes_nested_orders": lambda spark, sf: nested.first_answer_minutes_nested(od(spark, sf), seg),
+        "explode_tags_nested": lambda spark, sf: nested.unnested_tags(ev(spark, sf)),
+        # question ids that repeat (C10)
+        "question_weights_customers": lambda spark, sf: agg.question_weights(cu(spark, sf).questions),
+        "first_answer_minutes_customers": lambda spark, sf: agg.first_answer_minutes(cu(spark, sf)),
+        "first_answer_minutes_nested_customers": lambda spark, sf: nested.first_answer_minutes_nested(cu(spark, sf), seg),
+        "answers_nested_customers": lambda spark, sf: nested.render_answers(nested.answers_nested(cu(spark, sf), seg)),
+        "explode_tags_nested_customers": lambda spark, sf: nested.unnested_tags(cu(spark, sf)),
+        "mean_time_answer_customers": _mean_time(cu, views.ORDERS_THRESHOLD),
+    })
     q.update(ingest_views.queries())
     return q
 
@@ -135,8 +156,7 @@ def oracle_sql() -> dict[str, str]:
                                              f"AS probability FROM pairs GROUP BY tag "
                                              f"HAVING count(*) FILTER (WHERE {fast}) > 0"),
         "tag_counts": _with(ev, "SELECT tag, count(*) AS n FROM pairs GROUP BY tag"),
-        "render_mean_time_answer": _with(ev, f"SELECT '(' || tag || ',(' || mean_minutes || ',' || {MILLIONTHS_SQL} || '))' AS line "
-                                             "FROM (" + mean_time_sql(1440) + ")"),
+        "render_mean_time_answer": _with(ev, mean_time_sql(1440)),
         "render_top_tags": _with(ev, "SELECT '(' || tag || ',' || n || ')' AS line FROM (" + TOP_TAGS_SQL + ")"),
     }
     for name in ("questions_with_tags", "answered_questions", "question_weights", "answers_per_question",
@@ -144,5 +164,14 @@ def oracle_sql() -> dict[str, str]:
         sql[f"{name}_orders"] = sql[name].replace(ev, od, 1)
     sql["fast_answers_orders"] = _with(od, "SELECT id, tag, count(*) AS n, minutes FROM pairs WHERE minutes < 43200 "
                                            "GROUP BY id, tag, minutes")
+    cu, seg = CUSTOMERS_SQL, REGISTERED_SEGMENT
+    for name in ("question_weights", "first_answer_minutes"):
+        sql[f"{name}_customers"] = sql[name].replace(ev, cu, 1)
+    for view, body, answers in (("", ev, EVENT_ANSWERS_SQL), ("_orders", od, ORDER_ANSWERS_SQL), ("_customers", cu, CUSTOMER_ANSWERS_SQL)):
+        sql[f"answers_nested{view}"] = answers_nested_sql(answers, seg)
+        sql[f"first_answer_minutes_nested{view}"] = sql["first_answer_minutes"].replace(ev, body, 1)
+    sql["explode_tags_nested"] = sql["explode_tags"]
+    sql["explode_tags_nested_customers"] = sql["explode_tags"].replace(ev, cu, 1)
+    sql["mean_time_answer_customers"] = _with(cu, mean_time_sql(43200))
     sql.update(ingest_views.oracle_sql())
     return sql

@@ -75,6 +75,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def listing(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, size and time of every file under ``path`` (a file or a folder): what tells one state of a table from another."""
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(hadoop_path, True)
+    found = []
+    while files.hasNext():
+        status = files.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
+
+
 @contextmanager
 def run_scratch(spark: SparkSession) -> Iterator[str]:
     """A scratch folder for one job run under the shared folder, removed when the run ends.

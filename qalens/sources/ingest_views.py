@@ -1,7 +1,7 @@
 """Registered ingest and job queries (I1-I5, K3-K6, and both reports from text lines).
 
-Stand-in dumps are text files written once an application; their lines are built from the driver tables: the builders below only format rows
-into the dump's line layout (plus a header and, as noise, every line of every document);
+Stand-in dumps are text files written once an application and state of the table files (names, sizes, times); their lines are built from the driver
+tables: the builders below only format rows into the dump's line layout (plus a header and, as noise, every line of every document);
 all parsing, header removal and reporting is done by the library's own code. The DuckDB
 side builds the same lines and parses them with the same rules in SQL.
 """
@@ -12,13 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qalens import job
-from qalens.functions.render import mean_time_line, millionths
+from qalens.functions.render import parse_mean_time_line
 from qalens.model import QAData
 from qalens.plans import reports
-from qalens.plans.oracle import MILLIONTHS_SQL, PAIRS_SQL, TOP_TAGS_SQL, mean_time_sql
-from qalens.session import fresh_path
+from qalens.plans.oracle import PAIRS_SQL, TOP_TAGS_SQL, mean_time_sql
+from qalens.session import fresh_path, listing
 from qalens.sources import ingest
-from qalens.sources.text import scan_lines, strip_header
+from qalens.sources.text import numbered_lines, scan_lines, strip_header
 from qalens.sources.views import ORDERS_THRESHOLD, table
 
 # Dump header lines.
@@ -89,13 +89,14 @@ def lineitem_tag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- registered queries -------------------------------------------------------------------------
 
-#: Folders of stand-in dumps already written by this application, by name and table folder.
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+#: Folders of stand-in dumps already written by this application, by name and the files they were made from.
+_WRITTEN: dict[tuple, str] = {}
 
 
-def dump_folder(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame) -> str:
-    """Folder of part files of a stand-in dump, written once an application and table folder, and read by all queries."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+def dump_folder(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...], lines: DataFrame) -> str:
+    """Folder of part files of a stand-in dump of ``tables``, written again once any of their files is another."""
+    state = tuple(listing(spark, f"{sf_dir}/{t}.parquet") for t in tables)
+    key = (spark.sparkContext.applicationId, sf_dir, name, state)
     if key not in _WRITTEN:
         path = fresh_path(spark, f"dump-{name}")
         lines.write.text(path)
@@ -104,14 +105,14 @@ def dump_folder(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame) -
 
 
 def event_questions_dump(spark: SparkSession, sf_dir: str) -> str:
-    return dump_folder(spark, sf_dir, "event-questions", event_question_lines(spark, sf_dir))
+    return dump_folder(spark, sf_dir, "event-questions", ("events", "documents"), event_question_lines(spark, sf_dir))
 
 
 def order_dumps(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
     """Folders of the question, answer and tag dumps of the orders tables."""
-    return (dump_folder(spark, sf_dir, "questions", order_question_lines(spark, sf_dir)),
-            dump_folder(spark, sf_dir, "answers", lineitem_answer_lines(spark, sf_dir)),
-            dump_folder(spark, sf_dir, "tags", lineitem_tag_lines(spark, sf_dir)))
+    return (dump_folder(spark, sf_dir, "questions", ("orders",), order_question_lines(spark, sf_dir)),
+            dump_folder(spark, sf_dir, "answers", ("lineitem", "documents"), lineitem_answer_lines(spark, sf_dir)),
+            dump_folder(spark, sf_dir, "tags", ("lineitem", "part"), lineitem_tag_lines(spark, sf_dir)))
 
 
 def _scan_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,12 +146,12 @@ def dump_tables(spark: SparkSession, sf_dir: str) -> QAData:
     return ingest.read_dump(spark, *order_dumps(spark, sf_dir))
 
 
-def job_lines(spark: SparkSession, sf_dir: str, report: str, runs: int = 1, single_file: bool = False) -> DataFrame:
-    """Run the whole job on the dumps, ``runs`` times into one output folder, and read a report's lines back."""
+def job_output(spark: SparkSession, sf_dir: str, report: str, runs: int = 1, single_file: bool = False) -> str:
+    """Run the whole job on the dumps, ``runs`` times into one output folder; the folder of a report."""
     out = output_folder(spark, sf_dir, f"job-{report}-{runs}-{single_file}")
     for _ in range(runs):
         job.run(spark, *order_dumps(spark, sf_dir), out, ORDERS_THRESHOLD, single_file=single_file)
-    return scan_lines(spark, f"{out}/{report}").select(F.col("value").alias("line"))
+    return f"{out}/{report}"
 
 
 def output_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -159,10 +160,17 @@ def output_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 
 def _job_mean_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K3, K5, K6: the second of two runs into one folder; the share is cut to millionths, as engines print doubles unlike."""
-    lines = job_lines(spark, sf_dir, "mean_time_answer", runs=2)
-    parts = [F.regexp_extract("line", r"^\((.*),\((\d+),([^,]*)\)\)$", i) for i in (1, 2, 3)]
-    return lines.select(mean_time_line(parts[0], parts[1], millionths(parts[2].cast("double"))).alias("line"))
+    """K1, K3, K5, K6: the lines of the second of two runs into one folder, whole, parsed back."""
+    lines = scan_lines(spark, job_output(spark, sf_dir, "mean_time_answer", runs=2))
+    return parse_mean_time_line(lines.select(F.col("value").alias("line")))
+
+
+def _job_top_tags(single_file: bool):
+    """K2, S1 (K4): the lines of the report with their numbers across its part files."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = numbered_lines(spark, job_output(spark, sf_dir, "top_tags", single_file=single_file))
+        return lines.select("line_no", F.col("value").alias("line"))
+    return run
 
 
 def queries():
@@ -175,8 +183,8 @@ def queries():
         "dump_mean_time_answer": lambda spark, sf: reports.mean_time_answer(dump_tables(spark, sf), ORDERS_THRESHOLD),
         "dump_top_tags": lambda spark, sf: reports.top_tags(dump_tables(spark, sf)),
         "job_mean_time_answer": _job_mean_time,
-        "job_top_tags": lambda spark, sf: job_lines(spark, sf, "top_tags"),
-        "job_top_tags_single_file": lambda spark, sf: job_lines(spark, sf, "top_tags", single_file=True),
+        "job_top_tags": _job_top_tags(single_file=False),
+        "job_top_tags_single_file": _job_top_tags(single_file=True),
     }
 
 
@@ -241,6 +249,7 @@ t AS (SELECT CAST(f[1] AS INTEGER) AS question_id, f[2] AS tag
 def oracle_sql():
     all_lines = f"{EVENT_QUESTION_LINES_SQL},{ANSWER_LINES_SQL},{TAG_LINES_SQL},{PARSED_SQL}"
     dump = f"{ORDER_QUESTION_LINES_SQL},{ANSWER_LINES_SQL},{TAG_LINES_SQL},{PARSED_SQL},{PAIRS_SQL}"
+    numbered = f"SELECT row_number() OVER (ORDER BY n DESC, tag) AS line_no, '(' || tag || ',' || n || ')' AS line FROM ({TOP_TAGS_SQL})"
     return {
         "scan_text_lines": f"WITH {EVENT_QUESTION_LINES_SQL} SELECT line FROM ql",
         "strip_header": f"WITH {EVENT_QUESTION_LINES_SQL} SELECT line FROM ql WHERE line <> '{QUESTION_HEADER}'",
@@ -249,8 +258,7 @@ def oracle_sql():
         "ingest_tags": f"WITH {all_lines} SELECT question_id, tag FROM t",
         "dump_mean_time_answer": f"WITH {dump} {mean_time_sql(ORDERS_THRESHOLD)}",
         "dump_top_tags": f"WITH {dump} {TOP_TAGS_SQL}",
-        "job_mean_time_answer": f"WITH {dump} SELECT '(' || tag || ',(' || mean_minutes || ',' || {MILLIONTHS_SQL} || '))' AS line "
-                                f"FROM ({mean_time_sql(ORDERS_THRESHOLD)})",
-        "job_top_tags": f"WITH {dump} SELECT '(' || tag || ',' || n || ')' AS line FROM ({TOP_TAGS_SQL})",
-        "job_top_tags_single_file": f"WITH {dump} SELECT '(' || tag || ',' || n || ')' AS line FROM ({TOP_TAGS_SQL})",
+        "job_mean_time_answer": f"WITH {dump} {mean_time_sql(ORDERS_THRESHOLD)}",
+        "job_top_tags": f"WITH {dump} {numbered}",
+        "job_top_tags_single_file": f"WITH {dump} {numbered}",
     }

@@ -7,7 +7,10 @@ from the ``k`` property: ``'k' || (k % 10)`` and ``'k' || (k div 10)``.
 ``orders_view``: orders are questions, their line items are answers (shipped date), and
 each line item tags its order with the brand of its part.
 
-Both views are column scans of parquet, which the nearest-answer scan re-reads for its
+``customers_view``: the orders view with every order asked by its customer, so question ids repeat
+(C10): a customer is one question, dated by the first order and weighing as many as there are orders.
+
+All views are column scans of parquet, which the nearest-answer scan re-reads for its
 range sampling instead of copying them (``materialize_scan=False``). The events view also
 hands the scan its questions and answers as one frame read in one pass (``scan_rows``).
 """
@@ -80,3 +83,17 @@ def orders_view(spark: SparkSession, sf_dir: str) -> QAData:
             .join(part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
             .select(F.col("l_orderkey").alias("question_id"), F.col("p_brand").alias("tag")))
     return QAData(questions, answers, tags, materialize_scan=False)
+
+
+def customers_view(spark: SparkSession, sf_dir: str) -> QAData:
+    """Question ids that repeat: orders, line items and brands under their customer's key."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("id"), "o_orderdate")
+    lineitem = table(spark, sf_dir, "lineitem")
+    part = table(spark, sf_dir, "part")
+    of_customer = lineitem.select("l_orderkey", "l_partkey", "l_shipdate", "l_quantity").join(
+        orders.select("o_orderkey", "id"), F.col("l_orderkey") == F.col("o_orderkey"))
+    questions = orders.select("id", instant("o_orderdate").alias("creation_ts"), F.col("id").alias("link"))
+    answers = of_customer.select(F.col("id").alias("link"), instant("l_shipdate").alias("creation_ts"), F.col("l_quantity").cast("int").alias("score"))
+    tags = of_customer.select("id", "l_partkey").join(part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")) \
+        .select(F.col("id").alias("question_id"), F.col("p_brand").alias("tag"))
+    return QAData(questions, answers, tags, materialize_scan=False)

@@ -8,8 +8,9 @@ from collections import defaultdict
 import pytest
 
 from qalens.model import QAData
-from qalens.operators.aggregates import answers_per_question, first_answer_minutes
+from qalens.operators.aggregates import answers_per_question, first_answer_minutes, question_weights
 from qalens.operators.nearest import answer_scan
+from qalens.operators.nested import first_answer_minutes_nested
 from qalens.plans.reports import mean_time_answer, top_tags
 
 BASE = 1_600_000_000_000_000  # epoch micros
@@ -25,10 +26,10 @@ def random_tables(seed, n_q=400, n_a=900, n_links=25, hot_share=0.4):
         # coarse grid so equal instants occur; spread over ~3 days
         return BASE + rnd.randrange(0, 4000) * 60_000_000 + rnd.choice([0, 0, 1, 59_999_999])
 
-    questions = []
+    questions, link_of = [], defaultdict(link)
     for _ in range(n_q):
-        qid = rnd.randrange(0, n_q // 2)  # repeated ids
-        questions.append((qid, ts(), link()))
+        qid = rnd.randrange(0, n_q // 2)  # repeated ids; all copies of an id have one link
+        questions.append((qid, ts(), link_of[qid]))
     answers = [(link(), ts()) for _ in range(n_a)]
     answers = [a for a in answers if a[0] != n_links - 1]  # one link never answered
     tags = [(rnd.randrange(0, n_q // 2 + 5), rnd.choice("abcdefg")) for _ in range(n_q)]
@@ -43,12 +44,11 @@ def model(questions, answers, tags, threshold):
     copies = defaultdict(int)
     nearest = {}
     links = defaultdict(set)
-    for qid, ts, lk in questions:
+    for qid, ts, lk in sorted(questions, key=lambda q: -q[1]):  # the earliest copy comes last and stays
         copies[qid] += 1
         links[qid].add(lk)
-        for a in by_link.get(lk, []):
-            d = abs(a - ts)
-            nearest[qid] = min(nearest.get(qid, d), d)
+        if by_link.get(lk):
+            nearest[qid] = min(abs(a - ts) for a in by_link[lk])
     minutes = {q: d // 60_000_000 for q, d in nearest.items()}
     answered, fast, fast_min = defaultdict(int), defaultdict(int), defaultdict(int)
     for qid, tag in tags:
@@ -81,6 +81,9 @@ def test_scan_and_reports_match_model(spark, seed, partitions):
     got = {r.id: (r.copies, r.minutes) for r in first_answer_minutes(data, partitions).collect()}
     assert got == {q: (copies[q], m) for q, m in minutes.items()}
 
+    nested = {r.id: (r.copies, r.minutes) for r in first_answer_minutes_nested(data, 3, partitions).collect()}
+    assert nested == got
+
     got_n = {r.id: r.n_answers for r in answers_per_question(data).collect()}
     assert got_n == n_ans
 
@@ -107,22 +110,20 @@ def test_hot_link_is_split_across_range_partitions(spark):
               .where("link = 0").select("pid").distinct().count())
     assert spread >= 8
     _, minutes, *_ = model(questions, answers, [], 1440)
-    got = {}
-    for r in scan.collect():
-        if r.nearest_us is not None:
-            got[r.id] = min(got.get(r.id, r.nearest_us), r.nearest_us)
+    got = {r.id: r.nearest_us for r in sorted(scan.collect(), key=lambda r: -r.q_us) if r.nearest_us is not None}
     assert {k: v // 60_000_000 for k, v in got.items()} == minutes
 
 
-def test_scan_uses_the_copy_nearest_to_an_answer(spark):
-    # id 1 has two copies on different links; the nearest answer of the id is the nearest over both
-    questions = [(1, BASE, 10), (1, BASE + 10 * 60_000_000, 11), (2, BASE, 12)]
-    answers = [(10, BASE + 100 * 60_000_000), (11, BASE + 13 * 60_000_000)]
+def test_an_id_is_dated_by_its_earliest_copy(spark):
+    # C10: the later copies of id 1 weigh, but their dates (nearer to an answer) don't count
+    questions = [(1, BASE, 10), (1, BASE + 12 * 60_000_000, 10), (1, BASE + 90 * 60_000_000, 10), (2, BASE, 12)]
+    answers = [(10, BASE + 100 * 60_000_000), (10, BASE + 13 * 60_000_000)]
     data = frames(spark, questions, answers, [(1, "a"), (2, "b")])
-    got = {r.id: (r.copies, r.minutes) for r in first_answer_minutes(data).collect()}
-    assert got == {1: (2, 3)}
-    got_n = {r.id: r.n_answers for r in answers_per_question(data).collect()}
-    assert got_n == {1: 2}
+    for frame in (first_answer_minutes(data), first_answer_minutes_nested(data, 1)):
+        assert [(r.id, r.copies, r.minutes) for r in frame.collect()] == [(1, 3, 13)]
+    assert [(r.id, r.copies, r.creation_us) for r in question_weights(data.questions).orderBy("id").collect()] == [(1, 3, BASE), (2, 1, BASE)]
+    assert {r.id: r.n_answers for r in answers_per_question(data).collect()} == {1: 2}
+    assert [(r.tag, r.mean_minutes) for r in mean_time_answer(data).collect()] == [("a", 13)]
 
 
 def test_hot_link_balance_and_exactness_at_larger_size(spark):
