@@ -14,12 +14,13 @@ events view (one user's purchases answer all of the user's views) would be quadr
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qalens.functions.timing import epoch_micros, int_div, whole_minutes
 from qalens.model import QAData
 from qalens.operators.aggregates import explode_tags, full_questions
+from qalens.operators.joins import tag_multiset
 from qalens.operators.nearest import boundary_summary, materialize, partition_count
 
 #: Answers in one array.
@@ -67,10 +68,14 @@ def answers_nested(data: QAData, segment: int = SEGMENT, partitions: int | None
     return answer_segments(numbered, segment).join(asked, "link", "left_semi")
 
 
+def _answer_list() -> Column:
+    entry = F.transform("answers", lambda a: F.concat(a["ts"].cast("string"), F.lit(":"), F.coalesce(a["score"].cast("string"), F.lit(""))))
+    return F.array_join(entry, "|").alias("answer_list")
+
+
 def render_answers(nested: DataFrame) -> DataFrame:
     """``link, segment, answer_list``: ``epoch micros:score`` entries joined with ``|`` (a flat text form of A2)."""
-    entry = F.transform("answers", lambda a: F.concat(a["ts"].cast("string"), F.lit(":"), F.coalesce(a["score"].cast("string"), F.lit(""))))
-    return nested.select("link", "segment", F.array_join(entry, "|").alias("answer_list"))
+    return nested.select("link", "segment", _answer_list())
 
 
 def first_answer_minutes_nested(data: QAData, segment: int = SEGMENT, partitions: int | None = None) -> DataFrame:
@@ -89,6 +94,31 @@ def first_answer_minutes_nested(data: QAData, segment: int = SEGMENT, partitions
         .groupBy("id").agg(F.max("copies").alias("copies"), whole_minutes(F.min("nearest")).alias("minutes"))
 
 
+def whole_questions(data: QAData, segment: int = SEGMENT, partitions: int | None = None) -> DataFrame:
+    """The nested question — ``id, segment, copies, creation_us, answers, tags``, for answered and tagged questions.
+
+    A question is its rows in order of ``segment``: each holds the next ``segment`` answers, the first one also the tags
+    (``ARRAY<STRUCT<tag, n>>``, each tag once with its weight) and the date. Only for tables whose answers carry the question's id
+    (link = id): where questions share a link, repeating its answers under each of them would be all pairs.
+    """
+    questions = data.questions.where(F.col("creation_ts").isNotNull()).groupBy("id", "link").agg(
+        F.count(F.lit(1)).alias("copies"), F.min(epoch_micros(F.col("creation_ts"))).alias("creation_us")).where(F.col("id") == F.col("link"))
+    tags = tag_multiset(data.tags).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("tag", "cnt"))).alias("counts"))
+    heads = questions.join(tags, "id").select(
+        F.col("id").alias("link"), "copies", "creation_us",
+        F.transform("counts", lambda t: F.struct(t["tag"].alias("tag"), (t["cnt"] * F.col("copies")).alias("n"))).alias("tags"))
+    first = F.col("segment") == 0
+    return answers_nested(data, segment, partitions).join(heads, "link").select(
+        F.col("link").alias("id"), "segment", "copies", F.when(first, F.col("creation_us")).alias("creation_us"), "answers",
+        F.when(first, F.col("tags")).alias("tags"))
+
+
+def render_questions(questions: DataFrame) -> DataFrame:
+    """The rows of ``whole_questions`` with both lists as text (``tag:n`` and ``epoch micros:score``, joined with ``|``)."""
+    tag = F.transform("tags", lambda t: F.concat(t["tag"], F.lit(":"), t["n"].cast("string")))
+    return questions.select("id", "segment", "copies", "creation_us", _answer_list(), F.array_join(tag, "|").alias("tag_list"))
+
+
 def unnested_tags(data: QAData, partitions: int | None = None) -> DataFrame:
     """A4 on the nested view — ``id, tag, n``: the tag array of every answered question, one row an entry with its weight."""
     return explode_tags(full_questions(data, partitions))

@@ -57,6 +57,15 @@ def answers_nested_sql(answers: str, segment: int) -> str:
             f"FROM (SELECT *, row_number() OVER (PARTITION BY link ORDER BY us, score) - 1 AS r FROM ({answers})) GROUP BY link, r // {segment}")
 
 
+def whole_questions_sql(answers: str, segment: int) -> str:
+    """The lists of ``answers_nested_sql`` under their question, the first with its date and tags."""
+    return (f"SELECT s.link AS id, s.segment, c.copies, CASE WHEN s.segment = 0 THEN c.creation_us END AS creation_us, s.answer_list, "
+            f"CASE WHEN s.segment = 0 THEN c.tag_list END AS tag_list FROM ({answers_nested_sql(answers, segment)}) AS s JOIN "
+            "(SELECT d.id, d.copies, d.creation_us, string_agg(k.tag || ':' || k.n, '|' ORDER BY k.tag) AS tag_list "
+            "FROM (SELECT id, count(*) AS copies, min(epoch_us(creation_ts)) AS creation_us FROM q GROUP BY id) AS d "
+            "JOIN (SELECT id, tag, count(*) AS n FROM qt GROUP BY id, tag) AS k ON k.id = d.id GROUP BY d.id, d.copies, d.creation_us) AS c ON c.id = s.link")
+
+
 # The answers of the links that have a question.
 EVENT_ANSWERS_SQL = ("SELECT user_id AS link, epoch_us(ts) AS us, CAST(floor(value) AS INTEGER) AS score FROM events "
                      "WHERE event_type = 'purchase' AND user_id IN (SELECT user_id FROM events WHERE event_type = 'view')")

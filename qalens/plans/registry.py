@@ -18,7 +18,7 @@ from qalens.operators import nested
 from qalens.operators.joins import questions_with_tags
 from qalens.plans import reports
 from qalens.plans.oracle import (CUSTOMER_ANSWERS_SQL, CUSTOMERS_SQL, EVENT_ANSWERS_SQL, EVENTS_SQL, ORDER_ANSWERS_SQL, ORDERS_SQL, TOP_TAGS_SQL,
-                                 answers_nested_sql, mean_time_sql)
+                                 answers_nested_sql, mean_time_sql, whole_questions_sql)
 from qalens.plans.oracle import with_views as _with
 from qalens.sources import ingest_views, views
 
@@ -110,12 +110,14 @@ def queries() -> dict[str, Query]:
         "first_answer_minutes_nested": lambda spark, sf: nested.first_answer_minutes_nested(ev(spark, sf), seg),
         "first_answer_minutes_nested_orders": lambda spark, sf: nested.first_answer_minutes_nested(od(spark, sf), seg),
         "explode_tags_nested": lambda spark, sf: nested.unnested_tags(ev(spark, sf)),
+        "whole_questions_orders": lambda spark, sf: nested.render_questions(nested.whole_questions(od(spark, sf), seg)),
         # question ids that repeat (C10)
         "question_weights_customers": lambda spark, sf: agg.question_weights(cu(spark, sf).questions),
         "first_answer_minutes_customers": lambda spark, sf: agg.first_answer_minutes(cu(spark, sf)),
         "first_answer_minutes_nested_customers": lambda spark, sf: nested.first_answer_minutes_nested(cu(spark, sf), seg),
         "answers_nested_customers": lambda spark, sf: nested.render_answers(nested.answers_nested(cu(spark, sf), seg)),
         "explode_tags_nested_customers": lambda spark, sf: nested.unnested_tags(cu(spark, sf)),
+        "whole_questions_customers": lambda spark, sf: nested.render_questions(nested.whole_questions(cu(spark, sf), seg)),
         "mean_time_answer_customers": _mean_time(cu, views.ORDERS_THRESHOLD),
     })
     q.update(ingest_views.queries())
@@ -170,6 +172,8 @@ def oracle_sql() -> dict[str, str]:
     for view, body, answers in (("", ev, EVENT_ANSWERS_SQL), ("_orders", od, ORDER_ANSWERS_SQL), ("_customers", cu, CUSTOMER_ANSWERS_SQL)):
         sql[f"answers_nested{view}"] = answers_nested_sql(answers, seg)
         sql[f"first_answer_minutes_nested{view}"] = sql["first_answer_minutes"].replace(ev, body, 1)
+    sql["whole_questions_orders"] = _with(od, whole_questions_sql(ORDER_ANSWERS_SQL, seg))
+    sql["whole_questions_customers"] = _with(cu, whole_questions_sql(CUSTOMER_ANSWERS_SQL, seg))
     sql["explode_tags_nested"] = sql["explode_tags"]
     sql["explode_tags_nested_customers"] = sql["explode_tags"].replace(ev, cu, 1)
     sql["mean_time_answer_customers"] = _with(cu, mean_time_sql(43200))

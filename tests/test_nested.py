@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from qalens.model import QAData
 from qalens.operators.aggregates import first_answer_minutes
-from qalens.operators.nested import answers_nested, first_answer_minutes_nested, numbered_answers, render_answers, unnested_tags
+from qalens.operators.nested import answers_nested, first_answer_minutes_nested, numbered_answers, render_answers, unnested_tags, whole_questions
 from qalens.sources.views import customers_view, events_view, orders_view
 
 BASE = 1_600_000_000_000_000
@@ -99,3 +99,14 @@ def test_numbered_rows_do_not_depend_on_the_partition_count(spark):
     data = frames(spark, questions, answers)
     one = sorted(map(tuple, numbered_answers(data, 1).where("NOT is_q").select("link", "ts", "before").collect()))
     assert one == sorted(map(tuple, numbered_answers(data, 30).where("NOT is_q").select("link", "ts", "before").collect()))
+
+
+def test_a_whole_question_is_its_rows_in_order(spark):
+    answers = [(1, BASE + i, i) for i in range(5)] + [(2, BASE, 1), (3, BASE, 1)]
+    q = [(1, BASE + 9, 1), (1, BASE + 4, 1), (2, BASE, 2), (4, BASE, 4), (6, BASE, 7)]  # 2 has no tag, 4 no answer, 6 another link
+    data = frames(spark, q, answers)
+    tags = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (3, "x"), (4, "x"), (6, "x")], "question_id long, tag string")
+    rows = whole_questions(QAData(data.questions, data.answers, tags), 2, 3).orderBy("id", "segment").collect()
+    assert [(r.id, r.segment, r.copies, r.creation_us) for r in rows] == [(1, 0, 2, BASE + 4), (1, 1, 2, None), (1, 2, 2, None)]
+    assert [tuple(a) for r in rows for a in r.answers] == [(BASE + i, i) for i in range(5)]
+    assert [tuple(t) for t in rows[0].tags] == [("a", 2), ("b", 4)] and rows[1].tags is None
