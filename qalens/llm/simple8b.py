@@ -22,19 +22,25 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(values)
     if not n:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    index = np.arange(n, dtype=np.int64)
-    best = np.zeros(n, dtype=np.int8)
-    top = values.max()
-    for s in range(15, 0, -1):  # towards more values a word; a later, larger selector wins
-        count, limit = int(COUNTS[s]), 1 << int(WIDTHS[s])
-        if int(top) < limit:
-            best[:] = s
-            continue
-        wide = values >= np.uint64(limit)
-        following = np.minimum.accumulate(np.where(wide, index, n + 240)[::-1])[::-1]
-        room = following - index  # values up to the next one that is too wide
-        best[(room >= count) | (room >= n - index)] = s
-    step = (index + np.minimum(COUNTS[best], n - index)).tolist()
+    top, narrow = int(values.max()), None  # narrow: places whose values fit the selector at hand
+    fits_all = max((s for s in range(1, 16) if top < 1 << int(WIDTHS[s])), key=lambda s: COUNTS[s], default=ESCAPE)
+    best = np.full(n, fits_all, dtype=np.int8)
+    for s in range((fits_all or 16) - 1, 0, -1):  # towards more values a word; a later, larger selector wins
+        limit = np.uint64(1 << int(WIDTHS[s]))
+        narrow = np.flatnonzero(values < limit) if narrow is None else narrow[values[narrow] < limit]
+        if not len(narrow):
+            break
+        ends = np.flatnonzero(np.diff(narrow, append=n + 1) != 1)
+        first, last = narrow[np.concatenate(([0], ends[:-1] + 1))], narrow[ends]  # runs of such places
+        # The selector may begin where its word lies within a run; in the last run of all, the word may be cut off by the end.
+        until = last - int(COUNTS[s]) + 2
+        until[-1] = n if last[-1] == n - 1 else until[-1]
+        long = until > first
+        edges = np.zeros(n + 1, dtype=np.int8)
+        edges[first[long]] = 1
+        edges[until[long]] -= 1
+        best[np.cumsum(edges[:-1], dtype=np.int8).view(bool)] = s
+    step = np.minimum(np.arange(n, dtype=np.int64) + COUNTS[best], n).tolist()
     starts, i = [], 0
     while i < n:
         starts.append(i)

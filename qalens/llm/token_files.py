@@ -7,7 +7,7 @@ and any document of it can be decoded alone. Blocks are rows of Parquet written
 any store, commits files atomically, and a lost task is written again whole.
 
 Nulls: a null text is empty (one token, the end id); a null id sorts first. Documents with equal ids are ordered
-by the hash of their texts, and repeated rows are all kept.
+by the hash of their texts, and repeated rows are all kept; also those may lie in several ranges.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
                       block_tokens: int = BLOCK_TOKENS) -> None:
     """Write the token files of ``docs`` (columns doc_id, text) to ``path``; ``part`` numbers the id ranges upwards."""
     rows = id_text(docs)
-    ordered = rows.withColumn("tie", F.xxhash64("text")) \
-        .repartitionByRange(partitions or splits(rows), "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
+    ordered = rows.withColumns({"tie": F.xxhash64("text"), "copy": F.monotonically_increasing_id()}) \
+        .repartitionByRange(partitions or splits(rows), "doc_id", "tie", "copy").sortWithinPartitions("doc_id", "tie", "copy").drop("tie", "copy")
 
     def blocks(batches: Iterator) -> Iterator:
         import numpy as np
