@@ -5,7 +5,7 @@ is in at least exp(-IDF_HIGH) of all documents, it has at most (mean distinct te
 terms, whatever the corpus. A text's fingerprint is its distinct lexicon terms, sorted, cut to each of SUBSETS
 random subsets of the lexicon and hashed: 8 hex digits a subset, zeros where it holds none of the terms. Subset j
 keeps a term with probability 2^-(3 + j div 4), so that short and long texts alike have subsets of few terms.
-A text without a lexicon term gets digits of its own digest for every subset.
+A text without a term of any subset gets digits of its own digest for every subset.
 
 The likeness of two fingerprints is the share of equal hashes among the subsets that either has terms in.
 
@@ -43,29 +43,24 @@ def term_hashes(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, idf_low: float = IDF_LOW, idf_high: float = IDF_HIGH) -> DataFrame:
-    """(term, mask): hashes of the terms of ``docs.text`` within the band, and the subsets that each is in, as bits."""
+    """(term, subsets): hashes of the terms of ``docs.text`` within the band that are in any subset, and the numbers of those."""
     # The outer form of explode: for the inner one the optimizer adds a filter that works out the terms once more.
     terms = docs.select(term_hashes(F.col("text")).alias("terms")).select(F.explode_outer("terms").alias("term"))
     n = docs.count()
     df = terms.where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("df"))
     band = df.where(F.col("df").between(n * exp(-idf_high), n * exp(-idf_low)))
-    bits = [F.when(F.pmod(F.xxhash64("term", F.lit(j)), F.lit(8 << j // 4)) == 0, F.lit(1 << j).cast("long")).otherwise(F.lit(0).cast("long"))
-            for j in range(SUBSETS)]
-    mask = bits[0]
-    for b in bits[1:]:
-        mask = mask + b
-    return written(band.select("term", mask.alias("mask")), "lexicon")
+    within = F.filter(F.array(*[F.when(F.pmod(F.xxhash64("term", F.lit(j)), F.lit(8 << j // 4)) == 0, F.lit(j).cast("byte")) for j in range(SUBSETS)]),
+                      lambda j: j.isNotNull())
+    # Filtered as read back: before, the optimizer would work the subsets out for every occurrence of a term.
+    return written(band.select("term", within.alias("subsets")), "lexicon").where(F.size("subsets") > 0)
 
 
-def fingerprint(terms: str, text_digest: Column) -> Column:
-    """The fingerprint of a sorted array of (term, mask) structs."""
-    def subset(j: int) -> Column:
-        held = F.filter(F.col(terms), lambda x: x["mask"].bitwiseAND(F.lit(1 << j).cast("long")) != 0)
-        return F.when(F.size(held) == 0, "0" * 8).otherwise(F.lpad(F.lower(F.hex(
-            F.hash(F.transform(held, lambda x: x["term"])).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0"))
-
-    return F.when(F.size(terms) == 0, F.repeat(F.left(text_digest, F.lit(8)), F.lit(SUBSETS))) \
-        .otherwise(F.concat(*[subset(j) for j in range(SUBSETS)]))
+def fingerprint(hashes: Column, text_digest: Column) -> Column:
+    """The fingerprint of an array of (j, digits of the hash of subset j's sorted terms) structs; zeros for subsets without any."""
+    missing = F.transform(F.array_except(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), F.transform(hashes, lambda x: x["j"])),
+                          lambda j: F.struct(j.alias("j"), F.lit("0" * 8).alias("digits")))
+    digits = F.array_join(F.transform(F.array_sort(F.concat(hashes, missing)), lambda x: x["digits"]), "")
+    return F.when(F.size(hashes) == 0, F.repeat(F.left(text_digest, F.lit(8)), F.lit(SUBSETS))).otherwise(digits)
 
 
 def likeness(one: str, other: str) -> Column:
@@ -152,18 +147,23 @@ def fingerprints_and_edits(docs: DataFrame, partitions: int | None = None) -> Da
     about = F.struct("n_chars", "next_id", "next_h", "sha256", "edited_sha256")
     each = both.select("range", "doc_id", "h", "n_chars", "next_id", "next_h", "sha256", "edited_sha256", F.explode_outer("terms").alias("t")) \
         .select("range", "doc_id", "h", "t", F.col("t").bitwiseAND(F.lit(-2).cast("long")).alias("term"), F.when(F.col("t").isNull(), about).alias("about"))
-    each = each.join(F.broadcast(words) if small else words, "term", "left").where("t IS NULL OR mask IS NOT NULL")
-    pair = F.struct("term", "mask")
-    lists = each.groupBy("range", "doc_id", "h").agg(
+    each = each.join(F.broadcast(words) if small else words, "term", "left").where("t IS NULL OR subsets IS NOT NULL")
+    # A row for each subset that a term is in (one on average), then one for each subset of a text, then the text: all
+    # within the range. Subsets of the edited text follow those of the text.
+    parts = each.select("range", "doc_id", "h", "about", "term", (F.col("t") - F.col("term")).alias("side"), F.explode_outer("subsets").alias("j")) \
+        .groupBy("range", "doc_id", "h", "side", "j").agg(F.first("about", ignorenulls=True).alias("about"), F.array_sort(F.collect_list("term")).alias("terms"))
+    digits = F.lpad(F.lower(F.hex(F.hash("terms").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")
+    of_subset = F.struct(F.col("j").cast("int").alias("j"), digits.alias("digits"))
+    lists = parts.groupBy("range", "doc_id", "h").agg(
         F.first("about", ignorenulls=True).alias("about"),
-        F.array_sort(F.collect_list(F.when(F.col("t") == F.col("term"), pair))).alias("terms"),
-        F.array_sort(F.collect_list(F.when(F.col("t") > F.col("term"), pair))).alias("edited_terms")).select("doc_id", "h", "about.*", "terms", "edited_terms")
+        F.collect_list(F.when(F.col("side") == 0, of_subset)).alias("hashes"),
+        F.collect_list(F.when(F.col("side") == 1, of_subset)).alias("edited_hashes")).select("doc_id", "h", "about.*", "hashes", "edited_hashes")
     # Nulls are joined as -2^63.
     none = F.lit(-(1 << 63)).cast("long")
     made = written(lists.select(
         "doc_id", "h", "n_chars", "edited_sha256", F.coalesce("doc_id", none).alias("k"), F.coalesce("next_id", none).alias("next_k"), "next_h",
-        fingerprint("terms", F.col("sha256")).alias("fingerprint"),
-        fingerprint("edited_terms", F.col("edited_sha256")).alias("edited_fingerprint")), "fingerprints")
+        fingerprint(F.col("hashes"), F.col("sha256")).alias("fingerprint"),
+        fingerprint(F.col("edited_hashes"), F.col("edited_sha256")).alias("edited_fingerprint")), "fingerprints")
     after = made.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("fingerprint").alias("next_fingerprint"))
     return made.join(after, ["next_k", "next_h"], "left").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",

@@ -1,6 +1,9 @@
 """SimHash groups, chunk duplicates and I-Match against brute force."""
 
 import hashlib
+import math
+import re
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -136,6 +139,58 @@ def test_spans_of_shared_passages(spark, none, odd):
     assert {r.doc_id for r in duplicate_spans(odd, min_span=20).collect()} >= {1, 2, 7}
 
 
+def murmur3(longs, seed=42):
+    """Spark's ``hash`` of an array of longs, unsigned."""
+    def rotated(x, n):
+        return ((x << n) | (x >> (32 - n))) & 0xFFFFFFFF
+    h = seed
+    for value in longs:
+        value &= 0xFFFFFFFFFFFFFFFF
+        for part in (value & 0xFFFFFFFF, value >> 32):
+            h ^= rotated(part * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF
+            h = (rotated(h, 13) * 5 + 0xE6546B64) & 0xFFFFFFFF
+        h ^= 8
+        h = (h ^ (h >> 16)) * 0x85EBCA6B & 0xFFFFFFFF
+        h = (h ^ (h >> 13)) * 0xC2B2AE35 & 0xFFFFFFFF
+        h ^= h >> 16
+    return h
+
+
+def plain_imatch(texts):
+    """Text -> fingerprint, for the corpus ``texts`` (a list)."""
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    def terms(text):
+        words = [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text)) if w]
+        return {signed(xxhash.xxh64(w.encode(), seed=42).intdigest()) & -2 for w in words}
+
+    def subsets(term):
+        first = xxhash.xxh64((term & (2**64 - 1)).to_bytes(8, "little"), seed=42).intdigest()
+        return {j for j in range(32) if signed(xxhash.xxh64(j.to_bytes(4, "little"), seed=first).intdigest()) % (8 << j // 4) == 0}
+
+    df = Counter(t for text in texts for t in terms(text))
+    n = len(texts)
+    lexicon = {t: subsets(t) for t, k in df.items() if n * math.exp(-7.6) <= k <= n * math.exp(-1.6)}
+
+    def fingerprint(text):
+        held = [sorted(t for t in terms(text) if j in lexicon.get(t, ())) for j in range(32)]
+        if not any(held):
+            return hashlib.sha256(text.encode()).hexdigest()[:8] * 32
+        return "".join(f"{murmur3(ts):08x}" if ts else "0" * 8 for ts in held)
+
+    return fingerprint
+
+
+def test_imatch_fingerprints_match_brute_force(docs, texts):
+    fingerprint = plain_imatch(list(texts.values()))
+    ids = sorted(texts, reverse=True)
+    for r in fingerprints_and_edits(docs, partitions=7).collect():
+        text, following = texts[r.doc_id], texts[ids[(ids.index(r.doc_id) + 1) % len(ids)]]
+        edited = text[:len(text) - len(text) // 2] + following[:len(text) // 2]
+        assert r.fingerprint == fingerprint(text) and r.edited_fingerprint == fingerprint(edited), r.doc_id
+
+
 def test_imatch_edits_and_likeness(docs, texts, odd, none):
     got = {r.doc_id: r for r in fingerprints_and_edits(docs, partitions=5).collect()}
     ids = sorted(texts, reverse=True)
