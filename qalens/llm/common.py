@@ -31,6 +31,14 @@ def splits(df: DataFrame) -> int:
     return max(df._jdf.queryExecution().toRdd().getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
 
 
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, lengthened until none of ``columns`` has it (names are compared without case, as Spark does)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text (null: empty), so extra columns of any name can't clash with an operator's own."""
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))

@@ -1,20 +1,26 @@
 """Format-preserving pseudonyms for personal data in texts.
 
-One pattern finds e-mail and IPv4 addresses, phone numbers, social security numbers, dates and payment card numbers; each
-is validated (octets up to 255, calendar dates, issued number ranges, Luhn check digits) and what doesn't validate is left
-as it is. A value is replaced by a keyed permutation of the values of its own format, a Feistel network of ROUNDS rounds
-with SHA-256 as round function:
-
-* cards: the digits before the check digit are permuted and a new check digit is worked out; separators stay;
+One pattern finds e-mail and IPv4 addresses, phone numbers, social security numbers, dates and runs of digits that may hold
+payment card numbers; each is validated (octets up to 255, calendar dates, issued number ranges, Luhn check digits) and what
+doesn't validate is left as it is. A value is replaced by a keyed permutation of the values of its own format, a Feistel
+network of ROUNDS rounds with SHA-256 as round function:
+
+* cards: 13 to 19 digits between two borders of groups within a run of digits and single blanks or hyphens, so that a
+  number beside the card doesn't hide it; where two overlap, the length that comes first in CARD_LENGTHS, then the first one.
+  The digits before the check digit are permuted and a new check digit is worked out; separators stay. Runs of more than
+  RUN_DIGITS digits are looked at in parts that end at such borders;
 * dates: the days of 1800 to 2199 are permuted among themselves and written in the same format;
 * social security numbers: permuted among all that can be issued; IPv4 addresses among all addresses;
-* phone numbers after the country code, e-mail addresses before the last label: digits are permuted to digits, lower case to
-  lower case and upper case to upper case, everything else stays in place.
+* phone numbers: the country code stays, the national digits are permuted as one number and put back into the shape, so
+  all ways to write a number stay linked. A number ends with its tenth national digit after +1, with the eleventh at most after others;
+* e-mail addresses before the last label: digits are permuted to digits and letters a-z to such letters in lower case; upper
+  case comes back by place. Letters beyond ASCII and marks stay in place.
 
 As the permutation depends on nothing but key and kind, equal values get equal pseudonyms in all documents and unlike
-values unlike ones. All of it is column expressions; texts without a digit pair or an @ are not searched.
+values unlike ones. All of it is column expressions; texts without two neighbouring digits or an @ are not searched.
 
-Nulls and empty texts stay as they are. Rows are neither dropped nor joined, so repeated rows give repeated results.
+Nulls and empty texts stay as they are. Rows are neither dropped nor joined, so repeated rows give repeated results. All
+other columns pass through, whatever their names: the matches are held in a column of an unused name, which isn't returned.
 """
 
 from __future__ import annotations
@@ -22,18 +28,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from qalens.llm.common import unused
+
 ROUNDS = 8
 
+#: Digits of a card number in order of preference, and of the longest run that is looked at as one.
+CARD_LENGTHS = (16, 15, 14, 13, 19, 18, 17)
+RUN_DIGITS = 64
+
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+_LETTER = r"[\p{L}\p{N}"
+_EMAIL = rf"(?<!{_LETTER}._%+-]){_LETTER}._%+-]+@{_LETTER}-]+(?:\.{_LETTER}-]+)*\.\p{{L}}{{2,}}"
 _IP = rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)"
 _DATE = r"(?<![\d/-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4})(?![\d/-])"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-_PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d-])"
-_CARD = r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])"
+# Country codes of one and of two digits; all others have three.
+_COUNTRY = r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+_NATIONAL = r"(?:[ .-]?\(?\d\)?)"
+_PLAIN_PHONE = r"(?:\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})"
+_PHONE = rf"(?<![\d+])(?:\+1{_NATIONAL}{{10}}|(?!\+1){_COUNTRY}{_NATIONAL}{{6,11}}|{_PLAIN_PHONE})(?!\d)"
+_RUN = rf"(?<!\d)\d(?:[ -]?\d){{{min(CARD_LENGTHS) - 1},{RUN_DIGITS - 1}}}(?!\d)"
 #: In order of preference where two could begin at one place.
-PATTERN = "|".join((_EMAIL, _IP, _DATE, _SSN, _PHONE, _CARD))
-_ANY = r"\d\d|@|\d\.\d"
+PATTERN = "|".join((_EMAIL, _IP, _DATE, _SSN, _PHONE, _RUN))
+_ANY = r"\d[ .-]?\d|@"
 
 
 def _hash(key: str, kind: str, r: Column, value: Column) -> Column:
@@ -101,15 +118,37 @@ def _with_digits(shape: Column, digits: Column) -> Column:
         F.substr(shape, i, F.lit(1)).between("0", "9"), F.substr(digits, F.length(_digits(F.left(shape, i))), F.lit(1))).otherwise(F.substr(shape, i, F.lit(1)))), "")
 
 
-def _card(m: Column, key: str) -> Column:
-    digits = _digits(m)
+def _card(digits: Column, key: str) -> Column:
+    """The pseudonym of the digits of a card number."""
     payload = F.left(digits, F.length(digits) - 1)
     low = F.floor(F.length(payload) / 2).cast("int")
     high = F.length(payload) - low
     p = permute((F.left(payload, high).cast("long"), F.right(payload, low).cast("long")),
                 F.pow(F.lit(10), high).cast("long"), F.pow(F.lit(10), low).cast("long"), key, "card")
     new = F.concat(F.lpad(p["high"].cast("string"), high, F.lit("0")), F.lpad(p["low"].cast("string"), low, F.lit("0")))
-    return F.when(luhn_digit(payload) == F.right(digits, F.lit(1)), _with_digits(m, F.concat(new, luhn_digit(new)))).otherwise(m)
+    return F.concat(new, luhn_digit(new))
+
+
+def _cards(m: Column, key: str) -> Column:
+    """A run of digits with its card numbers replaced."""
+    digits = _digits(m)
+    # Borders of groups, as numbers of digits before them: at most RUN_DIGITS + 1.
+    borders = F.aggregate(F.split(m, "[ -]"), F.array(F.lit(0)), lambda acc, g: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(g))))
+
+    def of_length(size: int) -> Column:
+        starts = F.filter(borders, lambda a: F.array_contains(borders, a + size))
+        starts = F.filter(starts, lambda a: luhn_digit(F.substr(digits, a + 1, F.lit(size - 1))) == F.substr(digits, a + size, F.lit(1)))
+        return F.transform(starts, lambda a: F.struct(a.alias("start"), (a + size).alias("end")))
+
+    valid = F.concat(*[of_length(size) for size in CARD_LENGTHS])
+    chosen = F.aggregate(valid, F.filter(valid, lambda c: F.lit(False)), lambda acc, c: F.when(
+        F.exists(acc, lambda x: (x["start"] < c["end"]) & (c["start"] < x["end"])), acc).otherwise(F.concat(acc, F.array(c))))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    done = F.aggregate(F.array_sort(chosen), start, lambda acc, c: F.struct(
+        c["end"].alias("at"), F.concat(acc["out"], F.substr(digits, acc["at"] + 1, c["start"] - acc["at"]),
+                                       _card(F.substr(digits, c["start"] + 1, c["end"] - c["start"]), key)).alias("out")))
+    new = F.concat(done["out"], F.substr(digits, done["at"] + 1, F.length(digits)))
+    return F.when(F.size(valid) > 0, _with_digits(m, new)).otherwise(m)
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -140,38 +179,43 @@ def _ssn(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    code = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])", 0)
-    n = F.length(_digits(m))
-    return F.when(n.between(7, 15), F.concat(code, permute_text(F.substr(m, F.length(code) + 1), key, "phone"))).otherwise(m)
+    code = F.regexp_extract(m, rf"^{_COUNTRY}", 0)
+    shape = F.substr(m, F.length(code) + 1)
+    return F.concat(code, _with_digits(shape, permute_text(_digits(shape), key, "phone")))
 
 
 def _email(m: Column, key: str) -> Column:
-    last = F.regexp_extract(m, r"\.[A-Za-z]+$", 0)
-    return F.concat(permute_text(F.left(m, F.length(m) - F.length(last)), key, "email"), last)
+    last = F.regexp_extract(m, r"\.\p{L}+$", 0)
+    address = F.left(m, F.length(m) - F.length(last))
+    plain = F.translate(address, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    new = permute_text(plain, key, "email")
+    cased = F.array_join(F.transform(F.sequence(F.lit(1), F.length(address)), lambda i: F.when(
+        F.substr(address, i, F.lit(1)).between("A", "Z"), F.upper(F.substr(new, i, F.lit(1)))).otherwise(F.substr(new, i, F.lit(1)))), "")
+    return F.concat(cased, last)
 
 
 def pseudonym(m: Column, key: str) -> Column:
     """The pseudonym of one match of PATTERN, or the match itself if it doesn't validate."""
     return F.when(m.contains("@"), _email(m, key)).when(m.rlike(rf"^{_OCTET}(\.{_OCTET}){{3}}$"), _ip(m, key)) \
         .when(m.rlike(r"^(\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4})$"), _date(m, key)).when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), _ssn(m, key)) \
-        .when(m.rlike(r"^[+(]|^\d{3}[.-]\d{3}[.-]\d{4}$"), _phone(m, key)).otherwise(_card(m, key))
+        .when(m.rlike(rf"^\+|^{_PLAIN_PHONE}$"), _phone(m, key)).otherwise(_cards(m, key))
 
 
 def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
-    """``docs`` with personal data in ``text_col`` replaced, and on wish the number of replaced values.
+    """``docs`` with personal data in ``text_col`` replaced, and on wish the number of places (values, runs of digits) replaced.
 
     All columns stay, in order; an existing column of the name ``count_col`` is replaced.
     """
-    text = docs[text_col]
+    text = F.col(f"`{text_col}`")
     search = F.coalesce(text.rlike(_ANY), F.lit(False))
     found = F.when(search, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
-    mark = "__pii"
+    mark = unused([*docs.columns, count_col or ""], "matches")
     one = docs.withColumn(mark, found)
     pairs = F.transform(F.col(mark), lambda m: F.struct(m.alias("old"), pseudonym(m, key).alias("new")))
     two = one.withColumn(mark, F.when(F.size(mark) > 0, pairs))
-    pieces = F.split(text_column := F.col(f"`{text_col}`"), PATTERN)
+    pieces = F.split(text, PATTERN)
     whole = F.array_join(F.zip_with(pieces, F.concat(F.transform(F.col(mark), lambda p: p["new"]), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     count = F.coalesce(F.size(F.filter(F.col(mark), lambda p: p["old"] != p["new"])), F.lit(0)).cast("long")
-    kept = [F.when(F.col(mark).isNotNull(), whole).otherwise(text_column).alias(c) if c == text_col else F.col(f"`{c}`")
+    kept = [F.when(F.col(mark).isNotNull(), whole).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`")
             for c in docs.columns if c != count_col]
     return two.select(*kept, *([count.alias(count_col)] if count_col else []))
