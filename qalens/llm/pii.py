@@ -25,6 +25,8 @@ other columns pass through, whatever their names: the matches are held in a colu
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +55,11 @@ PATTERN = "|".join((_EMAIL, _IP, _DATE, _SSN, _PHONE, _RUN))
 _ANY = r"\d[ .-]?\d|@"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once: inside a lambda an expression is worked out again wherever it stands."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _hash(key: str, kind: str, r: Column, value: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), r.cast("string"), value.cast("string")).cast("binary"), 256)
 
@@ -87,8 +94,8 @@ def _turn(char: Column, by: Column) -> Column:
 def permute_text(s: Column, key: str, kind: str, rounds: int = ROUNDS) -> Column:
     """Keyed permutation of the texts of the shape of ``s`` (two characters at least): a Feistel network on its halves."""
     def added(text: Column, digest: Column) -> Column:
-        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: _turn(
-            F.substr(text, i, F.lit(1)), _number(F.substr(digest, 1 + F.pmod((i - 1) * 3, F.lit(60)), F.lit(3))))), "")
+        return _let(digest, lambda d: F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: _let(
+            _number(F.substr(d, 1 + F.pmod((i - 1) * 3, F.lit(60)), F.lit(3))), lambda by: _turn(F.substr(text, i, F.lit(1)), by))), ""))
 
     half = F.floor(F.length(s) / 2).cast("int")
     first = F.struct(F.left(s, half).alias("l"), F.right(s, F.length(s) - half).alias("r"))
@@ -113,9 +120,13 @@ def _luhn_value(digit: Column, doubled: Column) -> Column:
 
 
 def _with_digits(shape: Column, digits: Column) -> Column:
-    """``shape`` with its digits replaced by ``digits`` in order."""
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(shape)), lambda i: F.when(
-        F.substr(shape, i, F.lit(1)).between("0", "9"), F.substr(digits, F.length(_digits(F.left(shape, i))), F.lit(1))).otherwise(F.substr(shape, i, F.lit(1)))), "")
+    """``shape`` (digits, blanks and marks of numbers) with its digits replaced by ``digits`` in order."""
+    def placed(new: Column) -> Column:
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(shape)), lambda i: F.when(
+            F.substr(shape, i, F.lit(1)).between("0", "9"), F.substr(new, F.length(F.translate(F.left(shape, i), " -.()+", "")), F.lit(1)))
+            .otherwise(F.substr(shape, i, F.lit(1)))), "")
+
+    return _let(digits, placed)
 
 
 def _card(digits: Column, key: str) -> Column:
@@ -123,38 +134,43 @@ def _card(digits: Column, key: str) -> Column:
     payload = F.left(digits, F.length(digits) - 1)
     low = F.floor(F.length(payload) / 2).cast("int")
     high = F.length(payload) - low
-    p = permute((F.left(payload, high).cast("long"), F.right(payload, low).cast("long")),
-                F.pow(F.lit(10), high).cast("long"), F.pow(F.lit(10), low).cast("long"), key, "card")
-    new = F.concat(F.lpad(p["high"].cast("string"), high, F.lit("0")), F.lpad(p["low"].cast("string"), low, F.lit("0")))
-    return F.concat(new, luhn_digit(new))
+    pair = permute((F.left(payload, high).cast("long"), F.right(payload, low).cast("long")),
+                   F.pow(F.lit(10), high).cast("long"), F.pow(F.lit(10), low).cast("long"), key, "card")
+    new = _let(pair, lambda p: F.concat(F.lpad(p["high"].cast("string"), high, F.lit("0")), F.lpad(p["low"].cast("string"), low, F.lit("0"))))
+    return _let(new, lambda n: F.concat(n, luhn_digit(n)))
+
+
+def _valid_cards(digits: Column, borders: Column) -> Column:
+    """Spans of a run's digits that begin and end at borders and pass the Luhn check, in order of preference."""
+    def of_length(size: int) -> Column:
+        starts = F.filter(borders, lambda a: F.array_contains(borders, a + size))
+        starts = F.filter(starts, lambda a: luhn_digit(F.substr(digits, a + 1, F.lit(size - 1))) == F.substr(digits, a + size, F.lit(1)))
+        return F.transform(starts, lambda a: F.struct(a.alias("start"), (a + size).alias("end")))
+
+    return F.concat(*[of_length(size) for size in CARD_LENGTHS])
 
 
 def _cards(m: Column, key: str) -> Column:
     """A run of digits with its card numbers replaced."""
-    digits = _digits(m)
     # Borders of groups, as numbers of digits before them: at most RUN_DIGITS + 1.
     borders = F.aggregate(F.split(m, "[ -]"), F.array(F.lit(0)), lambda acc, g: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(g))))
 
-    def of_length(size: int) -> Column:
-        starts = F.filter(borders, lambda a: F.array_contains(borders, a + size))
-        starts = F.filter(starts, lambda a: luhn_digit(F.substr(digits, a + 1, F.lit(size - 1))) == F.substr(digits, a + size, F.lit(1)))
-        return F.transform(starts, lambda a: F.struct(a.alias("start"), (a + size).alias("end")))
+    def replaced(digits: Column, valid: Column) -> Column:
+        chosen = F.aggregate(valid, F.slice(valid, 1, 0), lambda acc, c: F.when(
+            F.exists(acc, lambda x: (x["start"] < c["end"]) & (c["start"] < x["end"])), acc).otherwise(F.concat(acc, F.array(c))))
+        done = F.aggregate(F.array_sort(chosen), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, c: F.struct(
+            c["end"].alias("at"), F.concat(acc["out"], F.substr(digits, acc["at"] + 1, c["start"] - acc["at"]),
+                                           _let(F.substr(digits, c["start"] + 1, c["end"] - c["start"]), lambda d: _card(d, key))).alias("out")))
+        return _let(done, lambda d: F.concat(d["out"], F.substr(digits, d["at"] + 1, F.length(digits))))
 
-    valid = F.concat(*[of_length(size) for size in CARD_LENGTHS])
-    chosen = F.aggregate(valid, F.filter(valid, lambda c: F.lit(False)), lambda acc, c: F.when(
-        F.exists(acc, lambda x: (x["start"] < c["end"]) & (c["start"] < x["end"])), acc).otherwise(F.concat(acc, F.array(c))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(F.array_sort(chosen), start, lambda acc, c: F.struct(
-        c["end"].alias("at"), F.concat(acc["out"], F.substr(digits, acc["at"] + 1, c["start"] - acc["at"]),
-                                       _card(F.substr(digits, c["start"] + 1, c["end"] - c["start"]), key)).alias("out")))
-    new = F.concat(done["out"], F.substr(digits, done["at"] + 1, F.length(digits)))
-    return F.when(F.size(valid) > 0, _with_digits(m, new)).otherwise(m)
+    return _let(_digits(m), lambda digits: _let(borders, lambda b: _let(_valid_cards(digits, b), lambda valid: F.when(
+        F.size(valid) == 0, m).otherwise(_with_digits(m, replaced(digits, valid))))))
 
 
 def _ip(m: Column, key: str) -> Column:
     o = [F.split_part(m, F.lit("."), F.lit(i)).cast("long") for i in (1, 2, 3, 4)]
-    p = permute((o[0] * 256 + o[1], o[2] * 256 + o[3]), 65536, 65536, key, "ip")
-    return F.concat_ws(".", *[F.pmod(F.floor(p[side] / F.lit(by)).cast("long"), F.lit(256)).cast("string") for side in ("high", "low") for by in (256, 1)])
+    return _let(permute((o[0] * 256 + o[1], o[2] * 256 + o[3]), 65536, 65536, key, "ip"), lambda p: F.concat_ws(
+        ".", *[F.pmod(F.floor(p[side] / F.lit(by)).cast("long"), F.lit(256)).cast("string") for side in ("high", "low") for by in (256, 1)]))
 
 
 def _date(m: Column, key: str) -> Column:
@@ -188,9 +204,8 @@ def _email(m: Column, key: str) -> Column:
     last = F.regexp_extract(m, r"\.\p{L}+$", 0)
     address = F.left(m, F.length(m) - F.length(last))
     plain = F.translate(address, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    new = permute_text(plain, key, "email")
-    cased = F.array_join(F.transform(F.sequence(F.lit(1), F.length(address)), lambda i: F.when(
-        F.substr(address, i, F.lit(1)).between("A", "Z"), F.upper(F.substr(new, i, F.lit(1)))).otherwise(F.substr(new, i, F.lit(1)))), "")
+    cased = _let(permute_text(plain, key, "email"), lambda new: F.array_join(F.transform(F.sequence(F.lit(1), F.length(address)), lambda i: F.when(
+        F.substr(address, i, F.lit(1)).between("A", "Z"), F.upper(F.substr(new, i, F.lit(1)))).otherwise(F.substr(new, i, F.lit(1)))), ""))
     return F.concat(cased, last)
 
 
