@@ -19,6 +19,7 @@ n-gram is known the language with the most documents is named, with score 0. Wit
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,15 +33,16 @@ SLOTS, HASHES = 1 << 20, 2
 _CHUNK = 1 << 20
 
 
+@lru_cache(maxsize=1)
+def _words():
+    import regex
+
+    return regex.compile(r"\p{L}[\p{L}\p{M}]*").findall  # marks (vowel signs, accents) belong to the letter before
+
+
 def _clean(text: str) -> bytes:
-    import re
-
-    global _OTHER
-    try:
-        other = _OTHER
-    except NameError:
-        other = _OTHER = re.compile(r"[\W\d_]+")
-    return (" " + other.sub(" ", text.lower()) + " ").encode()
+    """The words of a text in lower case, a blank around each; without letters (category L) just two blanks."""
+    return (" " + " ".join(_words()(text.lower())) + " ").encode()
 
 
 def _grams(raw):

@@ -89,3 +89,11 @@ def test_false_positives_are_corrected(share):
     other = np.arange(1, 3001, dtype=np.uint32) * 104729
     hits = sum(int(((m >> np.uint64(1)) & np.uint64(1)).sum()) for m in model.masks(other))
     assert abs(hits / 3000 - model.false[1]) < 0.05
+
+
+def test_only_letters_make_words(spark):
+    assert _clean("² ½ ¾ 10 ① _") == b"  " and _clean("हिन्दी है, Été1x") == " हिन्दी है été x ".encode()
+    docs = spark.createDataFrame([(i, "the cat sat on the mat", "en") for i in range(8)] + [(20, "²½ ¾ 10 ①", "en"), (21, "", None), (22, None, "en")],
+                                 "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in predict_languages(docs, learn_filter(docs, learn=docs["doc_id"] < 8)).collect()}
+    assert got[0] == "en" and got[20] == got[21] == got[22] == "und"
