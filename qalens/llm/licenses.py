@@ -11,8 +11,9 @@ which a template has fewer bigrams than the lower bound has no window for it.
 
 Paragraphs of a licence are templates of their own; those that its versions share have the family's name (BSD, GPL).
 
-Templates are a bounded parameter (they become literals of the plan); each row is worked out alone, without join
-or shuffle, so neither common words nor hot sources gather rows anywhere. Only DataFrame expressions are used.
+Templates are a bounded parameter (they become literals of the plan). Texts that hold too few bigrams of every template go after one
+pass over their words; what is shuffled after that are windows and places of units, by the row of their text, so neither common
+words nor hot sources gather rows anywhere. Only DataFrame expressions are used.
 
 Nulls: a null text has no passage; a null id is kept. Rows are scanned one by one, so repeated rows repeat their matches. Of
 equally similar templates the first by name is reported.
@@ -23,10 +24,10 @@ from __future__ import annotations
 import re
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qalens.llm.common import id_text
+from qalens.llm.common import id_text, written
 
 THRESHOLD = 0.8
 #: What separates paragraphs.
@@ -142,6 +143,11 @@ def _hashes(words: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1)))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, worked out once however often the body uses it (as lambdas work out what they hold again)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def passages(text: Column) -> Column:
     """Array of (unit, number, passage)."""
     def numbered(unit: str, parts: Column) -> Column:
@@ -153,121 +159,169 @@ def passages(text: Column) -> Column:
     return F.concat(numbered("line", lines), numbered("paragraph", several), numbered("text", whole))
 
 
+class _Templates:
+    """Templates by number: their names, hashed bigrams and size bounds at threshold ``t``, and the same as literals of a plan."""
+
+    def __init__(self, spark: SparkSession, templates: tuple[tuple[str, str], ...], t: float):
+        known = [(name, text, pairs) for name, text in sorted(templates) if (pairs := template_bigrams(text))]
+        self.t, self.names = t, [name for name, _, _ in known]
+        rows = [(i, a, b) for i, (_, _, pairs) in enumerate(known) for a, b in pairs]
+        hashed = spark.createDataFrame(rows, "i int, a string, b string").groupBy("i").agg(F.collect_set(F.xxhash64("a", "b")).alias("h")).collect()
+        self.bigrams = {r.i: r.h for r in hashed}  # the templates' own, as Spark hashes them
+        self.need = {i: max(1, ceil(len(b) * t / (2 - t) - 1e-9)) for i, b in self.bigrams.items()}
+        self.least = min(self.need.values(), default=1)
+        words = [_words(text) for _, text, _ in known]
+        self.table = F.array(*[
+            F.struct(F.lit(i).alias("i"), F.lit(self.names[i]).alias("license"), F.lit(self.need[i]).alias("need"),
+                     F.lit(int((len(words[i]) - 1) * (2 - t) / t + 1e-9)).alias("most"), F.xxhash64(*map(F.lit, words[i][:2])).alias("opening"),
+                     _longs(self.bigrams[i]).alias("b")) for i in range(len(known))])
+
+
 def license_matches(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Passages of ``docs`` (doc_id, text) that reach ``threshold``: doc_id, unit, number (from 0), passage, license, dice.
 
     The number of a window is that of its first word in the text.
     """
-    spark = docs.sparkSession
-    known = [(name, pairs) for name, text in sorted(templates) if (pairs := template_bigrams(text))]
-    rows = id_text(docs).select("doc_id", F.explode_outer(passages(F.col("text"))).alias("p")).select("doc_id", "p.*")
-    if not known:
-        return rows.where("false").select("doc_id", "unit", "number", "passage", F.lit("").alias("license"), F.lit(0.0).alias("dice"))
-    hashed = spark.createDataFrame([(i, a, b) for i, (_, pairs) in enumerate(known) for a, b in pairs], "i int, a string, b string") \
-        .groupBy("i").agg(F.collect_set(F.xxhash64("a", "b")).alias("h")).collect()  # the templates' own bigrams, as Spark hashes them
-    bigrams = {r.i: r.h for r in hashed}
-    least = min(map(len, bigrams.values())) * threshold / (2 - threshold) - 1e-9
-
-    split = rows.withColumn("w", _split_words(F.col("passage")))
-    sets = split.withColumn("a", F.when(F.size("w") - 1 >= least, F.array_distinct(_hashes(F.col("w"))))).withColumn("n", F.size("a")).drop("w")
+    known = _Templates(docs.sparkSession, templates, threshold)
+    if not known.names:
+        return id_text(docs).where("false").select("doc_id", F.lit("").alias("unit"), F.lit(0).alias("number"), F.col("text").alias("passage"),
+                                                   F.lit("").alias("license"), F.lit(0.0).alias("dice"))
+    texts = written(_candidates(id_text(docs), known), "licence-texts")
+    whole = written(_of_passages(texts, known), "licence-passages")
+    windows = written(_apart(_windows(texts, known)), "licence-windows")
+    return whole.drop("row").unionByName(_shown(texts, _uncovered(texts, whole, windows)))
+
+
+def _candidates(docs: DataFrame, known: _Templates) -> DataFrame:
+    """(row, doc_id, text, fit): texts that hold enough bigrams of some template, and the numbers of those templates.
+
+    A passage's bigrams are bigrams of its text, so no other text has a match; the words of a text are hashed once here,
+    and again only for these.
+    """
+    hashed = docs.select("*", F.explode(F.array(_split_words(F.col("text")))).alias("w"))
+    hashed = hashed.withColumn("held", F.when(F.size("w") > known.least, F.array_distinct(_likely(_hashes(F.col("w")), known.bigrams))))
+    # Generators between steps: each step sees only the rows that the one before left, and no filter on a step is pushed below it.
+    some = hashed.select("doc_id", "text", F.explode(F.when(F.size("held") >= known.least, F.array("held"))).alias("held"))
+    fit = F.transform(F.filter(known.table, lambda x: F.size(F.array_intersect(F.col("held"), x["b"])) >= x["need"]), lambda x: x["i"])
+    fit = some.withColumn("fit", fit).select("doc_id", "text", F.explode(F.when(F.size("fit") > 0, F.array("fit"))).alias("fit"))
+    return fit.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "fit")
+
+
+def _of_passages(texts: DataFrame, known: _Templates) -> DataFrame:
+    """(row, doc_id, unit, number, passage, license, dice): lines, paragraphs and texts that reach the threshold."""
+    t, bigrams = known.t, known.bigrams
+    split = texts.select("row", "doc_id", F.explode(passages(F.col("text"))).alias("p")).select("row", "doc_id", "p.*")
+    split = split.select("*", F.explode(F.array(_split_words(F.col("passage")))).alias("w"))
+    sets = split.withColumn("a", F.when(F.size("w") > known.least, F.array_distinct(_hashes(F.col("w"))))).withColumn("n", F.size("a")).drop("w")
     sets = sets.withColumn("held", _likely("a", bigrams))
-    some = F.size("held") >= least
 
     def against(i: int) -> Column:
         size = len(bigrams[i])
         shared = F.size(F.array_intersect("held", _longs(bigrams[i])))
         dice = 2.0 * shared / (F.col("n") + size)
-        fits = F.col("n").between(size * threshold / (2 - threshold) - 1e-9, size * (2 - threshold) / threshold + 1e-9)  # else no overlap is enough
+        fits = F.col("n").between(size * t / (2 - t) - 1e-9, size * (2 - t) / t + 1e-9)  # else no overlap is enough
         return F.when(fits, F.struct(dice.alias("dice"), F.lit(-i).alias("rank")))
 
-    best = F.when(some, F.array_max(F.array(*[against(i) for i in sorted(bigrams)])))
-    names = F.array(*[F.lit(name) for name, _ in known])
-    # A generator between the work and the filter: a filter on the work itself would be pushed below it and repeat it.
-    found = sets.withColumn("best", best).select("doc_id", "unit", "number", "passage", F.explode_outer(F.array("best")).alias("best"))
-    whole = found.where(F.col("best.dice") >= threshold).select(
-        "doc_id", "unit", "number", "passage", F.get(names, -F.col("best.rank")).alias("license"), F.col("best.dice").alias("dice"))
-    texts = dict(enumerate(text for _, text in sorted(templates) if template_bigrams(text)))
-    return whole.unionByName(_windows(id_text(docs), known, texts, bigrams, threshold))
-
-
-def _windows(docs: DataFrame, known: list, texts: dict[int, str], bigrams: dict[int, list[int]], t: float) -> DataFrame:
-    """Windows of words that reach ``t`` and lie in no line, paragraph or text that is reported for the same licence."""
-    need = {i: max(1, ceil(len(b) * t / (2 - t) - 1e-9)) for i, b in bigrams.items()}
-    most = {i: int((len(_words(texts[i])) - 1) * (2 - t) / t + 1e-9) for i in bigrams}
-    table = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(known[i][0]).alias("license"), F.lit(need[i]).alias("need"), F.lit(most[i]).alias("most"),
-                               _longs(bigrams[i]).alias("b")) for i in sorted(bigrams)])
-    hashed = docs.withColumn("w", _split_words(F.col("text")))
-    hashed = hashed.withColumn("h", F.when(F.size("w") > min(need.values()), _hashes(F.col("w"))))
-    hashed = hashed.withColumn("held", F.array_distinct(_likely("h", bigrams)))
-    # Generators between steps, as above: each step sees only the rows that the one before left.
-    some = hashed.select("doc_id", "text", "w", "h", F.explode(F.when(F.size("held") >= min(need.values()), F.array("held"))).alias("held"))
-    fit = some.withColumn("fit", F.filter(table, lambda x: F.size(F.array_intersect(F.col("held"), x["b"])) >= x["need"]))
-    fit = fit.select("doc_id", "text", "w", "h", "held", F.explode(F.when(F.size("fit") > 0, F.array("fit"))).alias("fit"))
+    best = F.when(F.size("held") >= known.least, F.array_max(F.array(*[against(i) for i in sorted(bigrams)])))
+    found = sets.withColumn("best", best).select("row", "doc_id", "unit", "number", "passage", F.explode_outer(F.array("best")).alias("best"))
+    return found.where(F.col("best.dice") >= t).select(
+        "row", "doc_id", "unit", "number", "passage", F.get(F.array(*map(F.lit, known.names)), -F.col("best.rank")).alias("license"),
+        F.col("best.dice").alias("dice"))
+
+
+def _windows(texts: DataFrame, known: _Templates) -> DataFrame:
+    """(row, common, dice, i, first, last, license): from each place where a window may begin, the one of the greatest Dice, if
+    that reaches the threshold; common and dice are negative, so that the best sort first."""
+    t = known.t
+    hashed = texts.select("row", "fit", F.explode(F.array(_split_words(F.col("text")))).alias("w")) \
+        .select("row", "fit", F.explode(F.array(_hashes(F.col("w")))).alias("h"))
+    # What lambdas refer to comes out of generators: a projection would be merged into them and worked out for every element.
+    hashed = hashed.select("row", "fit", F.explode(F.array(F.struct("h", F.array_distinct(_likely("h", known.bigrams)).alias("held")))).alias("s")) \
+        .select("row", "fit", "s.*")
     at = F.filter(F.transform("h", lambda h, k: F.when(F.array_contains("held", h), k)), lambda k: k.isNotNull())
-    fit = fit.withColumn("at", at)
-
-    def ends(start: Column, x: Column) -> Column:
-        """The window from ``start`` of the greatest Dice with template ``x``."""
-        part = F.slice(F.col("h"), start + 1, x["most"])
-        size = F.size(x["b"])
-
-        def longer(s: Column, k: Column) -> Column:
-            h = F.get(part, k)
-            new = F.array_position(part, h) == k + 1
-            n = s["n"] + new.cast("int")
-            shared = s["shared"] + (new & F.array_contains(x["b"], h)).cast("int")
-            dice = 2.0 * shared / (n + size)
-            better = (dice > s["dice"]) | ((dice == s["dice"]) & F.array_contains(x["b"], h))
-            return F.struct(n.alias("n"), shared.alias("shared"), F.when(better, dice).otherwise(s["dice"]).alias("dice"),
-                            F.when(better, shared).otherwise(s["common"]).alias("common"), F.when(better, k).otherwise(s["last"]).alias("last"))
-
-        none = F.struct(F.lit(0).alias("n"), F.lit(0).alias("shared"), F.lit(0.0).alias("dice"), F.lit(0).alias("common"), F.lit(0).alias("last"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(part) - 1), none, longer, lambda s: F.struct(
-            (-s["common"]).alias("common"), (-s["dice"]).alias("dice"), x["i"].alias("i"), start.alias("first"), (start + s["last"] + 1).alias("last"),
-            x["license"].alias("license")))
-
-    def windows(x: Column) -> Column:
-        own = F.filter(F.col("at"), lambda k: F.array_contains(x["b"], F.get(F.col("h"), k)))
-        # A window gains by every bigram of the template before it, so it begins with a run of them (or where the template does).
-        heads = F.filter(F.transform(own, lambda k, j: F.struct(k.alias("k"), F.get(own, j - 1).alias("before"), F.get(own, j + x["need"] - 1).alias("enough"))),
-                         lambda s: (s["before"].isNull() | (s["before"] != s["k"] - 1) | (F.get(F.col("h"), s["k"]) == F.get(opening, x["i"]))) &
-                         (s["enough"] < s["k"] + x["most"]))
-        return F.filter(F.transform(heads, lambda s: ends(s["k"], x)), lambda s: s["dice"] <= -t)
 
-    first_words = [_words(texts[i])[:2] for i in sorted(bigrams)]
-    opening = F.array(*[F.xxhash64(F.lit(a), F.lit(b)) for a, b in first_words])
+    def heads(x: Column) -> Column:
+        # A window gains by every bigram of the template before it, so it begins with a run of them (or where the template does).
+        def among(own: Column) -> Column:
+            near = F.transform(own, lambda k, j: F.struct(k.alias("k"), F.get(own, j - 1).alias("before"), F.get(own, j + x["need"] - 1).alias("enough")))
+            starts = F.filter(near, lambda s: (s["before"].isNull() | (s["before"] != s["k"] - 1) | (F.get(F.col("h"), s["k"]) == x["opening"])) &
+                              (s["enough"] < s["k"] + x["most"]))
+            return F.transform(starts, lambda s: F.struct(x["i"].alias("i"), s["k"].alias("first"), F.slice(F.col("h"), s["k"] + 1, x["most"]).alias("part")))
+
+        return _let(F.filter(F.col("at"), lambda k: F.array_contains(x["b"], F.get(F.col("h"), k))), among)
+
+    begun = hashed.select("row", "fit", "h", F.explode(F.array(at)).alias("at")).withColumn("heads", F.flatten(F.transform("fit", lambda i: _let(F.get(known.table, i), heads))))
+    begun = begun.select("row", F.explode("heads").alias("head")).select("row", "head.*")
+    begun = begun.select("row", "i", "first", "part", F.explode(F.array(F.get(known.table, F.col("i"))["b"])).alias("b"))
+
+    def longer(s: Column, k: Column) -> Column:
+        h = F.get("part", k)
+        new = F.array_position("part", h) == k + 1
+        n = s["n"] + new.cast("int")
+        shared = s["shared"] + (new & F.array_contains("b", h)).cast("int")
+        dice = 2.0 * shared / (n + F.size("b"))
+        better = (dice > s["dice"]) | ((dice == s["dice"]) & F.array_contains("b", h))
+        return F.struct(n.alias("n"), shared.alias("shared"), F.when(better, dice).otherwise(s["dice"]).alias("dice"),
+                        F.when(better, shared).otherwise(s["common"]).alias("common"), F.when(better, k).otherwise(s["last"]).alias("last"))
+
+    none = F.struct(F.lit(0).alias("n"), F.lit(0).alias("shared"), F.lit(0.0).alias("dice"), F.lit(0).alias("common"), F.lit(0).alias("last"))
+    best = F.aggregate(F.sequence(F.lit(0), F.size("part") - 1), none, longer)
+    found = begun.withColumn("best", best).select("row", "i", "first", F.explode(F.when(F.col("best.dice") >= t, F.array("best"))).alias("best"))
+    return found.select("row", (-F.col("best.common")).alias("common"), (-F.col("best.dice")).alias("dice"), "i", "first",
+                        (F.col("first") + F.col("best.last") + 1).alias("last"), F.get(F.array(*map(F.lit, known.names)), F.col("i")).alias("license"))
+
+
+def _apart(windows: DataFrame) -> DataFrame:
+    """Of windows that overlap, those that sort first: decided within groups of windows that no gap parts."""
+    inside = Window.partitionBy("row").orderBy("first", "last")
+    reach = F.max("last").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    parted = windows.withColumn("gap", F.coalesce((F.col("first") > reach).cast("int"), F.lit(1)))
+    parted = parted.withColumn("part", F.sum("gap").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    each = F.struct("common", "dice", "i", "first", "last", "license")
+    found = parted.groupBy("row", "part").agg(F.array_sort(F.collect_list(each)).alias("found"))
     kind = "array<struct<common:int,dice:double,i:int,first:int,last:int,license:string>>"
-    apart = F.aggregate(F.array_sort("found"), F.array().cast(kind), lambda kept, s: F.when(
+    apart = F.aggregate("found", F.array().cast(kind), lambda kept, s: F.when(
         F.exists(kept, lambda o: (s["first"] <= o["last"]) & (o["first"] <= s["last"])), kept).otherwise(F.concat(kept, F.array(s))))
-    found = fit.withColumn("found", F.flatten(F.transform("fit", windows)).cast(kind))
-    found = found.select("doc_id", "text", "w", "h", F.explode(F.when(F.size("found") > 0, F.array("found"))).alias("found")).withColumn("found", apart)
-
-    # Places (first word, words) of the other passages, and the licence of those that windows lie in.
-    def places(parts: Column, several: bool) -> Column:
-        counted = F.transform(parts, lambda p: F.struct(F.size(_split_words(p)).alias("n"), (p.contains("\n") | F.lit(not several)).alias("is_unit")))
-        empty = F.struct(F.lit(0).alias("sum"), F.array().cast("array<struct<first:int,n:int>>").alias("out"))
-        return F.aggregate(counted, empty, lambda s, p: F.struct((s["sum"] + p["n"]).alias("sum"), F.when(
-            p["is_unit"] & (p["n"] > 1), F.concat(s["out"], F.array(F.struct(s["sum"].alias("first"), p["n"].alias("n"))))).otherwise(s["out"]).alias("out")),
-            lambda s: s["out"])
-
-    text = F.array(F.struct(F.lit(0).alias("first"), F.size("w").alias("n")))
-    found = found.withColumn("units", F.concat(places(F.split("text", r"\n"), False), places(F.split("text", PARAGRAPHS), True),
-                                               F.when(F.size(F.split("text", PARAGRAPHS)) > 1, text).otherwise(F.array().cast("array<struct<first:int,n:int>>"))))
-    around = F.filter("units", lambda u: F.exists("found", lambda s: (u["first"] <= s["first"]) & (s["last"] < u["first"] + u["n"])))
-
-    def named(u: Column) -> Column:
-        a = F.array_distinct(F.slice(F.col("h"), u["first"] + 1, u["n"] - 1))
-        best = F.array_max(F.transform(table, lambda x: F.struct(
-            (2.0 * F.size(F.array_intersect(a, x["b"])) / (F.size(a) + F.size(x["b"]))).alias("dice"), (-x["i"]).alias("rank"), x["license"].alias("license"))))
-        return F.struct(u["first"].alias("first"), (u["first"] + u["n"]).alias("end"), F.when(best["dice"] >= t, best["license"]).alias("license"))
-
-    found = found.withColumn("around", F.transform(around, named))
-    left = found.withColumn("found", F.filter("found", lambda s: ~F.exists("around", lambda u: F.coalesce(
-        (u["license"] == s["license"]) & (u["first"] <= s["first"]) & (s["last"] < u["end"]), F.lit(False)))))
+    return found.withColumn("found", F.col("found").cast(kind)).select("row", F.explode(apart).alias("s")) \
+        .select("row", "s.first", "s.last", "s.license", (-F.col("s.dice")).alias("dice"))
+
+
+def _uncovered(texts: DataFrame, whole: DataFrame, windows: DataFrame) -> DataFrame:
+    """The windows that lie in no passage reported for the same licence.
+
+    Units of one kind follow each other, so the unit that a window begins in is the last one before it: both are sorted
+    together, by text and kind.
+    """
+    def counted(unit: str, parts: Column, told: bool) -> Column:
+        return F.transform(parts, lambda p, i: F.struct(F.lit(unit).alias("unit"), i.alias("place"), F.size(_split_words(p)).alias("n"),
+                                                        (F.lit(told) | p.contains("\n")).alias("told")))
+
+    units = F.concat(counted("line", F.split("text", r"\n"), True), counted("paragraph", F.split("text", PARAGRAPHS), False),
+                     counted("text", F.array("text"), True))
+    those = texts.join(windows.select("row").distinct(), "row", "left_semi").select("row", F.explode(units).alias("u")).select("row", "u.*")
+    so_far = Window.partitionBy("row", "unit").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum("n").over(so_far).cast("int")
+    number = F.when(F.col("told"), F.sum(F.col("told").cast("int")).over(so_far).cast("int") - 1)
+    places = those.select("row", "unit", "place", (end - F.col("n")).alias("first"), F.struct(number.alias("number"), end.alias("end")).alias("in"),
+                          F.lit(None).cast("int").alias("last"), F.lit(None).cast("string").alias("license"))
+    kinds = F.explode(F.array(*map(F.lit, ("line", "paragraph", "text"))))
+    begun = windows.select("row", kinds.alias("unit"), "first", "last", "license")
+    both = places.unionByName(begun, allowMissingColumns=True)
+    order = Window.partitionBy("row", "unit").orderBy("first", F.col("last").isNotNull(), "place").rowsBetween(Window.unboundedPreceding, 0)
+    held = both.withColumn("in", F.last("in", ignorenulls=True).over(order)).where(F.col("last") < F.col("in.end")) \
+        .select("row", "unit", F.col("in.number").alias("number"), "license", "first")
+    covered = held.join(whole, ["row", "unit", "number", "license"], "left_semi").select("row", "first").distinct()
+    return windows.join(covered, ["row", "first"], "left_anti")
+
+
+def _shown(texts: DataFrame, windows: DataFrame) -> DataFrame:
+    """The windows with their passages, from the first letter of the first word to the last of the last."""
+    lists = windows.groupBy("row").agg(F.collect_list(F.struct("first", "last", "license", "dice")).alias("found"))
     raw = F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9]+[^A-Za-z0-9]*"), F.lit(0))
-    left = left.withColumn("raw", F.when(F.size("found") > 0, raw))
-    left = left.withColumn("raw", F.when(F.size("raw") == F.size("w"), F.col("raw")).otherwise(F.transform("w", lambda x: F.concat(x, F.lit(" ")))))
-    one = left.select("doc_id", "raw", F.explode("found").alias("s"))
-    passage = F.regexp_replace(F.array_join(F.slice("raw", F.col("s.first") + 1, F.col("s.last") - F.col("s.first") + 1), ""), r"[^A-Za-z0-9]+$", "")
-    return one.select("doc_id", F.lit("window").alias("unit"), F.col("s.first").alias("number"), passage.alias("passage"), F.col("s.license").alias("license"),
-                      (-F.col("s.dice")).alias("dice"))
+    words = texts.join(lists, "row").select("doc_id", "found", F.explode(F.array(F.struct(_split_words(F.col("text")).alias("w"), raw.alias("raw")))).alias("s"))
+    raw = F.when(F.size("s.raw") == F.size("s.w"), F.col("s.raw")).otherwise(F.transform("s.w", lambda x: F.concat(x, F.lit(" "))))
+    words = words.select("doc_id", "found", F.explode(F.array(raw)).alias("raw"))
+    parts = F.transform("found", lambda s: F.struct(s.alias("s"), F.array_join(F.slice("raw", s["first"] + 1, s["last"] - s["first"] + 1), "").alias("passage")))
+    return words.select("doc_id", F.explode(parts).alias("p")).select(
+        "doc_id", F.lit("window").alias("unit"), F.col("p.s.first").alias("number"), F.regexp_replace("p.passage", r"[^A-Za-z0-9]+$", "").alias("passage"),
+        F.col("p.s.license").alias("license"), F.col("p.s.dice").alias("dice"))

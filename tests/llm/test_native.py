@@ -81,6 +81,16 @@ def test_notices_within_longer_passages_and_across_paragraphs(spark):
     assert 11 not in got and {(u, k, n) for u, k, n, _ in got[12]} == {("line", "MIT", 0), ("window", "MIT", 6)}
 
 
+def test_many_notices_and_many_lines_in_one_text(spark):
+    notice, line = "Released under the MIT License. See LICENSE for details.", "some words of a line that says little about anything at all"
+    rows = [(1, "\n".join([notice] * 1500)), (2, "\n".join([line] * 8000 + [notice] + [line] * 8000)), (3, "\n".join([line] * 16000))]
+    got = {}
+    for r in license_matches(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append((r.unit, r.number, r.passage, r.license))
+    assert sorted(got[1]) == [("window", 9 * k, "Released under the MIT License", "MIT") for k in range(1500)]
+    assert got[2] == [("window", 8000 * 11, "Released under the MIT License", "MIT")] and 3 not in got
+
+
 def test_windows_match_brute_force(spark):
     import random
     rng = random.Random(5)
