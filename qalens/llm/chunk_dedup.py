@@ -4,7 +4,13 @@ A gear rolling hash runs over the UTF-8 bytes of each text: h = (2 h + GEAR[byte
 bytes only. A chunk ends where the top MASK_BITS bits of h are zero, at least MIN_BYTES after its start (and at
 MAX_BYTES at the latest). Borders follow the content, so an insertion shifts no chunk but those around it, and a passage
 that occurs in two texts is cut alike in both but for its ends. A chunk whose 128-bit digest occurs in more than one
-document is a duplicate; neighbouring duplicates make a span, and spans of ``min_span`` bytes or more are reported.
+document is a duplicate; neighbouring duplicates make a span.
+
+A passage loses part of a chunk at either end, so a span is measured by what it may stand for: its own words and those of the
+chunks around it (four before, as texts may be cut alike only some chunks into the passage, and one after). It is reported if these reach
+``min_words``, or if its own chunks reach ``min_bytes`` (scripts without blanks have few words). No span of a shared passage of
+``min_words`` is dropped for short words or for where the cuts fall, and every byte reported is repeated. A passage that holds
+no whole chunk (it may be cut at MAX_BYTES only) isn't found.
 
 Digests are counted with partial aggregation, and only digests and places are shuffled, never texts; a digest of a
 third of all chunks is one row of the counts, and its chunks meet it in a join that Spark may split.
@@ -18,15 +24,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qalens.llm.common import id_text, written
 
 MASK_BITS, MIN_BYTES, MAX_BYTES = 5, 16, 128
-#: Bytes of a reported span: about 20 words, as a passage loses part of a chunk at either end.
-MIN_SPAN = 120
+#: Words that a reported span and the chunks around it hold at least, or bytes of the span itself.
+MIN_WORDS, MIN_SPAN = 51, 400
 _PIECE = 1 << 20
+_BLANKS = (9, 10, 11, 12, 13, 32)
 
 
 def gear_table(seed: int = 1):
@@ -64,8 +71,23 @@ def cut_points(raw: bytes, gear, mask_bits: int = MASK_BITS, least: int = MIN_BY
     return ends
 
 
+def measures(raw: bytes, ends: list[int]):
+    """One integer a chunk, of four bytes (lowest first): its size, the words that begin in it, in the four chunks before (255 at
+    most), in the one after."""
+    import numpy as np
+
+    blank = np.isin(np.frombuffer(raw, np.uint8), _BLANKS)
+    begun = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum(~blank & np.concatenate([[True], blank[:-1]]), out=begun[1:])
+    at = np.array([0] * 5 + ends + ends[-1:])
+    words = begun[at]
+    own, before, after = words[5:-1] - words[4:-2], np.minimum(words[4:-2] - words[:-6], 255), words[6:] - words[5:-1]
+    return (at[5:-1] - at[4:-2]) | own << 8 | before << 16 | after << 24
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, start, size, d1, d2): chunks of every whole text; ``row`` tells repeated rows apart, d1 and d2 are the digest."""
+    """(row, doc_id, start, held, d1, d2): chunks of every whole text; ``row`` tells repeated rows apart, ``held`` is that of
+    ``measures``, d1 and d2 are the digest."""
     def cut(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
@@ -75,28 +97,29 @@ def chunks(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
                 part = batch.slice(lo, 128)
-                rows, names, starts, sizes, digests = [], [], [], [], []
+                rows, names, starts, held, digests = [], [], [], [np.empty(0, np.int64)], []
                 for row, doc_id, text in zip(*(c.to_pylist() for c in part.columns)):
                     raw, start = text.encode(), 0
                     ends = cut_points(raw, gear)
+                    if ends:
+                        held.append(measures(raw, ends))
                     rows += [row] * len(ends)
                     names += [doc_id] * len(ends)
                     for end in ends:
                         digests.append(xxhash.xxh3_128_digest(raw[start:end]))
                         starts.append(start)
-                        sizes.append(end - start)
                         start = end
                 d = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.int64()), pa.array(names, pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int32()),
+                    [pa.array(rows, pa.int64()), pa.array(names, pa.int64()), pa.array(starts, pa.int64()), pa.array(np.concatenate(held).astype(np.int32)),
                      pa.array(d[:, 0].astype(np.int64)), pa.array(d[:, 1].astype(np.int64))],
-                    names=["row", "doc_id", "start", "size", "d1", "d2"])
+                    names=["row", "doc_id", "start", "held", "d1", "d2"])
 
     return id_text(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text") \
-        .mapInArrow(cut, "row long, doc_id long, start long, size int, d1 long, d2 long")
+        .mapInArrow(cut, "row long, doc_id long, start long, held int, d1 long, d2 long")
 
 
-def duplicate_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
+def duplicate_spans(docs: DataFrame, min_words: int = MIN_WORDS, min_bytes: int = MIN_SPAN) -> DataFrame:
     """Spans of repeated chunks in ``docs`` (doc_id, text): doc_id, start, length (bytes), n_chunks, first_doc, original.
 
     ``original`` is true where every chunk of the span is its first occurrence: a deduplication keeps those spans.
@@ -106,11 +129,19 @@ def duplicate_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     repeated = each.groupBy("d1", "d2").agg(F.min("row").alias("one"), F.max("row").alias("other"), F.min(place).alias("first")) \
         .where("one < other").select("d1", "d2", "first")
     held = each.join(repeated, ["d1", "d2"]).select(
-        "row", "doc_id", "start", "size", F.col("first.doc_id").alias("first_doc"), place.eqNullSafe(F.col("first")).alias("is_first"))
+        "row", "doc_id", "start", "held", F.col("first.doc_id").alias("first_doc"), place.eqNullSafe(F.col("first")).alias("is_first"))
+
+    def measure(place: int) -> Column:
+        return F.shiftrightunsigned("held", 8 * place).bitwiseAND(F.lit(255))
+
+    size = measure(0)
     inside = Window.partitionBy("row").orderBy("start")
-    gap = F.coalesce((F.lag(F.col("start") + F.col("size")).over(inside) != F.col("start")).cast("int"), F.lit(1))
+    gap = F.coalesce((F.lag(F.col("start") + size).over(inside) != F.col("start")).cast("int"), F.lit(1))
     runs = held.withColumn("gap", gap).withColumn("run", F.sum("gap").over(inside))
     spans = runs.groupBy("row", "doc_id", "run").agg(
-        F.min("start").alias("start"), F.sum("size").alias("length"), F.count("*").alias("n_chunks"),
-        F.min_by("first_doc", "start").alias("first_doc"), F.min("is_first").alias("original"))
-    return spans.where(F.col("length") >= min_span).select("doc_id", "start", "length", "n_chunks", "first_doc", "original")
+        F.min("start").alias("start"), F.sum(size).alias("length"), F.count("*").alias("n_chunks"),
+        F.min_by("first_doc", "start").alias("first_doc"), F.min("is_first").alias("original"),
+        (F.sum(measure(1)) + F.min_by(measure(2), "start") + F.max_by(measure(3), "start")).alias("n_words"))
+    whole = F.col("length") >= MIN_BYTES  # the last chunk of a text may be a few letters, which are no repeat by themselves
+    return spans.where(whole & ((F.col("n_words") >= min_words) | (F.col("length") >= min_bytes))) \
+        .select("doc_id", "start", "length", "n_chunks", "first_doc", "original")

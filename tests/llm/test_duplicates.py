@@ -9,7 +9,7 @@ import numpy as np
 import xxhash
 
 from llm_data import ROWS, docs, none, odd, texts  # noqa: F401
-from qalens.llm.chunk_dedup import MAX_BYTES, cut_points, duplicate_spans, gear_table
+from qalens.llm.chunk_dedup import MAX_BYTES, MIN_BYTES, cut_points, duplicate_spans, gear_table, measures
 from qalens.llm.components import connected_components
 from qalens.llm.imatch import fingerprints_and_edits
 from qalens.llm.simhash_bk import forest_links, near_duplicate_groups, near_duplicate_rows, near_links, one_of_each_group
@@ -123,6 +123,41 @@ def words(rng, n):
     return " ".join("".join(chr(97 + int(c)) for c in rng.integers(0, 26, int(rng.integers(2, 9)))) for _ in range(n))
 
 
+def test_measures_match_plain_counts():
+    rng = np.random.default_rng(8)
+    for text in ("x", " ", "one two", words(rng, 200), "\t a  b\n" * 60, "中文" * 300):
+        raw = text.encode()
+        ends = cut_points(raw, gear_table())
+        starts = [0, *ends[:-1]]
+        begins = [m.start() for m in re.finditer(rb"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]", raw)]
+        count = lambda a, b: sum(a <= k < b for k in begins)
+        expected = [(e - s, count(s, e), count(starts[max(0, k - 4)], s), count(e, ends[min(k + 1, len(ends) - 1)]))
+                    for k, (s, e) in enumerate(zip(starts, ends))]
+        assert [tuple(int(m) >> 8 * j & 255 for j in range(4)) for m in measures(raw, ends)] == expected
+
+
+def test_passages_of_over_fifty_words_of_any_length_are_found(spark):
+    rng = np.random.default_rng(9)
+    letters = lambda n, size: " ".join("".join(chr(97 + int(c)) for c in rng.integers(0, 26, size)) for _ in range(n))
+    rows, spans = [], {}
+    for size in (3, 4, 5, 6):
+        for k in range(150):
+            passage = letters(51, size)
+            for copy in range(2):
+                before = letters(int(rng.integers(5, 40)), size) + " "
+                doc_id = len(rows)
+                spans[doc_id] = (len(before), len(before) + len(passage))
+                rows.append((doc_id, before + passage + " " + letters(20, size)))
+    found = {}
+    for r in duplicate_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect():
+        found.setdefault(r.doc_id, []).append((r.start, r.start + r.length))
+    gear, by = gear_table(), dict(rows)
+    cut = {i: {t.encode()[a:b] for a, b in zip([0, *cut_points(t.encode(), gear)], cut_points(t.encode(), gear))} for i, t in by.items()}
+    common = {i for i in spans if any(len(c) >= MIN_BYTES for c in cut[i] & cut[i ^ 1])}
+    assert set(found) >= common and len(common) >= 0.96 * len(spans)  # the others hold no whole chunk of the passage
+    assert all(a >= spans[i][0] - 16 and b <= spans[i][1] + 16 for i, parts in found.items() for a, b in parts)
+
+
 def test_spans_of_shared_passages(spark, none, odd):
     rng = np.random.default_rng(4)
     passage = words(rng, 60)
@@ -136,7 +171,7 @@ def test_spans_of_shared_passages(spark, none, odd):
         assert span in (rows[1][1].encode() if r.doc_id in (1, 100) else passage.encode() + b" ") or r.doc_id % 5 == 0
     assert {r.doc_id for r in found if r.original} == {0, 1}
     assert duplicate_spans(none).count() == 0
-    assert {r.doc_id for r in duplicate_spans(odd, min_span=20).collect()} >= {1, 2, 7}
+    assert {r.doc_id for r in duplicate_spans(odd, min_words=4).collect()} >= {1, 2, 7}
 
 
 def murmur3(longs, seed=42):

@@ -88,7 +88,7 @@ def test_many_notices_and_many_lines_in_one_text(spark):
     for r in license_matches(spark.createDataFrame(rows, "doc_id long, text string")).collect():
         got.setdefault(r.doc_id, []).append((r.unit, r.number, r.passage, r.license))
     assert sorted(got[1]) == [("window", 9 * k, "Released under the MIT License", "MIT") for k in range(1500)]
-    assert got[2] == [("window", 8000 * 11, "Released under the MIT License", "MIT")] and 3 not in got
+    assert got[2] == [("window", 8000 * 12, "Released under the MIT License", "MIT")] and 3 not in got
 
 
 def test_windows_match_brute_force(spark):
