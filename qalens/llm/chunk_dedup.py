@@ -8,9 +8,9 @@ document is a duplicate; neighbouring duplicates make a span.
 
 A passage loses part of a chunk at either end, so a span is measured by what it may stand for: its own words and those of the
 chunks around it (four before, as texts may be cut alike only some chunks into the passage, and one after). It is reported if these reach
-``min_words``, or if its own chunks reach ``min_bytes`` (scripts without blanks have few words). No span of a shared passage of
-``min_words`` is dropped for short words or for where the cuts fall, and every byte reported is repeated. A passage that holds
-no whole chunk (it may be cut at MAX_BYTES only) isn't found.
+``min_words`` and its own chunks ``least_bytes`` (one chunk of a few words often repeats by chance), or if its own chunks reach
+``min_bytes`` (scripts without blanks have few words). Every byte reported is repeated. A passage with fewer common bytes in
+whole chunks isn't found.
 
 Digests are counted with partial aggregation, and only digests and places are shuffled, never texts; a digest of a
 third of all chunks is one row of the counts, and its chunks meet it in a join that Spark may split.
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from qalens.llm.common import id_text, written
 
 MASK_BITS, MIN_BYTES, MAX_BYTES = 5, 16, 128
-#: Words that a reported span and the chunks around it hold at least, or bytes of the span itself.
-MIN_WORDS, MIN_SPAN = 51, 400
+#: A reported span has LEAST_BYTES, and MIN_WORDS with the chunks around it, or MIN_SPAN bytes by itself.
+LEAST_BYTES, MIN_WORDS, MIN_SPAN = 60, 51, 400
 _PIECE = 1 << 20
 _BLANKS = (9, 10, 11, 12, 13, 32)
 
@@ -119,7 +119,7 @@ def chunks(docs: DataFrame) -> DataFrame:
         .mapInArrow(cut, "row long, doc_id long, start long, held int, d1 long, d2 long")
 
 
-def duplicate_spans(docs: DataFrame, min_words: int = MIN_WORDS, min_bytes: int = MIN_SPAN) -> DataFrame:
+def duplicate_spans(docs: DataFrame, min_words: int = MIN_WORDS, least_bytes: int = LEAST_BYTES, min_bytes: int = MIN_SPAN) -> DataFrame:
     """Spans of repeated chunks in ``docs`` (doc_id, text): doc_id, start, length (bytes), n_chunks, first_doc, original.
 
     ``original`` is true where every chunk of the span is its first occurrence: a deduplication keeps those spans.
@@ -142,6 +142,5 @@ def duplicate_spans(docs: DataFrame, min_words: int = MIN_WORDS, min_bytes: int
         F.min("start").alias("start"), F.sum(size).alias("length"), F.count("*").alias("n_chunks"),
         F.min_by("first_doc", "start").alias("first_doc"), F.min("is_first").alias("original"),
         (F.sum(measure(1)) + F.min_by(measure(2), "start") + F.max_by(measure(3), "start")).alias("n_words"))
-    whole = F.col("length") >= MIN_BYTES  # the last chunk of a text may be a few letters, which are no repeat by themselves
-    return spans.where(whole & ((F.col("n_words") >= min_words) | (F.col("length") >= min_bytes))) \
+    return spans.where((F.col("length") >= least_bytes) & (F.col("n_words") >= min_words) | (F.col("length") >= min_bytes)) \
         .select("doc_id", "start", "length", "n_chunks", "first_doc", "original")
