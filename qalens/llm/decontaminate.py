@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qalens.llm.common import ascii_lower, id_text, written
+from qalens.llm.common import ascii_lower, id_text, unused, written
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 5
@@ -72,10 +72,11 @@ def without_contaminated(docs: DataFrame, items: DataFrame, item_id: str = "item
                          shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any more columns) with no occurrence of a window, with all their columns."""
     hits = _hits(_keyed(docs), items, item_id, window_words, shingle_words)
-    hits = written(hits.where("n_hit > 0").select(F.col("k").alias("__k"), F.col("h").alias("__h")).distinct(), "contaminated")
-    marked = docs.select(*[docs[c] for c in docs.columns], F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("__k"),
-                         F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("__h"))
-    return marked.join(_few(hits), ["__k", "__h"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keys = [unused(docs.columns, name) for name in ("k", "h")]
+    hits = written(hits.where("n_hit > 0").select(F.col("k").alias(keys[0]), F.col("h").alias(keys[1])).distinct(), "contaminated")
+    marked = docs.select("*", F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias(keys[0]),
+                         F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias(keys[1]))
+    return marked.join(_few(hits), keys, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

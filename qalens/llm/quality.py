@@ -155,5 +155,6 @@ def rows_of_quality(docs: DataFrame, labels: DataFrame, least: float, learn: Col
     The texts are read twice, to learn and to judge, and never shuffled.
     """
     model = _learn(text_statistics(docs), labels, learn)
-    prefix = "__quality_"
-    return with_statistics(docs, prefix=prefix).where(score_column(*model, prefix) >= least).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain = [f"c{i}" for i in range(len(docs.columns))]  # Arrow stages take no names with dots
+    judged = with_statistics(docs.toDF(*plain), plain[docs.columns.index("text")], "quality_").where(score_column(*model, "quality_") >= least)
+    return judged.select(*[F.col(c).alias(name) for c, name in zip(plain, docs.columns)])

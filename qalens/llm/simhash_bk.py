@@ -22,7 +22,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qalens.llm.common import id_text, written
+from qalens.llm.common import id_text, unused, written
 from qalens.llm.components import connected_components
 
 RADIUS = 3
@@ -218,12 +218,12 @@ def one_of_each_group(docs: DataFrame, radius: int = RADIUS, shingle_words: int
     """The row of the least id (null last; of equal ids the least text hash) of each near-duplicate group, with all columns."""
     rows = written(near_duplicate_rows(docs, radius, shingle_words), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("k"), "h"))
-    kept = rows.groupBy("root").agg(first.alias("r")).select(F.col("r.none").alias("__none"), F.col("r.k").alias("__k"), F.col("r.h").alias("__h"))
+    keys = [unused(docs.columns, name) for name in ("none", "k", "h")]
+    kept = rows.groupBy("root").agg(first.alias("r")).select(*[F.col(f"r.{name}").alias(key) for name, key in zip(("none", "k", "h"), keys)])
     kept = written(kept, "kept")
-    keys = ["__none", "__k", "__h"]
     text, doc_id = docs["text"], docs["doc_id"].cast("long")
-    marked = docs.select(*[docs[c] for c in docs.columns], doc_id.isNull().alias("__none"), F.coalesce(doc_id, F.lit(0)).alias("__k"),
-                         F.xxhash64(F.coalesce(text, F.lit(""))).alias("__h"))
+    marked = docs.select("*", doc_id.isNull().alias(keys[0]), F.coalesce(doc_id, F.lit(0)).alias(keys[1]),
+                         F.xxhash64(F.coalesce(text, F.lit(""))).alias(keys[2]))
     stay = marked.join(kept, keys, "left_semi")
     again = rows.groupBy("doc_id", "h").agg(F.count("*").alias("n")).where("n > 1")
     if not again.isEmpty():  # only repeated rows (same id and text) can leave two rows of a group

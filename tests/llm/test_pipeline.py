@@ -16,6 +16,18 @@ from qalens.llm.quality import quality_scores
 from qalens.llm.registry import PII_KEY, WORD_LEVEL
 
 
+def test_stages_carry_columns_of_any_name(spark):
+    names = ["a.b", "__k", "__h", "k", "h", "none", "c0", "quality_c0", "__pii", "matches", "N"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(120)
+    wide = docs.select("*", *[docs["doc_id"].alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, SF)
+        assert out.columns == wide.columns, name
+        rows = out.collect()
+        assert rows and all(set(tuple(r)[-len(names):]) == {r.doc_id} for r in rows), name
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, SF).count() >= 120
+
+
 def test_pipeline_matches_brute_force(spark, docs, texts):
     from pyspark.sql import functions as F
 
