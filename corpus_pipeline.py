@@ -7,7 +7,7 @@ one's docs. All stages but the last return the columns of ``docs``, in order.
 Nulls and small tables: an empty table passes all stages and gives no piece. A null text is an empty one, and is packed as
 the end id alone if the classifier lets it pass. Rows of a null id are judged by their text alone. Of a group of near
 duplicates the row of the least id stays (null last; of equal ids, the least text hash; of repeated rows, one). Extra
-columns are carried along; names that begin with two underscores are taken by the stages.
+columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
