@@ -168,3 +168,35 @@ def test_dumps_follow_their_tables(spark, tmp_path):
     changed = ingest_views.order_dumps(spark, str(folder))
     assert changed[0] == paths[0] and changed[1] != paths[1] and changed[2] != paths[2]
     assert query(spark, str(folder)).count() == 100 < n
+
+
+def own_tables(spark, folder, n):
+    """Tables of the orders view with ``n`` line items, one a minute, and documents that are noise lines."""
+    ts = "CAST(timestamp'2021-01-01' + make_interval(0, 0, 0, 0, 0, id) AS TIMESTAMP_NTZ)"
+    rows = spark.range(n)
+    for name, columns in {
+            "orders": ["id AS o_orderkey", f"{ts} AS o_orderdate"], "part": ["id AS p_partkey", "'b' AS p_brand"], "documents": ["concat('a,b\\n', id) AS text"],
+            "lineitem": ["id AS l_orderkey", "id AS l_partkey", "1 AS l_linenumber", "2.5D AS l_quantity", f"{ts} AS l_shipdate",
+                         "if(id % 2 = 0, 'O', 'F') AS l_linestatus", "if(id % 3 = 0, 'R', if(id % 3 = 1, 'A', 'N')) AS l_returnflag"]}.items():
+        rows.selectExpr(*columns).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name, rows", [("answers", 66), ("tags", 100)])
+def test_ingest_writes_only_its_own_dump(spark, tmp_path, name, rows):
+    folder = own_tables(spark, tmp_path, 100)
+    assert ingest_views.queries()[f"ingest_{name}"](spark, folder).count() == rows
+    assert {key[2] for key in ingest_views._WRITTEN if key[1] == folder} == {name}
+
+
+def test_dumps_are_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest_views, "LINES_PER_FILE", 20)
+    folder = own_tables(spark, tmp_path, 100)
+    path = ingest_views.order_answers_dump(spark, folder)
+    parts = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")]
+    assert parts and all(f.endswith(".gz") for f in parts)
+    sizes = [spark.read.text(os.path.join(path, f)).count() for f in parts]
+    assert max(sizes) <= 20 and sum(sizes) == 1 + 100 + 200
+    lines = ingest_views.lineitem_answer_lines(spark, folder)
+    assert sorted(spark.read.text(path).collect()) == sorted(lines.collect())
+    assert ingest_views.strip_header(spark.read.text(path), path=path).count() == 300
