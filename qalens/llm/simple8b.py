@@ -16,30 +16,35 @@ WIDTHS = np.array([60, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], dtype
 ESCAPE = 0
 
 
+#: Least width of the table that holds a value, for values below the length of this array (61: none does).
+_LIMITS = np.array([1 << int(w) for w in WIDTHS[1:]], dtype=np.uint64)
+_LEAST = np.append(WIDTHS[1:], 61).astype(np.int8)
+_SMALL = _LEAST[np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), side="right")]
+
+
+def _least_width(values: np.ndarray) -> np.ndarray:
+    if int(values.max()) < len(_SMALL):
+        return _SMALL[values]
+    return _LEAST[np.searchsorted(_LIMITS, values, side="right")]
+
+
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words (uint64) and escaped values (uint64, in order) of an array of unsigned integers."""
     values = np.ascontiguousarray(values, dtype=np.uint64)
     n = len(values)
     if not n:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    top, narrow = int(values.max()), None  # narrow: places whose values fit the selector at hand
-    fits_all = max((s for s in range(1, 16) if top < 1 << int(WIDTHS[s])), key=lambda s: COUNTS[s], default=ESCAPE)
-    best = np.full(n, fits_all, dtype=np.int8)
-    for s in range((fits_all or 16) - 1, 0, -1):  # towards more values a word; a later, larger selector wins
-        limit = np.uint64(1 << int(WIDTHS[s]))
-        narrow = np.flatnonzero(values < limit) if narrow is None else narrow[values[narrow] < limit]
-        if not len(narrow):
-            break
-        ends = np.flatnonzero(np.diff(narrow, append=n + 1) != 1)
-        first, last = narrow[np.concatenate(([0], ends[:-1] + 1))], narrow[ends]  # runs of such places
-        # The selector may begin where its word lies within a run; in the last run of all, the word may be cut off by the end.
-        until = last - int(COUNTS[s]) + 2
-        until[-1] = n if last[-1] == n - 1 else until[-1]
-        long = until > first
-        edges = np.zeros(n + 1, dtype=np.int8)
-        edges[first[long]] = 1
-        edges[until[long]] -= 1
-        best[np.cumsum(edges[:-1], dtype=np.int8).view(bool)] = s
+    # A selector may begin where none of its word's values is wider than its own; places after the end count as zeros.
+    widest = {1: np.concatenate([_least_width(values), np.zeros(240, np.int8)])}  # window length -> widest value from a place on
+    for k in (2, 4, 8, 16, 32, 64, 128):
+        half = widest[k // 2]
+        widest[k] = np.maximum(half[:len(half) - k // 2], half[k // 2:])
+    best = np.zeros(n, dtype=np.int8)
+    for s in range(15, 0, -1):  # towards more values a word: the last selector that fits wins
+        count = int(COUNTS[s])
+        part = 1 << (count.bit_length() - 1)
+        top = np.maximum(widest[part][:n], widest[part][count - part:count - part + n])
+        np.copyto(best, np.int8(s), where=top <= WIDTHS[s].astype(np.int8))
     step = np.minimum(np.arange(n, dtype=np.int64) + COUNTS[best], n).tolist()
     starts, i = [], 0
     while i < n:

@@ -18,12 +18,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qalens.llm.common import id_text, splits
+from qalens.llm.common import chunks_of, id_text, splits
 from qalens.session import fresh_path
 
 #: A block closes once it holds so many tokens (a longer document makes a longer block).
 BLOCK_TOKENS = 1 << 16
 
+#: Bytes of text that are encoded at once (a longer document alone).
+COLUMN_BYTES = 1 << 22
+
 _BLOCK = "part int, first_token long, n_tokens long, doc_ids array<long>, offsets array<long>, words binary, escapes binary"
 
 
@@ -37,11 +40,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     def blocks(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         from qalens.llm.simple8b import pack
         from qalens.llm.tokens import text_tokenizer
 
-        encode, end = text_tokenizer(tokenizer_path).encode, np.array([end_id], dtype="<u4").tobytes()
+        encode, end = text_tokenizer(tokenizer_path).encode_column, np.array([end_id], dtype="<u4").tobytes()
         part, done = TaskContext.get().partitionId(), 0
         schema = pa.schema([("part", pa.int32()), ("first_token", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                             ("offsets", pa.list_(pa.int64())), ("words", pa.binary()), ("escapes", pa.binary())])
@@ -55,10 +59,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
         names, held, total = [], [], 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                piece = batch.slice(lo, 256)
-                for doc_id, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                    ids = encode(text) + end
+            for lo, hi in chunks_of(pc.binary_length(batch.column(1)).to_pylist(), COLUMN_BYTES):
+                piece = batch.slice(lo, hi - lo)
+                for doc_id, ids in zip(piece.column(0).to_pylist(), encode(piece.column(1))):
+                    ids += end
                     names.append(doc_id)
                     held.append(ids)
                     total += len(ids) // 4

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import ROWS, SF, docs, none, odd, texts  # noqa: F401
 from hypothesis import given, settings
@@ -49,6 +50,50 @@ def test_remembered_words_give_the_librarys_ids(name, texts):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == expected, text
 
 
+@pytest.mark.parametrize("name", [BYTE_LEVEL, WORD_LEVEL])
+def test_columns_give_the_ids_of_their_texts(name, texts):
+    encoder = TextTokenizer(tokenizer_file(name))
+    column = [*ODD, *[a + " " + b for a in ODD for b in ODD], *list(texts.values())[:60], "last\n", " first", "one"]
+    for some in (column, column[::-1], column[5:6], []):
+        found = encoder.encode_column(pa.array(["other"] + some, pa.string())[1:])
+        expected = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+        assert [np.frombuffer(x, "<u4").tolist() for x in found] == expected
+
+
+def test_a_word_of_a_column_is_looked_up_once():
+    encoder = TextTokenizer(tokenizer_file(BYTE_LEVEL))
+    asked = []
+
+    class Seen(dict):
+        def __getitem__(self, word):
+            asked.append(word)
+            return b"\1\0\0\0"
+
+        def turn_over(self):
+            pass
+
+    encoder.words = Seen()
+    found = encoder.encode_column(pa.array(["head some words some", "head words " * 50 + "some"]))
+    assert sorted(asked) == ["head", "some", "words"] and len(found[1]) // 4 == 100 + len(encoder.heads["head"]) // 4
+
+
+def literal_words(values):
+    """Selectors of Simple-8b chosen one word at a time: the most values that all fit, cut off by the end."""
+    i, chosen = 0, []
+    while i < len(values):
+        fits = [s for s in range(1, 16) if all(v < 1 << int(simple8b.WIDTHS[s]) for v in values[i:i + int(simple8b.COUNTS[s])])]
+        chosen.append(min(fits, default=simple8b.ESCAPE))
+        i += int(simple8b.COUNTS[chosen[-1]])
+    return chosen
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 2**16), st.sampled_from([0, 2**16 - 1, 2**16, 2**20 - 1, 2**30, 2**60 - 1, 2**60, 2**64 - 1])), max_size=400))
+def test_simple8b_takes_the_fullest_word(values):
+    words, _ = simple8b.pack(np.array(values, dtype=np.uint64))
+    assert (words >> np.uint64(60)).tolist() == literal_words(values)
+
+
 def test_token_files_hold_all_documents_in_order(spark, texts):
     got = sorted(op5_token_files(spark, SF).collect())
     start, expected = 0, []
