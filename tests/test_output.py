@@ -156,7 +156,7 @@ def test_dumps_follow_their_tables(spark, tmp_path):
     folder = tmp_path / "tables"
     folder.mkdir()
     for name in ("orders", "lineitem", "part", "documents", "events"):
-        shutil.copy(f"{SF_SMALL}/{name}.parquet", folder / f"{name}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{name}.parquet", folder / f"{name}.parquet")  # not the mode: the tables may be read-only
     query = ingest_views.queries()["ingest_tags"]
     before = query(spark, str(folder))
     paths = ingest_views.order_dumps(spark, str(folder))
